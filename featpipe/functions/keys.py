@@ -34,13 +34,14 @@ def hash_bucket(token, buckets: int) -> Column:
 
 def row_fingerprint(cols, numeric_scale: int = 100) -> Column:
     """Text fingerprint of a whole row: numbers scaled by ``numeric_scale`` and
-    rounded to bigint (so double printing never matters), text as is, NULL as
+    rounded half up to bigint as ``floor(x * s + 0.5)`` (plain IEEE steps, so
+    double printing never matters and other engines agree), text as is, NULL as
     the marker '\\N', fields separated by '|'."""
     parts = []
     for c, kind in cols:
         c = col_(c)
         if kind == "numeric":
-            v = F.round(c.cast("double") * numeric_scale).cast("bigint").cast("string")
+            v = F.floor(c.cast("double") * float(numeric_scale) + 0.5).cast("string")
         else:
             v = c.cast("string")
         parts.append(F.coalesce(v, F.lit("\\N")))
