@@ -7,14 +7,19 @@ gap per distinct timestamp after the first: the difference to the previous
 distinct timestamp.
 
 Plan (skew-safe replacement for one LAG window per key, which would put a hot
-key into one task):
+key's whole history into one task):
   1. ``groupBy(key, segment)`` collecting the *set* of timestamps, where the
      segment is ``date_trunc(unit, t)``. Partial aggregation removes repeated
      timestamps on the mappers; a group holds at most the distinct timestamps
-     of one key inside one segment (for block times: the blocks in one day).
+     of one key inside one segment (for block times: the blocks of one day).
   2. gaps inside a segment from the sorted set (array functions, no Python);
   3. gaps across segments from a window over the per-(key, segment) summary,
      partitioned by key: its rows per key are segments, not events.
+
+``idle_stats`` does not even materialise the gaps: a segment contributes its
+gap count, its gap sum (last - first, telescoping) and its sum of squared gaps,
+all whole numbers, so mean and sample deviation come from exact integer
+moments. The final ``groupBy(key)`` reuses the window's partitioning.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ from pyspark.sql import functions as F
 
 from featpipe.functions.keys import epoch_seconds
 
+WIDE = "decimal(38,0)"
+
 
 def _segments(events: DataFrame, key: str, t: str, unit: str) -> DataFrame:
     return (
@@ -33,31 +40,66 @@ def _segments(events: DataFrame, key: str, t: str, unit: str) -> DataFrame:
     )
 
 
+def _inner_gaps(ts="_ts"):
+    n = F.size(ts)
+    return F.zip_with(F.slice(ts, 2, n - 1), F.slice(ts, 1, n - 1),
+                      lambda a, b: epoch_seconds(a) - epoch_seconds(b))
+
+
+def _with_prev_last(segs: DataFrame, key: str) -> DataFrame:
+    w = Window.partitionBy(key).orderBy("_seg")
+    return segs.withColumn("_prev_last", F.lag(F.element_at("_ts", -1)).over(w))
+
+
 def idle_gaps(events: DataFrame, key: str = "address", t: str = "block_time",
               segment_unit: str = "day") -> DataFrame:
     """One row ``(key, idle_time)`` per kept gap (bigint seconds)."""
-    segs = _segments(events, key, t, segment_unit)
-    n = F.size("_ts")
-    inner = segs.select(
+    segs = _with_prev_last(_segments(events, key, t, segment_unit), key)
+    across = F.when(F.col("_prev_last").isNotNull(),
+                    F.array(epoch_seconds(F.element_at("_ts", 1)) - epoch_seconds("_prev_last")))
+    gaps = F.concat(F.coalesce(across, F.array().cast("array<bigint>")), _inner_gaps())
+    return segs.select(key, F.explode(gaps).alias("idle_time"))
+
+
+def idle_moments(events: DataFrame, key: str = "address", t: str = "block_time",
+                 segment_unit: str = "day") -> DataFrame:
+    """``(key, n_gaps, sum_gaps, sum_sq_gaps)`` with exact integer sums; keys
+    without a gap have no row."""
+    segs = _with_prev_last(_segments(events, key, t, segment_unit), key)
+    inner = _inner_gaps()
+    across = epoch_seconds(F.element_at("_ts", 1)) - epoch_seconds("_prev_last")   # NULL on a key's first segment
+    per_seg = segs.select(
         key,
-        F.explode(F.zip_with(
-            F.slice("_ts", 2, n - 1), F.slice("_ts", 1, n - 1),
-            lambda a, b: epoch_seconds(a) - epoch_seconds(b),
-        )).alias("idle_time"),
+        (F.size("_ts") - 1 + F.when(F.col("_prev_last").isNotNull(), 1).otherwise(0)).cast("bigint").alias("_n"),
+        (epoch_seconds(F.element_at("_ts", -1)) - epoch_seconds(F.element_at("_ts", 1))
+         + F.coalesce(across, F.lit(0))).alias("_s1"),
+        (F.aggregate(inner, F.lit(0).cast(WIDE), lambda acc, g: acc + g.cast(WIDE) * g.cast(WIDE))
+         + F.coalesce(across.cast(WIDE) * across.cast(WIDE), F.lit(0).cast(WIDE))).alias("_s2"),
     )
-    w = Window.partitionBy(key).orderBy("_seg")
-    across = (
-        segs.select(key, F.element_at("_ts", 1).alias("_first"),
-                    F.lag(F.element_at("_ts", -1)).over(w).alias("_prev_last"))
-        .where(F.col("_prev_last").isNotNull())
-        .select(key, (epoch_seconds("_first") - epoch_seconds("_prev_last")).alias("idle_time"))
+    return (per_seg.groupBy(key)
+            .agg(F.sum("_n").alias("n_gaps"), F.sum("_s1").alias("sum_gaps"), F.sum("_s2").alias("sum_sq_gaps"))
+            .where(F.col("n_gaps") > 0))
+
+
+def idle_stats(events: DataFrame, key: str = "address", t: str = "block_time",
+               segment_unit: str = "day", prefix: str = "output") -> DataFrame:
+    """Mean and sample deviation of the gaps per key (NULL deviation for a
+    single gap)."""
+    m = idle_moments(events, key, t, segment_unit)
+    n, s1, s2 = F.col("n_gaps"), F.col("sum_gaps"), F.col("sum_sq_gaps")
+    # (n * S2 - S1^2) is exact in decimal(38,0); one rounding when divided
+    num = (n.cast(WIDE) * s2 - s1.cast(WIDE) * s1.cast(WIDE)).cast("double")
+    var = num / (n.cast("double") * (n - 1).cast("double"))
+    return m.select(
+        key,
+        (s1.cast("double") / n).alias(f"mean_{prefix}_idle_time"),
+        F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"stddev_{prefix}_idle_time"),
     )
-    return inner.unionByName(across)
 
 
-def idle_stats(gaps: DataFrame, key: str = "address", prefix: str = "output") -> DataFrame:
-    """Mean and sample deviation of the gaps per key. Keys without any gap
-    have no row (the source inner-joins this relation)."""
+def gap_stats(gaps: DataFrame, key: str = "address", prefix: str = "output") -> DataFrame:
+    """Mean and sample deviation over explicit gap rows (for gap frames that
+    come from elsewhere, e.g. ``idle_gaps_window``)."""
     return gaps.groupBy(key).agg(
         F.avg("idle_time").alias(f"mean_{prefix}_idle_time"),
         F.stddev_samp("idle_time").alias(f"stddev_{prefix}_idle_time"),

@@ -14,9 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featpipe.operators.idle import idle_gaps, idle_stats
+from featpipe.operators.idle import idle_stats
 from featpipe.operators.signatures import MIN_HITS, MINER_SIGNATURES, signature_keys
 from featpipe.operators.transfers import epoch_features, transfer_stats, unnest_transfers
+from featpipe.session import shared_dir
 
 # Output record, in order (30 columns).
 VECTOR_COLUMNS = [
@@ -39,7 +40,7 @@ def side_profile(tx: DataFrame, side: str = "outputs", segment_unit: str = "day"
     prefix = {"outputs": "output", "inputs": "input"}[side]
     t = unnest_transfers(tx, side)
     stats = transfer_stats(t, prefix)
-    idle = idle_stats(idle_gaps(t, "address", "block_time", segment_unit), "address", prefix)
+    idle = idle_stats(t, "address", "block_time", segment_unit, prefix)
     return stats.join(idle, "address")
 
 
@@ -84,4 +85,10 @@ def address_vectors(tx: DataFrame, blocks: DataFrame, signatures=MINER_SIGNATURE
     """The whole labelled vector query, 30 columns in source order."""
     miners = signature_keys(blocks, tx, signatures, min_hits)
     v = label(unlabelled_vectors(tx, segment_unit), miners)
+    if miner_cap is not None or non_miner_cap is not None:
+        # Both capped branches read the labelled vectors: write them once to
+        # the shared checkpoint folder (one row per address) instead of
+        # running the whole aggregation twice.
+        shared_dir(v.sparkSession)
+        v = v.checkpoint(eager=True)
     return labelled_union(v, miner_cap, non_miner_cap).select(*VECTOR_COLUMNS)

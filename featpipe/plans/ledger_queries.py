@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from featpipe.functions.keys import epoch_seconds
 from featpipe.functions.numeric import fixed, fixed_sql
 from featpipe.operators import idle, signatures, transfers, vectors
-from featpipe.sources.ledger import FIXTURE_MIN_HITS, FIXTURE_SIGNATURES, ledger_from_tables
+from featpipe.plans.inputs import ledger_tables
+from featpipe.sources.ledger import FIXTURE_MIN_HITS, FIXTURE_SIGNATURES
 from featpipe.sources.tables import read_table
 
 SEGMENT_UNIT = "day"
@@ -22,7 +23,7 @@ CAP_MINERS, CAP_OTHERS = 100, 500   # caps used by the class_cap / labelled_unio
 
 
 def _ledger(spark, d):
-    return ledger_from_tables(spark, d)
+    return ledger_tables(spark, d)
 
 
 def _rounded_vectors(df):
@@ -114,14 +115,13 @@ def q_idle_gaps(spark, d):
 
 def q_idle_stats(spark, d):
     tx, _ = _ledger(spark, d)
-    g = idle.idle_gaps(transfers.unnest_transfers(tx, "inputs"), "address", "block_time", SEGMENT_UNIT)
-    return _rounded_vectors(idle.idle_stats(g, "address", "input"))
+    t = transfers.unnest_transfers(tx, "inputs")
+    return _rounded_vectors(idle.idle_stats(t, "address", "block_time", SEGMENT_UNIT, "input"))
 
 
 def q_event_idle_stats(spark, d):
     ev = read_table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    g = idle.idle_gaps(ev, "user_id", "ts", "hour")
-    return idle.idle_stats(g, "user_id", "event").select(
+    return idle.idle_stats(ev, "user_id", "ts", "hour", "event").select(
         "user_id", fixed("mean_event_idle_time", 2).alias("mean_event_idle_time"),
         fixed("stddev_event_idle_time", 2).alias("stddev_event_idle_time"))
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from featpipe.functions.keys import epoch_seconds
 from featpipe.functions.numeric import fixed, fixed_sql
 from featpipe.operators import evaluate, features, model, profile
+from featpipe.plans.inputs import trip_examples
 from featpipe.plans.training import score_with_raw_label
 from featpipe.session import scratch_path
 from featpipe.sources import csv as csv_src
@@ -34,7 +35,7 @@ TOPK_VALUES = 10
 # ---------------------------------------------------------------- shared
 
 def _examples(spark, d):
-    return ex.hash_split(trips(spark, d))
+    return trip_examples(spark, d)
 
 
 def _train(spark, d):
@@ -74,7 +75,7 @@ def q_csv_ingest(spark, d):
 
 
 def q_hash_split(spark, d):
-    return _examples(spark, d)
+    return ex.hash_split(trips(spark, d))
 
 
 def q_transformed_roundtrip(spark, d):
