@@ -37,9 +37,19 @@ def _once(spark, kind, sf_dir, build):
     return paths
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Write-side parallelism: a frame that arrives in fewer partitions than
+    the session's parallelism (small sources stored as one row group) is
+    spread round-robin before it is written, so later scans of the written
+    table run in parallel. Large inputs already have enough splits and are
+    written as they are (no extra shuffle)."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def ledger_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     def build():
-        tx, blocks = ledger_from_tables(spark, sf_dir)
+        tx, blocks = (spread(x) for x in ledger_from_tables(spark, sf_dir))
         tp, bp = scratch_path(spark, "transactions"), scratch_path(spark, "blocks")
         tx.write.mode("overwrite").parquet(tp)
         blocks.write.mode("overwrite").parquet(bp)
@@ -53,7 +63,7 @@ def trip_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     split prunes the other directory)."""
     def build():
         p = scratch_path(spark, "examples")
-        ex.write_examples(ex.hash_split(trips(spark, sf_dir)), p)
+        ex.write_examples(spread(ex.hash_split(trips(spark, sf_dir))), p)
         return p
     p = _once(spark, "examples", sf_dir, build)
     df = ex.read_examples(spark, p)
