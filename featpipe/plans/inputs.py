@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from featpipe.session import scratch_path
 from featpipe.sources import examples as ex
-from featpipe.sources.ledger import ledger_from_tables
-from featpipe.sources.trips import trips
+from featpipe.sources.ledger import blocks_from_tables, transactions_from_tables
+from featpipe.sources.tables import read_table
+from featpipe.sources.trips import trips_from_tables
 
 _lock = threading.Lock()
 _written: dict = {}
@@ -47,9 +48,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
+def _read(spark, sf_dir, name):
+    return spread(read_table(spark, sf_dir, name))
+
+
 def ledger_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     def build():
-        tx, blocks = (spread(x) for x in ledger_from_tables(spark, sf_dir))
+        orders, lineitem = _read(spark, sf_dir, "orders"), _read(spark, sf_dir, "lineitem")
+        tx, blocks = transactions_from_tables(orders, lineitem), blocks_from_tables(orders)
         tp, bp = scratch_path(spark, "transactions"), scratch_path(spark, "blocks")
         tx.write.mode("overwrite").parquet(tp)
         blocks.write.mode("overwrite").parquet(bp)
@@ -63,9 +69,8 @@ def trip_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     split prunes the other directory)."""
     def build():
         p = scratch_path(spark, "examples")
-        ex.write_examples(spread(ex.hash_split(trips(spark, sf_dir))), p)
+        raw = trips_from_tables(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders"))
+        ex.write_examples(ex.hash_split(raw), p)
         return p
     p = _once(spark, "examples", sf_dir, build)
-    df = ex.read_examples(spark, p)
-    # keep the column order of the source frame (partition column last)
-    return df
+    return ex.read_examples(spark, p)
