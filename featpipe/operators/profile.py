@@ -140,7 +140,7 @@ def value_frequencies(df: DataFrame, columns) -> DataFrame:
 def column_topk(df: DataFrame, columns, k: int = 10, splits=SPLITS) -> DataFrame:
     """Top ``k`` values per split and column by frequency (ties: smaller text
     first), with their rank; missing values are not counted."""
-    freqs = value_frequencies(df.where(F.lit(True)), columns).where(F.col("value").isNotNull())
+    freqs = value_frequencies(df, columns).where(F.col("value").isNotNull())
     parts = []
     for s in splits:
         for c in columns:
@@ -172,9 +172,14 @@ def infer_schema(stats: DataFrame, freqs: DataFrame | None = None, train_split:
     )
     domain = None
     if freqs is not None:
-        dcols = constraints.where(F.col("domain_size").isNotNull()).select("column")
-        domain = (freqs.where((F.col("split") == train_split) & F.col("value").isNotNull())
-                  .join(F.broadcast(dcols), "column").select("column", "value").distinct())
+        # one constraint row per column: the names of domain columns are a
+        # short list, used as a filter (a join on a constant-valued column
+        # would be planned as a nested loop)
+        dcols = [r["column"] for r in constraints.where(F.col("domain_size").isNotNull())
+                 .select("column").collect()]
+        domain = (freqs.where((F.col("split") == train_split) & F.col("value").isNotNull()
+                              & F.col("column").isin(dcols))
+                  .select("column", "value").distinct())
     return constraints, domain
 
 

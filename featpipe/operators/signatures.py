@@ -50,7 +50,9 @@ def signed_blocks(blocks: DataFrame, signatures) -> DataFrame:
 def block_join(blocks: DataFrame, tx: DataFrame, signatures) -> DataFrame:
     """J2 + P6: coinbase transactions (``is_coinbase IS TRUE``) in blocks whose
     coinbase text carries a signature, unnested to one row per output key."""
-    coinbase = tx.where(F.coalesce(F.col("is_coinbase"), F.lit(False))).select(
+    # As a filter, the bare boolean column keeps exactly the rows where it IS
+    # TRUE (NULL drops), and it is pushed to the scan as is_coinbase = true.
+    coinbase = tx.where(F.col("is_coinbase")).select(
         "block_hash", F.explode("outputs").alias("_x"))
     return (
         signed_blocks(blocks, signatures)
