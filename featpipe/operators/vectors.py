@@ -75,8 +75,17 @@ def class_cap(vectors: DataFrame, n: int) -> DataFrame:
     return vectors.orderBy(F.md5("address"), "address").limit(n)
 
 
-def labelled_union(vectors: DataFrame, miner_cap: int | None, non_miner_cap: int | None) -> DataFrame:
-    """Capped miners UNION ALL capped non-miners."""
+def labelled_union(vectors: DataFrame, miner_cap: int | None, non_miner_cap: int | None,
+                   materialize: bool = True) -> DataFrame:
+    """Capped miners UNION ALL capped non-miners.
+
+    Both branches read ``vectors``; with ``materialize`` it is first written
+    once as a table in the shared folder (one row per address), because
+    Catalyst plans the two filtered branches differently and would otherwise
+    run the whole upstream aggregation twice. (A reliable ``checkpoint()``
+    computes its last stage twice: once for its job, once for the files.)"""
+    if materialize and (miner_cap is not None or non_miner_cap is not None):
+        vectors = write_table(vectors, "vectors")
     pos = vectors.where(F.col("is_miner"))
     neg = vectors.where(~F.col("is_miner"))
     if miner_cap is not None:
@@ -92,12 +101,6 @@ def address_vectors(tx: DataFrame, blocks: DataFrame, signatures=MINER_SIGNATURE
     """The whole labelled vector query, 30 columns in source order."""
     miners = signature_keys(blocks, tx, signatures, min_hits)
     v = label(unlabelled_vectors(tx, segment_unit), miners)
-    if miner_cap is not None or non_miner_cap is not None:
-        # Both capped branches read the labelled vectors: write them once as a
-        # table in the shared folder (one row per address) instead of running
-        # the whole aggregation twice. (A reliable checkpoint() would compute
-        # the last stage twice: once for its job, once to write the files.)
-        v = write_table(v, "vectors")
     return labelled_union(v, miner_cap, non_miner_cap).select(*VECTOR_COLUMNS)
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from featpipe.functions.frames import bounded_local
 from featpipe.functions.keys import epoch_seconds
 from featpipe.functions.numeric import fixed, fixed_sql
 from featpipe.operators import evaluate, features, model, profile
@@ -122,8 +123,9 @@ def q_column_topk(spark, d):
 
 def _schema(spark, d):
     e = _examples(spark, d)
-    stats = profile.column_stats(e)
     kinds = profile.feature_kinds(e)
+    # one row per (split, column): computed once, reused by schema and checks
+    stats = bounded_local(profile.column_stats(e, kinds), 4 * len(kinds))
     text = [c for c, k in kinds.items() if k == "BYTES"]
     return e, stats, profile.infer_schema(stats, profile.value_frequencies(e, text))
 
@@ -292,6 +294,13 @@ def q_vector_rescale(spark, d):
                     fixed(F.aggregate(v, F.lit(0.0), lambda a, b: a + b), 6).alias("sum_value"))
 
 
+def q_tabular_pipeline(spark, d):
+    """The source's component chain end to end; reports the gate."""
+    from featpipe.plans.training import run_pipeline
+    res = run_pipeline(spark, trips(spark, d), scratch_path(spark, "registry"))
+    return res.gate
+
+
 QUERIES = {
     "csv_ingest": q_csv_ingest,
     "hash_split": q_hash_split,
@@ -321,6 +330,7 @@ QUERIES = {
     "latest_artifact": q_latest_artifact,
     "classify_fit": q_classify_fit,
     "vector_rescale": q_vector_rescale,
+    "tabular_pipeline": q_tabular_pipeline,
 }
 
 # ---------------------------------------------------------------- oracles

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from featpipe.functions.frames import bounded_local
 from featpipe.operators import evaluate, features, model, profile
 from featpipe.session import scratch_path
 from featpipe.sources import examples as ex
@@ -37,7 +38,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = Non
                  name: str = "trips-regressor", thresholds=evaluate.DEFAULT_THRESHOLDS) -> PipelineResult:
     examples = ex.hash_split(raw)
     kinds = profile.feature_kinds(examples)
-    stats = profile.column_stats(examples, kinds)
+    # one row per (split, column): computed once, reused by schema and checks
+    stats = bounded_local(profile.column_stats(examples, kinds), 4 * len(kinds))
     text_cols = [c for c, k in kinds.items() if k == "BYTES"]
     freqs = profile.value_frequencies(examples, text_cols) if text_cols else None
     constraints, domain = profile.infer_schema(stats, freqs)

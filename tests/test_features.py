@@ -250,3 +250,20 @@ def test_rescale_and_classifier(spark):
     m = model.classify_fit(model.image_split(df).where("split = 'train'"), 4, 2, hidden=8, max_iter=20)
     acc = model.accuracy(model.classify_predict(m, model.image_split(df))).collect()
     assert {a.split for a in acc} == {"train", "test"}
+
+
+def test_tabular_pipeline_end_to_end(spark):
+    from featpipe.plans.training import run_pipeline
+    from featpipe.sources.trips import trips
+    from tests.conftest import SF_SMALL
+    reg = tempfile.mkdtemp(prefix="featpipe-reg-")
+    res = run_pipeline(spark, trips(spark, SF_SMALL), reg)
+    gate = {r.metric: r for r in res.gate.collect()}
+    assert set(gate) == {evaluate.MAE, evaluate.MSE}
+    blessed = gate[evaluate.MAE].blessed
+    assert blessed == (1.0 <= gate[evaluate.MAE].value <= 4.0)
+    row = res.manifest_row.first()
+    assert row.published == blessed and row.blessed == blessed
+    assert res.report.where("not ok").count() == 0          # both splits follow the train schema
+    m = res.metrics.first()
+    assert m.n > 0 and m.n_missing_label > 0                 # NULL labels skipped, counted
