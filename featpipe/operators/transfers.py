@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featpipe.functions.distinct import bitmap_aggs, bitmap_count, fits, month_index, value_range, word_columns
 from featpipe.functions.keys import address_key, epoch_seconds
 
 SIDES = {"outputs": "output", "inputs": "input"}
@@ -48,23 +49,41 @@ def activity_ages(transfers: DataFrame, prefix: str = "output") -> DataFrame:
     )
 
 
-def transfer_stats(transfers: DataFrame, prefix: str = "output") -> DataFrame:
+def month_range(tx: DataFrame):
+    """(lo, hi) month index of a transactions table: plain min/max of its
+    month column (answered from Parquet footers when aggregate pushdown is
+    on); a superset of the months of any side's transfers."""
+    r = tx.agg(F.min("block_timestamp_month").alias("lo"), F.max("block_timestamp_month").alias("hi")).first()
+    if r["lo"] is None:
+        return None
+    return r["lo"].year * 12 + r["lo"].month - 1, r["hi"].year * 12 + r["hi"].month - 1
+
+
+def transfer_stats(transfers: DataFrame, prefix: str = "output", months=None) -> DataFrame:
     """G1 + G2 in one aggregation per address.
 
-    The two distinct counts (months, transactions) are planned by Spark as one
-    Expand + two-level aggregate: every level is a fixed-width HashAggregate
-    with map-side combine, and a hot address is spread over its (address,
-    hash) pairs in the first shuffle. The two "monthly" means divide by the
-    row count of months, as the source does.
-    Sums stay decimal and are cast to double once; the mean is sum / count.
+    Distinct transactions use ``count_distinct``: Spark plans a two-level
+    aggregate whose first shuffle is keyed by (address, hash), which spreads a
+    hot address over its transactions; every level combines map-side.
+    Distinct months use a bitmap over the measured month range (``months`` =
+    (lo, hi) month index, measured here when not given), merged like any other
+    partial aggregate, so no Expand (a copy of every row per distinct
+    aggregate) is needed. The two "monthly" means divide by the row count of
+    months, as the source does. Sums stay decimal and are cast to double once;
+    the mean is sum / count.
     """
     p = prefix
+    if months is None:
+        months = value_range(transfers, month_index("month"))
+    use_bits = fits(*months) if months else False
+    month_aggs = (bitmap_aggs(month_index("month"), months[0], months[1], "_mw") if use_bits
+                  else [F.count_distinct("month").alias(f"{p}_active_months")])
     value_sum = F.sum("value")
     n_month = F.count("month")
-    return transfers.groupBy("address").agg(
+    agg = transfers.groupBy("address").agg(
         F.min("month").alias(f"{p}_month_min"),
         F.max("month").alias(f"{p}_month_max"),
-        F.count_distinct("month").alias(f"{p}_active_months"),
+        *month_aggs,
         F.count(F.when(F.col("is_transfer"), 1)).alias(f"total_tx_{p}_count"),
         value_sum.cast("double").alias(f"total_tx_{p}_value"),
         (value_sum.cast("double") / F.count("value")).alias(f"mean_tx_{p}_value"),
@@ -73,6 +92,14 @@ def transfer_stats(transfers: DataFrame, prefix: str = "output") -> DataFrame:
         (value_sum.cast("double") / n_month).alias(f"mean_monthly_{p}_value"),
         (F.count(F.when(F.col("has_addresses"), 1)) / n_month).alias(f"mean_monthly_{p}_count"),
     )
+    if use_bits:
+        words = word_columns("_mw", *months)
+        agg = agg.withColumn(f"{p}_active_months", bitmap_count("_mw", *months)).drop(*words)
+        cols = [c for c in agg.columns]
+        cols.remove(f"{p}_active_months")
+        cols.insert(3, f"{p}_active_months")
+        agg = agg.select(*cols)
+    return agg
 
 
 def epoch_features(df: DataFrame) -> DataFrame:

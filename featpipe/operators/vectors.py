@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from featpipe.operators.idle import idle_stats
 from featpipe.operators.signatures import MIN_HITS, MINER_SIGNATURES, signature_keys
-from featpipe.operators.transfers import epoch_features, transfer_stats, unnest_transfers
+from featpipe.operators.transfers import epoch_features, month_range, transfer_stats, unnest_transfers
 from featpipe.session import scratch_path
 
 # Output record, in order (30 columns).
@@ -34,7 +34,7 @@ VECTOR_COLUMNS = [
 DEFAULT_CAP = 2000
 
 
-def side_profile(tx: DataFrame, side: str = "outputs", segment_unit: str = "day") -> DataFrame:
+def side_profile(tx: DataFrame, side: str = "outputs", segment_unit: str = "day", months=None) -> DataFrame:
     """Statistics and idle figures of one side: two aggregates (per address;
     per address and day segment) joined on the address. Both end
     hash-partitioned by address, so the join adds no shuffle. Keys need at
@@ -46,7 +46,7 @@ def side_profile(tx: DataFrame, side: str = "outputs", segment_unit: str = "day"
     it needs hash -> block time to hold. Not kept.)"""
     prefix = {"outputs": "output", "inputs": "input"}[side]
     t = unnest_transfers(tx, side)
-    stats = transfer_stats(t, prefix)
+    stats = transfer_stats(t, prefix, months or month_range(tx))
     idle = idle_stats(t, "address", "block_time", segment_unit, prefix)
     return stats.join(idle, "address")
 
@@ -57,8 +57,9 @@ def address_join(out_side: DataFrame, in_side: DataFrame) -> DataFrame:
 
 
 def unlabelled_vectors(tx: DataFrame, segment_unit: str = "day") -> DataFrame:
-    return epoch_features(address_join(side_profile(tx, "outputs", segment_unit),
-                                       side_profile(tx, "inputs", segment_unit)))
+    months = month_range(tx)
+    return epoch_features(address_join(side_profile(tx, "outputs", segment_unit, months),
+                                       side_profile(tx, "inputs", segment_unit, months)))
 
 
 def label(vectors: DataFrame, miners: DataFrame) -> DataFrame:

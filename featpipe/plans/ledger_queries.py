@@ -93,8 +93,9 @@ def q_activity_ages(spark, d):
 def q_transfer_stats(spark, d):
     tx, _ = _ledger(spark, d)
     parts = []
+    months = transfers.month_range(tx)
     for side, p in (("outputs", "output"), ("inputs", "input")):
-        s = transfers.transfer_stats(transfers.unnest_transfers(tx, side), p)
+        s = transfers.transfer_stats(transfers.unnest_transfers(tx, side), p, months)
         s = _epochs(s, {f"{p}_month_min", f"{p}_month_max"})
         parts.append(_rounded_vectors(s).toDF(*[c.replace(f"_{p}", "_side").replace(f"{p}_", "side_")
                                                 for c in s.columns]).withColumn("side", F.lit(side)))

@@ -318,3 +318,31 @@ def test_caps_are_deterministic_and_bounded(spark):
     assert len(a) == 3 and a == b
     expect = sorted(sorted("pqrstuvw", key=lambda x: __import__("hashlib").md5(x.encode()).hexdigest())[:3])
     assert a == expect
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2"]),
+                          st.one_of(st.none(), st.integers(0, 200))), min_size=1, max_size=40),
+       st.sampled_from([0, 1500 * 12]))
+def test_month_bitmap_equals_count_distinct(spark, raw, base):
+    from featpipe.functions.distinct import bitmap_aggs, bitmap_count, fits, month_index, value_range
+    rows = [(k, None if m is None else dt.date(1 + (base + m) // 12, (base + m) % 12 + 1, 1)) for k, m in raw]
+    df = spark.createDataFrame(rows, "k string, month date")
+    lo, hi = value_range(df, month_index("month"))
+    want = {r.k: r.n for r in df.groupBy("k").agg(F.count_distinct("month").alias("n")).collect()}
+    if lo is None:
+        assert all(v == 0 for v in want.values())
+        return
+    assert fits(lo, hi)
+    got = df.groupBy("k").agg(*bitmap_aggs(month_index("month"), lo, hi, "_w")) \
+        .select("k", bitmap_count("_w", lo, hi).alias("n"))
+    assert {r.k: r.n for r in got.collect()} == want
+
+
+def test_month_bitmap_falls_back_on_wide_ranges(spark):
+    from featpipe.functions.distinct import fits
+    assert fits(0, 63 * 64 - 1) and not fits(0, 63 * 64)
+    rows = [tx("w1", 0, outputs=[tr(["a"], 1)]), tx("w2", 86400 * 366 * 400, outputs=[tr(["a"], 1)])]
+    t = transfers.unnest_transfers(frame(spark, rows), "outputs")
+    r = transfers.transfer_stats(t, "output").first()
+    assert r.output_active_months == 2
