@@ -267,3 +267,13 @@ def test_tabular_pipeline_end_to_end(spark):
     assert res.report.where("not ok").count() == 0          # both splits follow the train schema
     m = res.metrics.first()
     assert m.n > 0 and m.n_missing_label > 0                 # NULL labels skipped, counted
+
+
+def test_gbt_regressor_option(spark, train):
+    big = train
+    for _ in range(3):
+        big = big.unionByName(big)
+    p = features.fit(big)
+    m = model.regress_fit(features.apply(big, p), p.spec, algorithm="gbt")
+    pred = model.predict(m, features.apply(big, p), p.spec)
+    assert pred.where("prediction is null").count() == 0 and pred.count() == 56

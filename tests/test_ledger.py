@@ -346,3 +346,17 @@ def test_month_bitmap_falls_back_on_wide_ranges(spark):
     t = transfers.unnest_transfers(frame(spark, rows), "outputs")
     r = transfers.transfer_stats(t, "output").first()
     assert r.output_active_months == 2
+
+
+def test_key_on_one_side_or_without_gap_is_dropped(spark):
+    rows = [
+        tx("x1", 0, outputs=[tr(["both"], 1), tr(["out_only"], 1)], inputs=[tr(["both"], 2)]),
+        tx("x2", 86400, outputs=[tr(["both"], 1), tr(["out_only"], 1)], inputs=[tr(["both"], 2), tr(["one_in"], 1)]),
+        tx("x3", 86400, outputs=[tr(["one_in"], 1)]),
+        tx("x4", 2 * 86400, outputs=[tr(["one_in"], 1)]),
+    ]
+    df = frame(spark, rows)
+    blocks = spark.createDataFrame([], BLOCKS_SCHEMA)
+    got = [r.address for r in vectors.address_vectors(df, blocks, signatures.MINER_SIGNATURES, 1, None, None).collect()]
+    # 'out_only' has no input side; 'one_in' has a single input time (no input gap)
+    assert got == ["both"]
