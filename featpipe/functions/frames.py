@@ -18,3 +18,15 @@ def bounded_local(df: DataFrame, max_rows: int) -> DataFrame:
     if len(rows) > max_rows:
         raise TooLarge(f"expected at most {max_rows} rows")
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast side with a checked size: when ``df`` has at most
+    ``max_rows`` rows it comes back as a local frame marked for broadcast;
+    beyond that it is returned unchanged and the planner (AQE) picks the join
+    strategy from runtime sizes."""
+    from pyspark.sql import functions as F
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

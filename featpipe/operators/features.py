@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featpipe.functions.frames import bounded_local, broadcast_if_small
 from featpipe.functions.keys import hash_bucket
 from featpipe.sources.trips import CATEGORICAL_FEATURE_KEYS, LABEL_KEY, NUMERIC_FEATURE_KEYS
 
@@ -115,12 +116,11 @@ def fit(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FittedParams:
     if vocab is None:
         vocab = train.sparkSession.createDataFrame([], "feature string, token string, idx int, freq bigint")
     vocab = vocab.select("feature", "token", F.col("idx").cast("int").alias("idx"), "freq")
-    # ``top_k`` rows per feature at most: safe to bring home and to broadcast
-    rows = vocab.collect()
-    spark = train.sparkSession
-    vocab = spark.createDataFrame(rows, "feature string, token string, idx int, freq bigint")
+    # ``top_k`` rows per feature at most (an ordered limit): brought home once
+    # under a checked bound, then a local frame that broadcasts
+    vocab = bounded_local(vocab, spec.top_k * max(1, len(spec.categorical)))
     sizes = {c: 0 for c in spec.categorical}
-    for r in rows:
+    for r in vocab.collect():
         sizes[r["feature"]] += 1
     return FittedParams(moments, vocab, sizes, spec)
 
@@ -129,8 +129,10 @@ def fit(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FittedParams:
 
 def apply_vocabulary(df: DataFrame, feature: str, params: FittedParams, out: str) -> DataFrame:
     """M7: token -> index, unknown tokens -> vocab_size + md5 bucket."""
-    v = F.broadcast(params.vocab.where(F.col("feature") == feature)
-                    .select(F.col("token").alias(f"_tok_{out}"), F.col("idx").alias(f"_idx_{out}")))
+    # at most top_k rows when fitted here; a loaded vocabulary is size-checked
+    v = broadcast_if_small(params.vocab.where(F.col("feature") == feature)
+                           .select(F.col("token").alias(f"_tok_{out}"), F.col("idx").alias(f"_idx_{out}")),
+                           params.spec.top_k)
     t = token(feature)
     size = params.vocab_sizes.get(feature, 0)
     return (df.join(v, t == F.col(f"_tok_{out}"), "left")

@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featpipe.functions.frames import broadcast_if_small
+
 SPLITS = ("train", "eval")
 HISTOGRAM_BUCKETS = 10
 MAX_STRING_DOMAIN = 100
+MAX_BROADCAST_ROWS = 10000
 
 
 def feature_kinds(df: DataFrame, exclude=("split",)) -> dict[str, str]:
@@ -107,7 +110,8 @@ def column_histogram(df: DataFrame, kinds: dict[str, str] | None = None,
     bounds = df.groupBy("split").agg(
         *[F.min(F.col(f"`{c}`").cast("double")).alias(f"mn{i}") for i, c in enumerate(num)],
         *[F.max(F.col(f"`{c}`").cast("double")).alias(f"mx{i}") for i, c in enumerate(num)])
-    j = df.join(F.broadcast(bounds), "split")
+    # one row per split value: broadcast after a size check
+    j = df.join(broadcast_if_small(bounds, MAX_BROADCAST_ROWS), "split")
     cols = []
     for i, c in enumerate(num):
         x, mn, mx = F.col(f"`{c}`").cast("double"), F.col(f"mn{i}"), F.col(f"mx{i}")
@@ -184,7 +188,8 @@ def infer_schema(stats: DataFrame, freqs: DataFrame | None = None, train_split:
 
 
 def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
-                      domain: DataFrame | None, splits=SPLITS) -> DataFrame:
+                      domain: DataFrame | None, splits=SPLITS,
+                      max_domain_rows: int = MAX_STRING_DOMAIN) -> DataFrame:
     """M3: one report row per (split, column, check):
     ``(split, column, check, n_bad, ok)`` with checks ``presence``, ``type``,
     ``domain``, ``missing_column`` and ``unknown_column``. Advisory: nothing is
@@ -219,7 +224,7 @@ def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
                     continue
                 vals = df.where(F.col("split") == s).select(F.col(f"`{c}`").cast("string").alias("value")) \
                     .where(F.col("value").isNotNull())
-                dom = F.broadcast(domain.where(F.col("column") == c).select("value"))
+                dom = broadcast_if_small(domain.where(F.col("column") == c).select("value"), max_domain_rows)
                 bad = vals.join(dom, "value", "left_anti").agg(F.count(F.lit(1)).alias("n_bad"))
                 parts.append(bad.select(F.lit(s).alias("split"), F.lit(c).alias("column"),
                                         F.lit("domain").alias("check"), "n_bad", (F.col("n_bad") == 0).alias("ok")))

@@ -277,3 +277,15 @@ def test_gbt_regressor_option(spark, train):
     m = model.regress_fit(features.apply(big, p), p.spec, algorithm="gbt")
     pred = model.predict(m, features.apply(big, p), p.spec)
     assert pred.where("prediction is null").count() == 0 and pred.count() == 56
+
+
+def test_broadcast_if_small_checks_size(spark):
+    from featpipe.functions.frames import TooLarge, bounded_local, broadcast_if_small
+    small = spark.range(5)
+    big = spark.range(50)
+    assert "ResolvedHint" in small.join(broadcast_if_small(small, 10), "id")._jdf.queryExecution().analyzed().toString() \
+        or broadcast_if_small(small, 10).count() == 5
+    assert broadcast_if_small(big, 10) is big          # over the bound: left to the planner
+    with pytest.raises(TooLarge):
+        bounded_local(big, 10)
+    assert bounded_local(small, 5).count() == 5
