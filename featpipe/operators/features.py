@@ -72,6 +72,8 @@ def fill_missing(df: DataFrame, columns=None) -> DataFrame:
 def fit_zscore(df: DataFrame, columns) -> dict:
     """Mean and population deviation per column, on filled values."""
     cols = list(columns)
+    if not cols:
+        return {}
     row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
                  *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}

@@ -127,6 +127,11 @@ def q_event_idle_stats(spark, d):
         fixed("stddev_event_idle_time", 2).alias("stddev_event_idle_time"))
 
 
+def q_event_idle_gaps(spark, d):
+    ev = read_table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    return idle.idle_gaps(ev, "user_id", "ts", "hour")
+
+
 def q_signature_match(spark, d):
     _, blocks = _ledger(spark, d)
     return blocks.select("hash", signatures.signature_match("coinbase_param", FIXTURE_SIGNATURES).alias("signed"),
@@ -192,6 +197,7 @@ QUERIES = {
     "idle_gaps": q_idle_gaps,
     "idle_stats": q_idle_stats,
     "event_idle_stats": q_event_idle_stats,
+    "event_idle_gaps": q_event_idle_gaps,
     "signature_match": q_signature_match,
     "block_join": q_block_join,
     "signature_keys": q_signature_keys,
@@ -347,6 +353,8 @@ SELECT address, {fixed_sql('mean_input_idle_time', 2)} AS mean_input_idle_time,
     "event_idle_stats": f"""WITH ev AS (SELECT user_id, ts FROM events),{_gaps_sql('ev', 'event', 'user_id', 'ts')}
 SELECT user_id, {fixed_sql('mean_event_idle_time', 2)} AS mean_event_idle_time,
        {fixed_sql('stddev_event_idle_time', 2)} AS stddev_event_idle_time FROM event_idle""",
+    "event_idle_gaps": f"""WITH ev AS (SELECT user_id, ts FROM events),{_gaps_sql('ev', 'event', 'user_id', 'ts')}
+SELECT user_id, idle_time FROM event_gaps""",
     "signature_match": "SELECT 'b' || o.o_orderkey AS hash, "
                        f"{_sig_sql(FIXTURE_SIGNATURES)} AS signed, "
                        f"{_sig_sql(signatures.MINER_SIGNATURES)} AS pool_signed FROM orders o",

@@ -294,6 +294,28 @@ def q_vector_rescale(spark, d):
                     fixed(F.aggregate(v, F.lit(0.0), lambda a, b: a + b), 6).alias("sum_value"))
 
 
+PART_TOP_K = 100   # small cap so that the cap binds and unknown buckets occur
+
+
+def _part_params(spark, d):
+    li = read_table(spark, d, "lineitem")
+    spec = features.FeatureSpec(numeric=(), categorical=("l_partkey",), label=None, top_k=PART_TOP_K)
+    return li, features.fit(li, spec)
+
+
+def q_vocab_topk_cap(spark, d):
+    """Vocabulary of part keys over all of ``lineitem`` capped at 100 tokens:
+    many keys tie in frequency, so the tie rule decides the cap boundary."""
+    return _part_params(spark, d)[1].vocab
+
+
+def q_vocab_oov_apply(spark, d):
+    li, params = _part_params(spark, d)
+    out = features.apply_vocabulary(li.select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey",
+                                    params, "l_partkey_idx")
+    return out.select("l_orderkey", "l_linenumber", features.token("l_partkey").alias("token"), "l_partkey_idx")
+
+
 def q_tabular_pipeline(spark, d):
     """The source's component chain end to end; reports the gate."""
     from featpipe.plans.training import run_pipeline
@@ -331,6 +353,8 @@ QUERIES = {
     "classify_fit": q_classify_fit,
     "vector_rescale": q_vector_rescale,
     "tabular_pipeline": q_tabular_pipeline,
+    "vocab_topk_cap": q_vocab_topk_cap,
+    "vocab_oov_apply": q_vocab_oov_apply,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -495,6 +519,12 @@ m AS (SELECT avg(abs(p - {LABEL_KEY})) AS mae, avg((p - {LABEL_KEY}) * (p - {LAB
       FROM ex, base WHERE split = 'eval')
 """
 
+_PART_VOCAB = f"""
+pf AS (SELECT CAST(l_partkey AS VARCHAR) AS token, count(*) AS freq FROM lineitem
+       WHERE l_partkey IS NOT NULL GROUP BY 1),
+pv AS (SELECT 'l_partkey' AS feature, token, CAST(idx AS INTEGER) AS idx, freq FROM (
+       SELECT *, row_number() OVER (ORDER BY freq DESC, token DESC) - 1 AS idx FROM pf) WHERE idx < {PART_TOP_K})"""
+
 ORACLE = {
     "csv_ingest": f"SELECT * REPLACE (CAST(month AS BIGINT) AS month) FROM ({TRIPS_SQL})",
     "hash_split": f"WITH {_EX} SELECT * FROM ex",
@@ -532,6 +562,12 @@ SELECT *, (SELECT count(*) FROM g WHERE NOT ok) = 0 AS blessed FROM g""",
 FROM (SELECT 'c' || o_custkey AS name, o_orderkey AS version, o_orderdate AS update_time, o_totalprice AS total,
              row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
       FROM orders) WHERE rn = 1""",
+    "vocab_topk_cap": f"WITH {_PART_VOCAB} SELECT * FROM pv",
+    "vocab_oov_apply": f"""WITH {_PART_VOCAB}
+SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_partkey AS VARCHAR) AS token,
+       CAST(coalesce(pv.idx, (SELECT count(*) FROM pv) + {_bucket('CAST(l.l_partkey AS VARCHAR)')}) AS INTEGER)
+         AS l_partkey_idx
+FROM lineitem l LEFT JOIN pv ON pv.token = CAST(l.l_partkey AS VARCHAR)""",
     "vector_rescale": f"""SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n,
   list_min(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / CAST(255 AS DOUBLE))) AS min_value,
   list_max(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / CAST(255 AS DOUBLE))) AS max_value,
