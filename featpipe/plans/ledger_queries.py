@@ -45,7 +45,10 @@ def _miners(spark, d):
 
 
 def _sized(c):
-    return F.when(F.col(c).isNull(), F.lit(None)).otherwise(F.size(c)).cast("bigint")
+    # NULL for a NULL array; reported as double so that a nullable count has
+    # one representation in every client (nullable integers become floats in
+    # some dataframe conversions and stay integers in others)
+    return F.when(F.col(c).isNull(), F.lit(None)).otherwise(F.size(c)).cast("double")
 
 
 # ---------------------------------------------------------------- queries
@@ -324,11 +327,11 @@ ORACLE = {
     "ledger_scan": f"""
 SELECT 't' || o.o_orderkey AS hash, 'b' || o.o_orderkey AS block_hash, {_ep('o.o_orderdate')} AS block_time,
        {_ep(_MONTH)} AS month, o.o_orderstatus = 'F' AS is_coinbase,
-       CAST(0 AS BIGINT) AS n_inputs, CAST(1 AS BIGINT) AS n_outputs
+       CAST(0 AS DOUBLE) AS n_inputs, CAST(1 AS DOUBLE) AS n_outputs
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 UNION ALL
 SELECT 't' || o.o_orderkey, 'b' || o.o_orderkey, {_ep('o.o_orderdate')}, {_ep(_MONTH)},
-       o.o_orderstatus = 'F', CAST(1 AS BIGINT), CAST(NULL AS BIGINT)
+       o.o_orderstatus = 'F', CAST(1 AS DOUBLE), CAST(NULL AS DOUBLE)
 FROM orders o""",
     "unnest_transfers": f"""WITH {_BASE}
 SELECT 'outputs' AS side, address, CAST(value AS DOUBLE) AS value, hash, {_ep('block_time')} AS block_time,

@@ -103,9 +103,16 @@ def _stats(spark, d):
     return profile.column_stats(_examples(spark, d))
 
 
+# Nullable counts are reported as double in the registered queries and their
+# oracles: one representation in every client (nullable integers become
+# floats in some dataframe conversions and stay integers in others).
+NULLABLE_COUNTS = ("zeros", "distinct", "domain_size")
+
+
 def q_column_stats(spark, d):
     s = _stats(spark, d)
-    return s.select(*[fixed(c, 6).alias(c) if c in ("mean", "std_dev", "avg_length") else F.col(c)
+    return s.select(*[fixed(c, 6).alias(c) if c in ("mean", "std_dev", "avg_length")
+                      else F.col(c).cast("double").alias(c) if c in NULLABLE_COUNTS else F.col(c)
                       for c in s.columns])
 
 
@@ -131,7 +138,8 @@ def _schema(spark, d):
 
 
 def q_infer_schema(spark, d):
-    return _schema(spark, d)[2][0]
+    c = _schema(spark, d)[2][0]
+    return c.withColumn("domain_size", F.col("domain_size").cast("double"))
 
 
 def q_validate_examples(spark, d):
@@ -429,15 +437,16 @@ def _stats_sql():
         if kind == "text":
             parts.append(f"""SELECT split, '{c}' AS "column", 'BYTES' AS type, count({qc}) AS count,
   count(*) - count({qc}) AS missing, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max,
-  CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std_dev, CAST(NULL AS BIGINT) AS zeros,
-  count(DISTINCT {qc}) AS "distinct", {fixed_sql(f'avg(length({qc}))', 6)} AS avg_length FROM ex GROUP BY split""")
+  CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std_dev, CAST(NULL AS DOUBLE) AS zeros,
+  CAST(count(DISTINCT {qc}) AS DOUBLE) AS "distinct", {fixed_sql(f'avg(length({qc}))', 6)} AS avg_length
+FROM ex GROUP BY split""")
         else:
             t = "INT" if c == "month" else "FLOAT"
             x = f"CAST({qc} AS DOUBLE)"
             parts.append(f"""SELECT split, '{c}' AS "column", '{t}' AS type, count({qc}) AS count,
   count(*) - count({qc}) AS missing, min({x}) AS min, max({x}) AS max,
   {fixed_sql(f'avg({x})', 6)} AS mean, {fixed_sql(f'stddev_pop({x})', 6)} AS std_dev,
-  count(*) FILTER (WHERE {x} = 0) AS zeros, CAST(NULL AS BIGINT) AS "distinct",
+  CAST(count(*) FILTER (WHERE {x} = 0) AS DOUBLE) AS zeros, CAST(NULL AS DOUBLE) AS "distinct",
   CAST(NULL AS DOUBLE) AS avg_length FROM ex GROUP BY split""")
     return f"WITH {_EX}\n" + "\nUNION ALL\n".join(parts)
 
@@ -471,8 +480,8 @@ def _schema_sql():
     rows = []
     for c, kind in _KINDS:
         t = "BYTES" if kind == "text" else ("INT" if c == "month" else "FLOAT")
-        dom = (f"CASE WHEN count(DISTINCT {_q(c)}) <= {profile.MAX_STRING_DOMAIN} THEN count(DISTINCT {_q(c)}) END"
-               if kind == "text" else "CAST(NULL AS BIGINT)")
+        dom = (f"CAST(CASE WHEN count(DISTINCT {_q(c)}) <= {profile.MAX_STRING_DOMAIN} "
+               f"THEN count(DISTINCT {_q(c)}) END AS DOUBLE)" if kind == "text" else "CAST(NULL AS DOUBLE)")
         rows.append(f"""SELECT '{c}' AS "column", '{t}' AS type, count(*) = count({_q(c)}) AS required,
   CASE WHEN count(*) = count({_q(c)}) THEN 1.0 ELSE 0.0 END::DOUBLE AS min_fraction, {dom} AS domain_size
 FROM ex WHERE split = 'train'""")

@@ -39,7 +39,24 @@ def value_hash(rows, cols):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
-def run(sf_dir, names=None, verbose=True):
+def pandas_rows(pdf):
+    """Rows of a pandas frame as plain Python values (NaN/NA -> None)."""
+    import pandas as pd
+    out = []
+    for rec in pdf.itertuples(index=False, name=None):
+        row = []
+        for v in rec:
+            if v is None or (not isinstance(v, (list, tuple)) and not hasattr(v, "tolist") and pd.isna(v)):
+                row.append(None)
+            elif hasattr(v, "item") and not hasattr(v, "__len__"):
+                row.append(v.item())
+            else:
+                row.append(v)
+        out.append(tuple(row))
+    return out
+
+
+def run(sf_dir, names=None, verbose=True, via_pandas=False):
     import duckdb
 
     from __spark_entry__ import oracle_sql, queries
@@ -59,7 +76,7 @@ def run(sf_dir, names=None, verbose=True):
         try:
             df = qs[name](spark, sf_dir)
             s_cols = df.columns
-            s_rows = [tuple(r) for r in df.collect()]
+            s_rows = pandas_rows(df.toPandas()) if via_pandas else [tuple(r) for r in df.collect()]
         except Exception as e:  # noqa: BLE001
             report[name] = {"ok": False, "error": f"spark: {type(e).__name__}: {str(e)[:400]}"}
             print(name, report[name]) if verbose else None
@@ -72,7 +89,7 @@ def run(sf_dir, names=None, verbose=True):
         try:
             rel = con.sql(oracles[name])
             o_cols = rel.columns
-            o_rows = rel.fetchall()
+            o_rows = pandas_rows(rel.df()) if via_pandas else rel.fetchall()
         except Exception as e:  # noqa: BLE001
             report[name] = {"ok": False, "error": f"duckdb: {type(e).__name__}: {str(e)[:400]}"}
             print(name, report[name]) if verbose else None
@@ -93,8 +110,9 @@ def run(sf_dir, names=None, verbose=True):
 
 
 if __name__ == "__main__":
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    rep = run(sf, sys.argv[2:] or None)
+    args = [a for a in sys.argv[1:] if a != "--pandas"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    rep = run(sf, args[1:] or None, via_pandas="--pandas" in sys.argv)
     bad = [k for k, v in rep.items() if v.get("ok") is False]
     print("FAILED:", bad)
     print("passed", sum(1 for v in rep.values() if v.get("ok")), "of", len(rep))
