@@ -97,15 +97,6 @@ def idle_stats(events: DataFrame, key: str = "address", t: str = "block_time",
     )
 
 
-def gap_stats(gaps: DataFrame, key: str = "address", prefix: str = "output") -> DataFrame:
-    """Mean and sample deviation over explicit gap rows (for gap frames that
-    come from elsewhere, e.g. ``idle_gaps_window``)."""
-    return gaps.groupBy(key).agg(
-        F.avg("idle_time").alias(f"mean_{prefix}_idle_time"),
-        F.stddev_samp("idle_time").alias(f"stddev_{prefix}_idle_time"),
-    )
-
-
 def idle_gaps_window(events: DataFrame, key: str = "address", t: str = "block_time") -> DataFrame:
     """Reference-shaped form (one LAG window per key). Only for small inputs
     and tests: a key's whole history lands in one task."""

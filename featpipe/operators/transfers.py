@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from featpipe.functions.distinct import bitmap_aggs, bitmap_count, fits, month_index, value_range, word_columns
 from featpipe.functions.keys import address_key, epoch_seconds
 
-SIDES = {"outputs": "output", "inputs": "input"}
-
-
 def unnest_transfers(tx: DataFrame, side: str = "outputs") -> DataFrame:
     """A1-A3: one row per element of ``tx[side]`` (inner unnest: rows with an
     empty or NULL array vanish), keyed by the joined address string.

@@ -10,15 +10,3 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-class Tables:
-    """Lazy accessor: ``Tables(spark, d).orders`` reads ``d/orders.parquet``."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
-            raise AttributeError(name)
-        return read_table(self._spark, self._dir, name)

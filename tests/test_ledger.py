@@ -360,3 +360,19 @@ def test_key_on_one_side_or_without_gap_is_dropped(spark):
     got = [r.address for r in vectors.address_vectors(df, blocks, signatures.MINER_SIGNATURES, 1, None, None).collect()]
     # 'out_only' has no input side; 'one_in' has a single input time (no input gap)
     assert got == ["both"]
+
+
+def test_read_ledger_from_written_tables(spark):
+    import tempfile
+    from featpipe.sources.ledger import ledger_from_tables, read_ledger
+    from tests.conftest import SF_SMALL
+    tx, blocks = ledger_from_tables(spark, SF_SMALL)
+    base = tempfile.mkdtemp(prefix="featpipe-ledger-")
+    tx.write.parquet(f"{base}/transactions")
+    blocks.write.parquet(f"{base}/blocks")
+    tx2, blocks2 = read_ledger(spark, f"{base}/transactions", f"{base}/blocks")
+    assert tx2.schema == tx.schema or tx2.columns == tx.columns
+    a = vectors.address_vectors(tx, blocks, ["555247454e54", "48494748"], 6, None, None)
+    b = vectors.address_vectors(tx2, blocks2, ["555247454e54", "48494748"], 6, None, None)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert a.count() > 0
