@@ -3,9 +3,12 @@ driver's ``lineitem`` and ``orders``), with DuckDB oracles where SQL can
 express the result.
 
 One-hot vectors are reported in a compact exact form per row: depth (length),
-hot position and element sum; an assembled feature vector as its length, sum
-and position-weighted sum. Floating results whose summation order may differ
-between engines go through ``fixed`` on both sides.
+hot position (of the 1.0) and number of non-zero elements, which together fix
+the vector. An assembled feature vector is reported as its length, the hot
+position inside each one-hot segment, the non-zero count of those segments and
+every numeric element read at its position. All of it is lambda-free column
+arithmetic. Floating results whose summation order may differ between engines
+go through ``fixed`` on both sides.
 
 Queries without an oracle (model fits, scoring, artifacts, approximate
 quantiles) get the driver's rows-only check.
@@ -47,11 +50,15 @@ def _fit(spark, d):
     return features.fit(_train(spark, d), SPEC)
 
 
+def _nonzeros(arr):
+    return F.size(F.array_remove(arr, F.lit(0.0))).cast("bigint")
+
+
 def _compact_onehot(df, feature):
     arr = F.col(XF(feature))
     return [F.size(arr).cast("bigint").alias(f"{XF(feature)}_depth"),
             (F.array_position(arr, F.lit(1.0)) - 1).cast("bigint").alias(f"{XF(feature)}_hot"),
-            F.aggregate(arr, F.lit(0.0), lambda a, b: a + b).alias(f"{XF(feature)}_sum")]
+            _nonzeros(arr).alias(f"{XF(feature)}_nnz")]
 
 
 def _compact(df, keep=("split",)):
@@ -183,12 +190,25 @@ def q_preprocess(spark, d):
 
 
 def q_assemble_features(spark, d):
-    t = features.assemble_features(_transformed(spark, d), SPEC, "features")
+    params = _fit(spark, d)
+    t = features.assemble_features(features.apply(_examples(spark, d), params), SPEC, "features")
     v = F.col("features")
-    weighted = F.aggregate(F.transform(v, lambda x, i: x * (i + 1).cast("double")), F.lit(0.0), lambda a, b: a + b)
-    return t.select("split", F.size(v).cast("bigint").alias("n_features"),
-                    fixed(F.aggregate(v, F.lit(0.0), lambda a, b: a + b), 6).alias("feature_sum"),
-                    fixed(weighted, 4).alias("feature_checksum"), LABEL_KEY)
+    # element positions (1-based) from the sorted feature order
+    pos, cols, at = 1, [], {}
+    for name in features.feature_order(SPEC):
+        src = name[: -len(features.SUFFIX)]
+        width = params.depth(src) if src in SPEC.categorical else 1
+        at[name] = (pos, width)
+        pos += width
+    for name, (p, w) in at.items():
+        src = name[: -len(features.SUFFIX)]
+        if src in SPEC.categorical:
+            seg = F.slice(v, p, w)
+            cols += [(F.array_position(seg, F.lit(1.0)) - 1).cast("bigint").alias(f"{name}_hot"),
+                     _nonzeros(seg).alias(f"{name}_nnz")]
+        else:
+            cols.append(fixed(F.element_at(v, p), 6).alias(name))
+    return t.select("split", F.size(v).cast("bigint").alias("n_features"), *cols, LABEL_KEY)
 
 
 def q_fit_apply_splits(spark, d):
@@ -425,7 +445,7 @@ def _compact_sql(src="idx, mom", where=""):
     cols = ["split"] + [f"{fixed_sql(_z(c), 6)} AS {XF(c)}" for c in SPEC.numeric]
     for c in SPEC.categorical:
         cols += [f"CAST(depth_{c} AS BIGINT) AS {XF(c)}_depth", f"CAST({XF(c)}_idx AS BIGINT) AS {XF(c)}_hot",
-                 f"CAST(1.0 AS DOUBLE) AS {XF(c)}_sum"]
+                 f"CAST(1 AS BIGINT) AS {XF(c)}_nnz"]
     cols.append(f"CAST({LABEL_KEY} AS DOUBLE) AS {LABEL_KEY}")
     return f"SELECT {', '.join(cols)} FROM {src} {where}"
 
@@ -508,17 +528,15 @@ SELECT split, "column", "check", n_bad, coalesce(ok, n_bad = 0) AS ok FROM v"""
 
 
 def _assemble_sql():
-    dd, dm = "depth_day", "depth_month"
-    z = {c: _z(c) for c in SPEC.numeric}
-    total = (f"1.0 + {z['dropoff_latitude']} + {z['dropoff_longitude']} + {z['euclidean']} + 1.0"
-             f" + {z['pickup_latitude']} + {z['pickup_longitude']}")
-    weighted = (f"CAST(day_xf_idx + 1 AS DOUBLE) + {z['dropoff_latitude']} * ({dd} + 1)"
-                f" + {z['dropoff_longitude']} * ({dd} + 2) + {z['euclidean']} * ({dd} + 3)"
-                f" + CAST({dd} + 3 + month_xf_idx + 1 AS DOUBLE)"
-                f" + {z['pickup_latitude']} * ({dd} + 3 + {dm} + 1) + {z['pickup_longitude']} * ({dd} + 3 + {dm} + 2)")
-    return (_T_BASE + f"SELECT split, CAST({dd} + {dm} + 5 AS BIGINT) AS n_features, "
-            f"{fixed_sql(total, 6)} AS feature_sum, {fixed_sql(weighted, 4)} AS feature_checksum, "
-            f"CAST({LABEL_KEY} AS DOUBLE) AS {LABEL_KEY} FROM idx, mom")
+    cols = [f"CAST(depth_day + depth_month + {len(SPEC.numeric)} AS BIGINT) AS n_features"]
+    for name in features.feature_order(SPEC):
+        src = name[: -len(features.SUFFIX)]
+        if src in SPEC.categorical:
+            cols += [f"CAST({src}_xf_idx AS BIGINT) AS {name}_hot", f"CAST(1 AS BIGINT) AS {name}_nnz"]
+        else:
+            cols.append(f"{fixed_sql(_z(src), 6)} AS {name}")
+    return (_T_BASE + f"SELECT split, {', '.join(cols)}, CAST({LABEL_KEY} AS DOUBLE) AS {LABEL_KEY} "
+            "FROM idx, mom")
 
 
 _BASELINE = f"""WITH {_EX},
@@ -550,7 +568,7 @@ ORACLE = {
                              "month_xf_idx, day_xf_idx FROM idx",
     "one_hot": _T_BASE + "SELECT split, " + ", ".join(
         f"CAST(depth_{c} AS BIGINT) AS {XF(c)}_depth, CAST({XF(c)}_idx AS BIGINT) AS {XF(c)}_hot, "
-        f"CAST(1.0 AS DOUBLE) AS {XF(c)}_sum" for c in SPEC.categorical) + " FROM idx",
+        f"CAST(1 AS BIGINT) AS {XF(c)}_nnz" for c in SPEC.categorical) + " FROM idx",
     "preprocess": _T_BASE + _compact_sql(),
     "assemble_features": _assemble_sql(),
     "fit_apply_splits": _T_BASE + "SELECT split, count(*) AS n, " + ", ".join(
