@@ -73,7 +73,10 @@ def idle_moments(events: DataFrame, key: str = "address", t: str = "block_time",
         (F.size("_ts") - 1 + F.when(F.col("_prev_last").isNotNull(), 1).otherwise(0)).cast("bigint").alias("_n"),
         (epoch_seconds(F.element_at("_ts", -1)) - epoch_seconds(F.element_at("_ts", 1))
          + F.coalesce(across, F.lit(0))).alias("_s1"),
-        (F.aggregate(inner, F.lit(0).cast(WIDE), lambda acc, g: acc + g.cast(WIDE) * g.cast(WIDE))
+        # the lambda only runs for segments with two or more distinct times
+        (F.when(F.size("_ts") > 1,
+                F.aggregate(inner, F.lit(0).cast(WIDE), lambda acc, g: acc + g.cast(WIDE) * g.cast(WIDE)))
+         .otherwise(F.lit(0).cast(WIDE))
          + F.coalesce(across.cast(WIDE) * across.cast(WIDE), F.lit(0).cast(WIDE))).alias("_s2"),
     )
     return (per_seg.groupBy(key)
