@@ -7,19 +7,24 @@ gap per distinct timestamp after the first: the difference to the previous
 distinct timestamp.
 
 Plan (skew-safe replacement for one LAG window per key, which would put a hot
-key's whole history into one task):
-  1. ``groupBy(key, segment)`` collecting the *set* of timestamps, where the
-     segment is ``date_trunc(unit, t)``. Partial aggregation removes repeated
-     timestamps on the mappers; a group holds at most the distinct timestamps
-     of one key inside one segment (for block times: the blocks of one day).
-  2. gaps inside a segment from the sorted set (array functions, no Python);
-  3. gaps across segments from a window over the per-(key, segment) summary,
-     partitioned by key: its rows per key are segments, not events.
-
-``idle_stats`` does not even materialise the gaps: a segment contributes its
-gap count, its gap sum (last - first, telescoping) and its sum of squared gaps,
-all whole numbers, so mean and sample deviation come from exact integer
-moments. The final ``groupBy(key)`` reuses the window's partitioning.
+key's whole history into one task). ``units`` lists time units from fine to
+coarse, e.g. ``("day",)`` or ``("minute", "day")``:
+  1. ``groupBy(key, date_trunc(units[0], t))`` collecting the *set* of event
+     times. Partial aggregation removes repeated timestamps on the mappers; a
+     group holds at most the distinct times of one key inside one fine
+     segment (for block times and ``day``: the blocks of one day).
+  2. gaps inside a fine segment from the sorted set (array functions).
+  3. for every coarser unit, a window partitioned by (key, coarse segment)
+     over the finer segments' summaries gives the gaps across them; its
+     partitions hold at most (coarse / fine) rows, e.g. 1440 minutes a day.
+  4. a last window partitioned by key over the coarsest segments gives the
+     remaining gaps; its partitions hold one row per coarse segment.
+
+``idle_stats`` never materialises the gaps: a segment carries its gap count,
+its sum of squared gaps (whole seconds, exact in decimal(38,0)), and its first
+and last time; the gap sum of any span telescopes to last - first. Mean and
+sample deviation come from these exact integer moments. Every aggregate after
+a window reuses the window's partitioning.
 """
 
 from __future__ import annotations
@@ -32,6 +37,14 @@ from featpipe.functions.keys import epoch_seconds
 WIDE = "decimal(38,0)"
 
 
+def _zero():
+    return F.lit(0).cast(WIDE)
+
+
+def _units(units) -> tuple:
+    return (units,) if isinstance(units, str) else tuple(units)
+
+
 def _segments(events: DataFrame, key: str, t: str, unit: str) -> DataFrame:
     return (
         events.where(F.col(t).isNotNull())
@@ -46,49 +59,65 @@ def _inner_gaps(ts="_ts"):
                       lambda a, b: epoch_seconds(a) - epoch_seconds(b))
 
 
-def _with_prev_last(segs: DataFrame, key: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy("_seg")
-    return segs.withColumn("_prev_last", F.lag(F.element_at("_ts", -1)).over(w))
+def _sq(c):
+    return c.cast(WIDE) * c.cast(WIDE)
 
 
-def idle_gaps(events: DataFrame, key: str = "address", t: str = "block_time",
-              segment_unit: str = "day") -> DataFrame:
-    """One row ``(key, idle_time)`` per kept gap (bigint seconds)."""
-    segs = _with_prev_last(_segments(events, key, t, segment_unit), key)
-    across = F.when(F.col("_prev_last").isNotNull(),
-                    F.array(epoch_seconds(F.element_at("_ts", 1)) - epoch_seconds("_prev_last")))
-    gaps = F.concat(F.coalesce(across, F.array().cast("array<bigint>")), _inner_gaps())
-    return segs.select(key, F.explode(gaps).alias("idle_time"))
+def _fine_summaries(events: DataFrame, key: str, t: str, unit: str) -> DataFrame:
+    """(key, _seg, _first, _last, _n, _s2) per fine segment."""
+    segs = _segments(events, key, t, unit)
+    return segs.select(
+        key, "_seg",
+        F.element_at("_ts", 1).alias("_first"),
+        F.element_at("_ts", -1).alias("_last"),
+        (F.size("_ts") - 1).cast("bigint").alias("_n"),
+        # the lambda only runs for segments with two or more distinct times
+        F.when(F.size("_ts") > 1,
+               F.aggregate(_inner_gaps(), _zero(), lambda acc, g: acc + _sq(g))).otherwise(_zero()).alias("_s2"),
+    )
+
+
+def _roll_up(summ: DataFrame, key: str, unit: str) -> DataFrame:
+    """Merge finer segment summaries into ``unit`` segments, adding the gaps
+    between consecutive finer segments inside each coarse one."""
+    up = summ.withColumn("_up", F.date_trunc(unit, F.col("_seg")))
+    w = Window.partitionBy(key, "_up").orderBy("_seg")
+    x = up.withColumn("_prev_last", F.lag("_last").over(w))
+    b = epoch_seconds("_first") - epoch_seconds("_prev_last")     # NULL on the first finer segment
+    return x.groupBy(key, "_up").agg(
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        (F.sum("_n") + F.count(b)).alias("_n"),
+        (F.sum("_s2") + F.coalesce(F.sum(_sq(b)), _zero())).alias("_s2"),
+    ).withColumnRenamed("_up", "_seg")
 
 
 def idle_moments(events: DataFrame, key: str = "address", t: str = "block_time",
-                 segment_unit: str = "day") -> DataFrame:
+                 units=("day",)) -> DataFrame:
     """``(key, n_gaps, sum_gaps, sum_sq_gaps)`` with exact integer sums; keys
     without a gap have no row."""
-    segs = _with_prev_last(_segments(events, key, t, segment_unit), key)
-    inner = _inner_gaps()
-    across = epoch_seconds(F.element_at("_ts", 1)) - epoch_seconds("_prev_last")   # NULL on a key's first segment
-    per_seg = segs.select(
-        key,
-        (F.size("_ts") - 1 + F.when(F.col("_prev_last").isNotNull(), 1).otherwise(0)).cast("bigint").alias("_n"),
-        (epoch_seconds(F.element_at("_ts", -1)) - epoch_seconds(F.element_at("_ts", 1))
-         + F.coalesce(across, F.lit(0))).alias("_s1"),
-        # the lambda only runs for segments with two or more distinct times
-        (F.when(F.size("_ts") > 1,
-                F.aggregate(inner, F.lit(0).cast(WIDE), lambda acc, g: acc + g.cast(WIDE) * g.cast(WIDE)))
-         .otherwise(F.lit(0).cast(WIDE))
-         + F.coalesce(across.cast(WIDE) * across.cast(WIDE), F.lit(0).cast(WIDE))).alias("_s2"),
+    units = _units(units)
+    summ = _fine_summaries(events, key, t, units[0])
+    for u in units[1:]:
+        summ = _roll_up(summ, key, u)
+    w = Window.partitionBy(key).orderBy("_seg")
+    x = summ.withColumn("_prev_last", F.lag("_last").over(w))
+    b = epoch_seconds("_first") - epoch_seconds("_prev_last")
+    agg = x.groupBy(key).agg(
+        (F.sum("_n") + F.count(b)).alias("n_gaps"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        (F.sum("_s2") + F.coalesce(F.sum(_sq(b)), _zero())).alias("sum_sq_gaps"),
     )
-    return (per_seg.groupBy(key)
-            .agg(F.sum("_n").alias("n_gaps"), F.sum("_s1").alias("sum_gaps"), F.sum("_s2").alias("sum_sq_gaps"))
-            .where(F.col("n_gaps") > 0))
+    return agg.where(F.col("n_gaps") > 0).select(
+        key, "n_gaps", (epoch_seconds("_last") - epoch_seconds("_first")).alias("sum_gaps"), "sum_sq_gaps")
 
 
 def idle_stats(events: DataFrame, key: str = "address", t: str = "block_time",
-               segment_unit: str = "day", prefix: str = "output") -> DataFrame:
+               units=("day",), prefix: str = "output") -> DataFrame:
     """Mean and sample deviation of the gaps per key (NULL deviation for a
     single gap)."""
-    m = idle_moments(events, key, t, segment_unit)
+    m = idle_moments(events, key, t, units)
     n, s1, s2 = F.col("n_gaps"), F.col("sum_gaps"), F.col("sum_sq_gaps")
     # (n * S2 - S1^2) is exact in decimal(38,0); one rounding when divided
     num = (n.cast(WIDE) * s2 - s1.cast(WIDE) * s1.cast(WIDE)).cast("double")
@@ -100,6 +129,31 @@ def idle_stats(events: DataFrame, key: str = "address", t: str = "block_time",
     )
 
 
+def idle_gaps(events: DataFrame, key: str = "address", t: str = "block_time",
+              units=("day",)) -> DataFrame:
+    """One row ``(key, idle_time)`` per kept gap (bigint seconds): the gaps
+    inside fine segments, plus the gaps between consecutive segments at every
+    level of ``units``."""
+    units = _units(units)
+    segs = _segments(events, key, t, units[0])
+    parts = [segs.select(key, F.explode(_inner_gaps()).alias("idle_time"))]
+    summ = segs.select(key, "_seg", F.element_at("_ts", 1).alias("_first"),
+                       F.element_at("_ts", -1).alias("_last"))
+    for u in list(units[1:]) + [None]:
+        part = [key] if u is None else [key, F.date_trunc(u, F.col("_seg"))]
+        w = Window.partitionBy(*part).orderBy("_seg")
+        x = summ.withColumn("_prev_last", F.lag("_last").over(w))
+        parts.append(x.where(F.col("_prev_last").isNotNull()).select(
+            key, (epoch_seconds("_first") - epoch_seconds("_prev_last")).alias("idle_time")))
+        if u is not None:
+            summ = summ.groupBy(key, F.date_trunc(u, F.col("_seg")).alias("_seg")).agg(
+                F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def idle_gaps_window(events: DataFrame, key: str = "address", t: str = "block_time") -> DataFrame:
     """Reference-shaped form (one LAG window per key). Only for small inputs
     and tests: a key's whole history lands in one task."""

@@ -18,7 +18,8 @@ from featpipe.plans.inputs import ledger_tables
 from featpipe.sources.ledger import FIXTURE_MIN_HITS, FIXTURE_SIGNATURES
 from featpipe.sources.tables import read_table
 
-SEGMENT_UNIT = "day"
+SEGMENT_UNIT = "day"                # block times: distinct times per key-day are bounded by blocks
+EVENT_UNITS = ("minute", "day")     # raw event times: minute sets, minute -> day -> key roll-up
 CAP_MINERS, CAP_OTHERS = 100, 500   # caps used by the class_cap / labelled_union checks
 
 
@@ -125,14 +126,14 @@ def q_idle_stats(spark, d):
 
 def q_event_idle_stats(spark, d):
     ev = read_table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    return idle.idle_stats(ev, "user_id", "ts", "hour", "event").select(
+    return idle.idle_stats(ev, "user_id", "ts", EVENT_UNITS, "event").select(
         "user_id", fixed("mean_event_idle_time", 2).alias("mean_event_idle_time"),
         fixed("stddev_event_idle_time", 2).alias("stddev_event_idle_time"))
 
 
 def q_event_idle_gaps(spark, d):
     ev = read_table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    return idle.idle_gaps(ev, "user_id", "ts", "hour")
+    return idle.idle_gaps(ev, "user_id", "ts", EVENT_UNITS)
 
 
 def q_signature_match(spark, d):

@@ -97,10 +97,14 @@ def _events_df(spark, events):
     return spark.createDataFrame([(k, t) for k, t in events], "k string, t timestamp")
 
 
-@settings(max_examples=25, deadline=None)
+UNIT_LEVELS = [("day",), ("hour", "day"), ("minute", "hour", "day")]
+
+
+@pytest.mark.parametrize("units", UNIT_LEVELS)
+@settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["x", "y", "z"]),
                           st.integers(0, 3 * 86400 * 1000)), min_size=0, max_size=60))
-def test_segmented_gaps_equal_lag_window(spark, raw):
+def test_segmented_gaps_equal_lag_window(spark, units, raw):
     # times in milliseconds spread over three days: ties, sub-second gaps and
     # day boundaries all occur
     events = [(k, dt.datetime(2021, 5, 1, tzinfo=dt.timezone.utc).replace(tzinfo=None)
@@ -109,7 +113,7 @@ def test_segmented_gaps_equal_lag_window(spark, raw):
     df = _events_df(spark, [(k, t.replace(tzinfo=None)) for k, t in events])
     want = brute_gaps(events)
     got = {}
-    for r in idle.idle_gaps(df, "k", "t", "day").collect():
+    for r in idle.idle_gaps(df, "k", "t", units).collect():
         got.setdefault(r.k, []).append(r.idle_time)
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
     window = {}
@@ -118,7 +122,8 @@ def test_segmented_gaps_equal_lag_window(spark, raw):
     assert {k: sorted(v) for k, v in window.items()} == {k: sorted(v) for k, v in want.items()}
 
 
-def test_idle_stats_exact_moments(spark):
+@pytest.mark.parametrize("units", UNIT_LEVELS)
+def test_idle_stats_exact_moments(spark, units):
     rng = random.Random(7)
     events = []
     for k in ["p", "q", "r", "s"]:
@@ -130,7 +135,7 @@ def test_idle_stats_exact_moments(spark):
     df = _events_df(spark, events)
     utc = [(k, t.replace(tzinfo=dt.timezone.utc)) for k, t in events]
     want = brute_gaps(utc)
-    got = {r.k: r for r in idle.idle_stats(df, "k", "t", "day", "x").collect()}
+    got = {r.k: r for r in idle.idle_stats(df, "k", "t", units, "x").collect()}
     assert set(got) == set(want)
     for k, gaps in want.items():
         n = len(gaps)
