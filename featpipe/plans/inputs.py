@@ -28,11 +28,20 @@ def _key(spark: SparkSession, kind: str, sf_dir: str):
     return (spark.sparkContext.applicationId, kind, sf_dir.rstrip("/"))
 
 
+def _readable(spark, paths) -> bool:
+    try:
+        for p in (paths if isinstance(paths, tuple) else (paths,)):
+            spark.read.parquet(p).schema   # resolves the file listing
+        return True
+    except Exception:  # noqa: BLE001 - a removed folder is rebuilt
+        return False
+
+
 def _once(spark, kind, sf_dir, build):
     k = _key(spark, kind, sf_dir)
     with _lock:
         paths = _written.get(k)
-        if paths is None:
+        if paths is None or not _readable(spark, paths):
             paths = build()
             _written[k] = paths
     return paths
