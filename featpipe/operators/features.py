@@ -155,11 +155,25 @@ def one_hot(idx, depth: int) -> "F.Column":
 
 # ------------------------------------------------------------------ M9 M10 M11
 
-def apply(df: DataFrame, params: FittedParams, keep=("split",), with_index: bool = False) -> DataFrame:
+def index_column(idx_col: str, name: str, depth: int) -> "F.Column":
+    """The one-hot position as an int column carrying ML nominal metadata
+    (``depth`` values), so ``OneHotEncoder`` builds sparse vectors of exactly
+    that length without scanning the data."""
+    return F.col(idx_col).alias(name, metadata={"ml_attr": {"type": "nominal", "num_vals": depth, "name": name}})
+
+
+def apply(df: DataFrame, params: FittedParams, keep=("split",), with_index: bool = False,
+          onehot: str = "dense") -> DataFrame:
     """Transformed features ``<col>_xf`` (z-scores, one-hot vectors)
     plus the filled label under its own name when the input has it. Columns in
     ``keep`` are passed through. With ``with_index`` the one-hot positions are
-    kept as ``<col>_xf_idx``."""
+    kept as ``<col>_xf_idx``.
+
+    ``onehot="index"`` is the compact form for storage and model input at
+    scale: instead of a dense array of ``vocab + oov`` doubles per row (about
+    8 KB per categorical at ``top_k = 1000``), only ``<col>_xf_idx`` is kept,
+    with its depth in the column metadata; the model expands it sparsely
+    (``model.regress_fit``)."""
     spec = params.spec
     cols = list(spec.numeric) + list(spec.categorical)
     if spec.label and spec.label in df.columns:
@@ -172,9 +186,13 @@ def apply(df: DataFrame, params: FittedParams, keep=("split",), with_index: bool
         m, s = params.moments[c]
         out.append(zscore(c, m, s).alias(transformed_name(c)))
     for c in spec.categorical:
-        out.append(one_hot(f"{transformed_name(c)}_idx", params.depth(c)).alias(transformed_name(c)))
+        idx = f"{transformed_name(c)}_idx"
+        if onehot == "index":
+            out.append(index_column(idx, idx, params.depth(c)))
+            continue
+        out.append(one_hot(idx, params.depth(c)).alias(transformed_name(c)))
         if with_index:
-            out.append(F.col(f"{transformed_name(c)}_idx"))
+            out.append(F.col(idx))
     if spec.label and spec.label in df.columns:
         out.append(F.col(spec.label).cast("double").alias(spec.label))
     return filled.select(*out)

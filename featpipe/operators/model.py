@@ -17,12 +17,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featpipe.functions.keys import hash_bucket
-from featpipe.operators.features import FeatureSpec, assemble_features, to_vector
+from featpipe.operators.features import FeatureSpec, assemble_features, feature_order, to_vector, transformed_name
 
 RESCALE = 255.0
 
@@ -32,24 +33,58 @@ def with_feature_vector(df: DataFrame, spec: FeatureSpec, out: str = "features")
         .drop("_features_arr")
 
 
+def _is_indexed(df: DataFrame, spec: FeatureSpec) -> bool:
+    return all(f"{transformed_name(c)}_idx" in df.columns and transformed_name(c) not in df.columns
+               for c in spec.categorical) and bool(spec.categorical)
+
+
+def _estimator(spec: FeatureSpec, algorithm: str, seed: int):
+    if algorithm == "gbt":
+        return GBTRegressor(featuresCol="features", labelCol=spec.label, lossType="squared",
+                            seed=seed, checkpointInterval=10)
+    return LinearRegression(featuresCol="features", labelCol=spec.label, loss="squaredError")
+
+
 def regress_fit(transformed: DataFrame, spec: FeatureSpec, algorithm: str = "linear",
                 seed: int = 42) -> PipelineModel:
     """Fit on transformed training rows; returns a PipelineModel whose
-    input is the transformed frame (it adds ``features`` and ``prediction``)."""
+    input is the transformed frame (it adds ``features`` and ``prediction``).
+
+    Dense input (``<col>_xf`` arrays) is assembled as an array and turned into
+    a vector. Index input (``apply(..., onehot="index")``) is expanded inside
+    the model: ``OneHotEncoder(dropLast=False)`` builds sparse vectors whose
+    length comes from the column metadata (vocabulary + unknown buckets), and
+    ``VectorAssembler`` concatenates everything in sorted-name order, the same
+    layout as the dense form."""
+    if _is_indexed(transformed, spec):
+        idx = [f"{transformed_name(c)}_idx" for c in spec.categorical]
+        enc = OneHotEncoder(inputCols=idx, outputCols=[transformed_name(c) for c in spec.categorical],
+                            dropLast=False, handleInvalid="error")
+        asm = VectorAssembler(inputCols=feature_order(spec), outputCol="features")
+        return Pipeline(stages=[enc, asm, _estimator(spec, algorithm, seed)]).fit(transformed)
     data = with_feature_vector(transformed, spec)
-    if algorithm == "gbt":
-        est = GBTRegressor(featuresCol="features", labelCol=spec.label, lossType="squared",
-                           seed=seed, checkpointInterval=10)
-    else:
-        est = LinearRegression(featuresCol="features", labelCol=spec.label, loss="squaredError")
-    return PipelineModel(stages=[est.fit(data)])
+    return PipelineModel(stages=[_estimator(spec, algorithm, seed).fit(data)])
 
 
 def predict(model: PipelineModel, transformed: DataFrame, spec: FeatureSpec) -> DataFrame:
     """M13 (batch half): transformed rows -> ``prediction``."""
+    if isinstance(model.stages[0], OneHotEncoderModel):
+        out = model.transform(transformed)
+        return out.drop("features", *[transformed_name(c) for c in spec.categorical])
     return model.transform(with_feature_vector(transformed, spec)).drop("features")
 
 
+def input_form(model: PipelineModel) -> str:
+    """'index' when the model expands one-hot positions itself, else 'dense'."""
+    return "index" if isinstance(model.stages[0], OneHotEncoderModel) else "dense"
+
+
+def score(model: PipelineModel, raw: DataFrame, params, keep=("split",)) -> DataFrame:
+    """Raw rows (label optional) -> saved transform -> prediction."""
+    from featpipe.operators.features import apply
+    return predict(model, apply(raw, params, keep=keep, onehot=input_form(model)), params.spec)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path

@@ -92,16 +92,13 @@ def q_transformed_roundtrip(spark, d):
 
 
 def q_artifact_roundtrip(spark, d):
-    params = _fit(spark, d)
-    train = ex.read_examples(spark, ex.write_examples(features.apply(_examples(spark, d), params),
-                                                      scratch_path(spark, "transformed")), "train")
-    fitted = model.regress_fit(train, SPEC)
+    params, fitted, _ = _fitted_model(spark, d)
     base = scratch_path(spark, "artifact")
     features.save_params(params, f"{base}/transform")
     model.save_model(fitted, f"{base}/model")
     p2, m2 = features.load_params(spark, f"{base}/transform"), model.load_model(f"{base}/model")
     raw = _examples(spark, d).where(F.col("split") == "eval").drop(LABEL_KEY)
-    return model.predict(m2, features.apply(raw, p2), SPEC).select("split", "prediction")
+    return model.score(m2, raw, p2).select("split", "prediction")
 
 
 # ---------------------------------------------------------------- M1-M3
@@ -230,8 +227,11 @@ def q_transform_saved(spark, d):
 # ---------------------------------------------------------------- M12-M18
 
 def _fitted_model(spark, d):
+    """Fit on the written, compact transformed examples (one-hot positions;
+    the model expands them sparsely)."""
     params = _fit(spark, d)
-    path = ex.write_examples(features.apply(_examples(spark, d), params), scratch_path(spark, "transformed"))
+    path = ex.write_examples(features.apply(_examples(spark, d), params, onehot="index"),
+                             scratch_path(spark, "transformed"))
     return params, model.regress_fit(ex.read_examples(spark, path, "train"), SPEC), path
 
 
@@ -244,7 +244,7 @@ def q_regress_fit(spark, d):
 def q_score_batch(spark, d):
     params, fitted, _ = _fitted_model(spark, d)
     raw = _examples(spark, d).drop(LABEL_KEY)
-    return model.predict(fitted, features.apply(raw, params), SPEC).select("split", "prediction")
+    return model.score(fitted, raw, params).select("split", "prediction")
 
 
 def q_score_stream(spark, d):

@@ -46,7 +46,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = Non
     report = profile.validate_examples(examples, stats, constraints, domain)
 
     params = features.fit(examples.where("split = 'train'"), spec)
-    path = ex.write_examples(features.apply(examples, params), scratch_path(spark, "transformed"))
+    # transformed examples are stored compactly: one-hot positions, not
+    # dense vectors; the model expands them sparsely
+    path = ex.write_examples(features.apply(examples, params, onehot="index"), scratch_path(spark, "transformed"))
     train = ex.read_examples(spark, path, "train")
     fitted = model.regress_fit(train, spec, algorithm)
 
@@ -69,4 +71,4 @@ def score_with_raw_label(eval_raw: DataFrame, params, fitted, spec) -> DataFrame
     name, so no join is needed."""
     from pyspark.sql import functions as F
     rows = eval_raw.withColumn("_raw_label", F.col(spec.label)).drop(spec.label)
-    return model.predict(fitted, features.apply(rows, params, keep=("_raw_label",)), spec)
+    return model.score(fitted, rows, params, keep=("_raw_label",))

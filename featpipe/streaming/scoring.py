@@ -11,8 +11,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from featpipe.operators.features import FittedParams, apply
-from featpipe.operators.model import predict
+from featpipe.operators.features import FittedParams
+from featpipe.operators.model import score
 
 
 def score_stream(spark: SparkSession, source: str, schema: T.StructType, params: FittedParams,
@@ -21,7 +21,7 @@ def score_stream(spark: SparkSession, source: str, schema: T.StructType, params:
     """Process every file present under ``source`` (``availableNow``), write
     predictions to ``sink`` (Parquet), return the sink as a batch frame."""
     raw = spark.readStream.schema(schema).parquet(source)
-    scored = predict(model, apply(raw, params, keep=keep), params.spec)
+    scored = score(model, raw, params, keep=keep)
     q = (scored.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())

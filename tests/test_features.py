@@ -289,3 +289,27 @@ def test_broadcast_if_small_checks_size(spark):
     with pytest.raises(TooLarge):
         bounded_local(big, 10)
     assert bounded_local(small, 5).count() == 5
+
+
+def test_index_form_model_equals_dense_form(spark, train):
+    big = train
+    for _ in range(3):
+        big = big.unionByName(big)
+    big = big.withColumn("rid", F.monotonically_increasing_id())
+    p = features.fit(big)
+    dense = features.apply(big, p, keep=("rid",))
+    index = features.apply(big, p, keep=("rid",), onehot="index")
+    assert "day_xf" not in index.columns and "day_xf_idx" in index.columns
+    meta = index.schema["day_xf_idx"].metadata["ml_attr"]
+    assert meta["num_vals"] == p.depth("day")
+    md, mi = model.regress_fit(dense, p.spec), model.regress_fit(index, p.spec)
+    assert model.input_form(md) == "dense" and model.input_form(mi) == "index"
+    a = {r.rid: r.prediction for r in model.predict(md, dense, p.spec).collect()}
+    b = {r.rid: r.prediction for r in model.predict(mi, index, p.spec).collect()}
+    assert a.keys() == b.keys()
+    assert all(a[k] == pytest.approx(b[k], rel=1e-6, abs=1e-6) for k in a)
+    # the written compact form keeps the depth for the encoder
+    path = tempfile.mkdtemp(prefix="featpipe-idx-")
+    index.write.mode("overwrite").parquet(path)
+    back = spark.read.parquet(path)
+    assert back.schema["day_xf_idx"].metadata["ml_attr"]["num_vals"] == p.depth("day")
