@@ -26,9 +26,34 @@ SESSION_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# Sizing for the large-cluster target (about 100 TB of nested transactions,
+# ~1000 executors); applied by ``configure(spark, cluster=True)``.
+#  * the widest shuffle is the first-level per-transfer aggregate: at roughly
+#    60 bytes per exploded transfer and 50-100 billion transfers that is
+#    3-6 TB, i.e. 12k-24k partitions of 256 MB; AQE starts from the upper bound
+#    and coalesces small partitions at run time;
+#  * scans read 512 MB splits (nested Parquet decodes to several times its
+#    size; 512 MB keeps a task's input well inside executor memory);
+#  * a partition is treated as skewed above 1 GB and 5x the median, and split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "24000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "24000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+}
+
+
+def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
+    """Apply the settings featpipe relies on; with ``cluster`` also the
+    large-cluster sizing (left to the cluster's own defaults otherwise)."""
     for k, v in SESSION_CONF.items():
         spark.conf.set(k, v)
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            spark.conf.set(k, v)
     return spark
 
 
