@@ -3,9 +3,9 @@ ages (G1) and transfer statistics (G2a-f).
 
 Every aggregate here is a ``groupBy`` with partial (map-side) aggregation, so a
 key that owns a large share of all transfers is pre-reduced on every mapper
-before the shuffle. The one distinct count (transactions) is planned by Spark
-as a two-level aggregate keyed first on (address, hash), which spreads a hot
-address over its transactions.
+before the shuffle. The one distinct aggregate (transactions) is planned by
+Spark as a two-level aggregate keyed first on (address, hash), which spreads a
+hot address over its transactions; distinct months use a bitmap.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from featpipe.functions.distinct import bitmap_aggs, bitmap_count, fits, month_index, value_range, word_columns
 from featpipe.functions.keys import address_key, epoch_seconds
 
+
 def unnest_transfers(tx: DataFrame, side: str = "outputs") -> DataFrame:
     """A1-A3: one row per element of ``tx[side]`` (inner unnest: rows with an
     empty or NULL array vanish), keyed by the joined address string.
