@@ -32,7 +32,7 @@ def _rounded_vectors(df):
     out = []
     for c in df.columns:
         if c.startswith("stddev_tx_"):
-            out.append(fixed(c, 4).alias(c))
+            out.append(fixed(c, 3).alias(c))
         elif c.endswith("_idle_time"):
             out.append(fixed(c, 2).alias(c))
         else:
@@ -296,7 +296,7 @@ def _vec_select(cols, src="labelled") -> str:
     for c in cols:
         e = exprs.get(c, c)
         if c.startswith("stddev_tx_"):
-            e = fixed_sql(e, 4)
+            e = fixed_sql(e, 3)
         elif c.endswith("_idle_time"):
             e = fixed_sql(e, 2)
         out.append(f"{e} AS {c}")
@@ -317,7 +317,7 @@ def _transfer_stats_sql() -> str:
   {_ep(f'{p}_month_min')} AS side_month_min, {_ep(f'{p}_month_max')} AS side_month_max,
   {p}_active_months AS side_active_months, total_tx_{p}_count AS total_tx_side_count,
   total_tx_{p}_value AS total_tx_side_value, mean_tx_{p}_value AS mean_tx_side_value,
-  {fixed_sql(f'stddev_tx_{p}_value', 4)} AS stddev_tx_side_value, total_{p}_tx AS total_side_tx,
+  {fixed_sql(f'stddev_tx_{p}_value', 3)} AS stddev_tx_side_value, total_{p}_tx AS total_side_tx,
   mean_monthly_{p}_value AS mean_monthly_side_value, mean_monthly_{p}_count AS mean_monthly_side_count
 FROM {p}_stats""")
     return (f"WITH {_BASE},{_stats_sql('out_t', 'output')},{_stats_sql('in_t', 'input')}\n"

@@ -32,6 +32,9 @@ from featpipe.sources.trips import (CATEGORICAL_FEATURE_KEYS, LABEL_KEY, NUMERIC
                                     TRIPS_SQL, trips)
 
 SPEC = features.FeatureSpec()
+# comparison places: about 1e-9 of the magnitude (MAE ~ 1e4, MSE ~ 1e9 here),
+# well above the last-bit noise of summing in another order
+MAE_PLACES, MSE_PLACES = 3, 0
 XF = features.transformed_name
 TOPK_VALUES = 10
 
@@ -115,7 +118,8 @@ NULLABLE_COUNTS = ("zeros", "distinct", "domain_size")
 
 def q_column_stats(spark, d):
     s = _stats(spark, d)
-    return s.select(*[fixed(c, 6).alias(c) if c in ("mean", "std_dev", "avg_length")
+    return s.select(*[fixed(c, 4).alias(c) if c in ("mean", "std_dev")
+                      else fixed(c, 6).alias(c) if c == "avg_length"
                       else F.col(c).cast("double").alias(c) if c in NULLABLE_COUNTS else F.col(c)
                       for c in s.columns])
 
@@ -267,7 +271,8 @@ def _baseline_scored(spark, d):
 
 
 def _metrics_cols(m):
-    return m.select(fixed(evaluate.MAE, 4).alias(evaluate.MAE), fixed(evaluate.MSE, 2).alias(evaluate.MSE),
+    return m.select(fixed(evaluate.MAE, MAE_PLACES).alias(evaluate.MAE),
+                    fixed(evaluate.MSE, MSE_PLACES).alias(evaluate.MSE),
                     "n", "n_missing_label")
 
 
@@ -277,8 +282,8 @@ def q_eval_metrics(spark, d):
 
 def q_quality_gate(spark, d):
     g = evaluate.quality_gate(evaluate.eval_metrics(_baseline_scored(spark, d), LABEL_KEY))
-    return g.withColumn("value", F.when(F.col("metric") == evaluate.MAE, fixed("value", 4))
-                        .otherwise(fixed("value", 2)))
+    return g.withColumn("value", F.when(F.col("metric") == evaluate.MAE, fixed("value", MAE_PLACES))
+                        .otherwise(fixed("value", MSE_PLACES)))
 
 
 def q_gated_publish(spark, d):
@@ -465,7 +470,7 @@ FROM ex GROUP BY split""")
             x = f"CAST({qc} AS DOUBLE)"
             parts.append(f"""SELECT split, '{c}' AS "column", '{t}' AS type, count({qc}) AS count,
   count(*) - count({qc}) AS missing, min({x}) AS min, max({x}) AS max,
-  {fixed_sql(f'avg({x})', 6)} AS mean, {fixed_sql(f'stddev_pop({x})', 6)} AS std_dev,
+  {fixed_sql(f'avg({x})', 4)} AS mean, {fixed_sql(f'stddev_pop({x})', 4)} AS std_dev,
   CAST(count(*) FILTER (WHERE {x} = 0) AS DOUBLE) AS zeros, CAST(NULL AS DOUBLE) AS "distinct",
   CAST(NULL AS DOUBLE) AS avg_length FROM ex GROUP BY split""")
     return f"WITH {_EX}\n" + "\nUNION ALL\n".join(parts)
@@ -577,13 +582,13 @@ ORACLE = {
                     for c in SPEC.categorical) + " FROM idx, mom GROUP BY split",
     "transform_saved": _T_BASE + _compact_sql(),
     "transformed_roundtrip": _T_BASE + _compact_sql(where="WHERE split = 'eval'"),
-    "eval_metrics": _BASELINE + f"SELECT {fixed_sql('mae', 4)} AS mean_absolute_error, "
-                                f"{fixed_sql('mse', 2)} AS mean_squared_error, n, n_missing_label FROM m",
+    "eval_metrics": _BASELINE + f"SELECT {fixed_sql('mae', MAE_PLACES)} AS mean_absolute_error, "
+                                f"{fixed_sql('mse', MSE_PLACES)} AS mean_squared_error, n, n_missing_label FROM m",
     "quality_gate": _BASELINE + f""",
-g AS (SELECT 'mean_absolute_error' AS metric, {fixed_sql('mae', 4)} AS value, CAST(1.0 AS DOUBLE) AS lower_bound,
+g AS (SELECT 'mean_absolute_error' AS metric, {fixed_sql('mae', MAE_PLACES)} AS value, CAST(1.0 AS DOUBLE) AS lower_bound,
              CAST(4.0 AS DOUBLE) AS upper_bound, mae IS NOT NULL AND mae >= 1.0 AND mae <= 4.0 AS ok FROM m
       UNION ALL
-      SELECT 'mean_squared_error', {fixed_sql('mse', 2)}, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM m)
+      SELECT 'mean_squared_error', {fixed_sql('mse', MSE_PLACES)}, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM m)
 SELECT *, (SELECT count(*) FROM g WHERE NOT ok) = 0 AS blessed FROM g""",
     "latest_artifact": f"""SELECT name, version, {"CAST(floor(epoch_us(update_time) / 1000000) AS BIGINT)"} AS update_time, total
 FROM (SELECT 'c' || o_custkey AS name, o_orderkey AS version, o_orderdate AS update_time, o_totalprice AS total,

@@ -63,7 +63,8 @@ def run(sf_dir, names=None, verbose=True, via_pandas=False):
     from featpipe.session import local_session
     from featpipe.sources.tables import TABLES
 
-    spark = local_session(8)
+    spark = local_session(os.environ.get("ORACLE_CPUS", "8"),
+                          shuffle_partitions=int(os.environ.get("ORACLE_SHUFFLE_PARTITIONS", "8")))
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
