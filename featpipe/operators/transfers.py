@@ -49,8 +49,8 @@ def activity_ages(transfers: DataFrame, prefix: str = "output") -> DataFrame:
 
 def month_range(tx: DataFrame):
     """(lo, hi) month index of a transactions table: plain min/max of its
-    month column (answered from Parquet footers when aggregate pushdown is
-    on); a superset of the months of any side's transfers."""
+    month column (one small job reading a single date column); a superset of
+    the months of any side's transfers."""
     r = tx.agg(F.min("block_timestamp_month").alias("lo"), F.max("block_timestamp_month").alias("hi")).first()
     if r["lo"] is None:
         return None

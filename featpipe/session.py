@@ -21,8 +21,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
-    # plain MIN/MAX/COUNT of a Parquet scan answered from file footers
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
