@@ -381,3 +381,26 @@ def test_read_ledger_from_written_tables(spark):
     b = vectors.address_vectors(tx2, blocks2, ["555247454e54", "48494748"], 6, None, None)
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     assert a.count() > 0
+
+
+def test_hot_key_with_a_third_of_all_transfers(spark):
+    rng = random.Random(5)
+    rows, blocks = [], []
+    for i in range(300):
+        secs = rng.randint(0, 120) * 86400 + rng.choice([0, 0, 0, 3600, 7200])   # many equal times
+        hot = i % 3 == 0
+        outs = [tr(["hot"] if hot else [rng.choice("abcdef")], rng.randint(1, 999) / 10)]
+        ins = [tr(["hot"] if rng.random() < 0.34 else [rng.choice("abcdef")], rng.randint(1, 999) / 10)]
+        rows.append(tx(f"h{i}", secs, ins, outs, rng.choice([True, False]), block=f"b{i % 30}"))
+    for b in range(30):
+        blocks.append((f"b{b}", "2f736c7573682f" if b % 2 else "00"))
+    df = frame(spark, rows).repartition(4)
+    bdf = spark.createDataFrame(blocks, BLOCKS_SCHEMA)
+    want = brute_vectors(rows, blocks, signatures.MINER_SIGNATURES, 5)
+    got = {r.address: r.asDict() for r in
+           vectors.address_vectors(df, bdf, signatures.MINER_SIGNATURES, 5, None, None).collect()}
+    assert "hot" in got and set(got) == set(want)
+    assert want["hot"]["total_tx_output_count"] == 100
+    for k, w in want.items():
+        for c in vectors.VECTOR_COLUMNS:
+            assert _close(got[k][c], w[c]), (k, c, got[k][c], w[c])
