@@ -36,7 +36,9 @@ class PipelineResult:
 def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = None,
                  spec: features.FeatureSpec = features.FeatureSpec(), algorithm: str = "linear",
                  name: str = "trips-regressor", thresholds=evaluate.DEFAULT_THRESHOLDS) -> PipelineResult:
-    examples = ex.hash_split(raw)
+    # example generation: the split examples are written once (partitioned by
+    # split) and every later stage reads them, as the source's components do
+    examples = ex.read_examples(spark, ex.write_examples(ex.hash_split(raw), scratch_path(spark, "examples")))
     kinds = profile.feature_kinds(examples)
     # one row per (split, column): computed once, reused by schema and checks
     stats = bounded_local(profile.column_stats(examples, kinds), 4 * len(kinds))
