@@ -155,7 +155,7 @@ def idle_gaps(events: DataFrame, key: str = "address", t: str = "block_time",
 
 
 def idle_gaps_window(events: DataFrame, key: str = "address", t: str = "block_time") -> DataFrame:
-    """Reference-shaped form (one LAG window per key). Only for small inputs
+    """Plain LAG form (one window per key). Only for small inputs
     and tests: a key's whole history lands in one task."""
     w = Window.partitionBy(key).orderBy(t)
     return (
