@@ -76,3 +76,19 @@ def test_oracles_match_at_small_scale(spark):
     failed = {k: v for k, v in rep.items() if v.get("ok") is False}
     assert not failed, failed
     assert sum(1 for v in rep.values() if v.get("ok")) >= 42
+
+
+def test_flagship_shuffle_budget(spark):
+    """Labelled vectors: per side two exchanges for the statistics (two-level
+    distinct) and two for the idle figures (segments, then the key window),
+    one for the signature set; nothing else."""
+    from featpipe.operators import signatures, vectors
+    from featpipe.plans.inputs import ledger_tables
+    from featpipe.sources.ledger import FIXTURE_MIN_HITS, FIXTURE_SIGNATURES
+    tx, blocks = ledger_tables(spark, SF_SMALL)
+    v = vectors.label(vectors.unlabelled_vectors(tx),
+                      signatures.signature_keys(blocks, tx, FIXTURE_SIGNATURES, FIXTURE_MIN_HITS))
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    shuffles = plan.count("Exchange hashpartitioning")
+    assert shuffles <= 9, plan
+    assert "Expand" not in plan          # distinct months use the bitmap, not a second distinct
