@@ -404,3 +404,17 @@ def test_hot_key_with_a_third_of_all_transfers(spark):
     for k, w in want.items():
         for c in vectors.VECTOR_COLUMNS:
             assert _close(got[k][c], w[c]), (k, c, got[k][c], w[c])
+
+
+def test_build_vectors_job(spark):
+    import tempfile
+    from featpipe.plans.ledger_job import build_vectors
+    from featpipe.sources.ledger import ledger_from_tables
+    from tests.conftest import SF_SMALL
+    tx, blocks = ledger_from_tables(spark, SF_SMALL)
+    base = tempfile.mkdtemp(prefix="featpipe-job-")
+    tx.write.parquet(f"{base}/tx")
+    blocks.write.parquet(f"{base}/blocks")
+    v = build_vectors(spark, f"{base}/tx", f"{base}/blocks", f"{base}/out",
+                      signatures=["555247454e54", "48494748"], min_hits=6)
+    assert v.columns == vectors.VECTOR_COLUMNS and v.count() == 150
