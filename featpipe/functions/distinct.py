@@ -46,6 +46,10 @@ def bitmap_aggs(index: Column, lo: int, hi: int, prefix: str) -> list[Column]:
     """Aggregate expressions: word ``w`` is the ``bit_or`` of ``2^(v-lo-63w)``
     over the values ``v`` of ``index`` falling in it (NULLs ignored)."""
     rel = (index - F.lit(lo)).cast("int")
+    # a value outside [lo, hi] would set no bit and be lost: fail instead
+    rel = F.when((rel < 0) | (rel > hi - lo),
+                 F.raise_error(F.lit(f"value outside the measured range [{lo}, {hi}]")).cast("int")
+                 ).otherwise(rel)
     word = F.floor(rel / BITS)
     bit = F.pow(F.lit(2.0), (rel % BITS).cast("double")).cast("bigint")
     return [F.bit_or(F.when(word == w, bit)).alias(f"{prefix}{w}") for w in range(n_words(lo, hi))]

@@ -418,3 +418,13 @@ def test_build_vectors_job(spark):
     v = build_vectors(spark, f"{base}/tx", f"{base}/blocks", f"{base}/out",
                       signatures=["555247454e54", "48494748"], min_hits=6)
     assert v.columns == vectors.VECTOR_COLUMNS and v.count() == 150
+
+
+def test_month_bitmap_rejects_values_outside_the_range(spark):
+    from featpipe.functions.distinct import bitmap_aggs, bitmap_count, month_index
+    df = spark.createDataFrame([("k", dt.date(2020, 5, 1))], "k string, month date")
+    lo = 2020 * 12 + 5   # one month after the only value
+    bad = df.groupBy("k").agg(*bitmap_aggs(month_index("month"), lo, lo + 10, "_w")) \
+        .select(bitmap_count("_w", lo, lo + 10))
+    with pytest.raises(Exception):
+        bad.collect()
