@@ -136,6 +136,15 @@ def idle_gaps(events: DataFrame, key: str = "address", t: str = "block_time",
     level of ``units``."""
     units = _units(units)
     segs = _segments(events, key, t, units[0])
+    if len(units) == 1:
+        # one aggregate, one window: per segment [gap to the previous one] ++
+        # inner gaps, exploded once
+        w = Window.partitionBy(key).orderBy("_seg")
+        x = segs.withColumn("_prev_last", F.lag(F.element_at("_ts", -1)).over(w))
+        across = F.when(F.col("_prev_last").isNotNull(),
+                        F.array(epoch_seconds(F.element_at("_ts", 1)) - epoch_seconds("_prev_last")))
+        gaps = F.concat(F.coalesce(across, F.array().cast("array<bigint>")), _inner_gaps())
+        return x.select(key, F.explode(gaps).alias("idle_time"))
     parts = [segs.select(key, F.explode(_inner_gaps()).alias("idle_time"))]
     summ = segs.select(key, "_seg", F.element_at("_ts", 1).alias("_first"),
                        F.element_at("_ts", -1).alias("_last"))
