@@ -90,6 +90,25 @@ def transactions_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFram
     return lines.unionByName(order_rows)
 
 
+def transactions_grouped_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The conventional nesting: one row per order, ``outputs`` holding all of
+    its lines (NULL for an order without lines). Its arrays are bounded by the
+    lines of one order; ``transactions_from_tables`` gives the same exploded
+    transfers without grouping and is what the queries use."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    line_addr = F.when(
+        F.col("l_linenumber") == 7,
+        F.array(F.concat(F.lit("a"), F.col("l_partkey")), F.concat(F.lit("a"), F.col("l_suppkey"))),
+    ).otherwise(F.array(F.concat(F.lit("a"), F.col("l_partkey"))))
+    outs = lineitem.groupBy("l_orderkey").agg(
+        F.collect_list(_transfer(line_addr, F.col("l_extendedprice"))).alias("outputs"))
+    return o.join(outs, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        *_header(o),
+        F.array(_transfer(F.array(F.concat(F.lit("a"), F.col("o_custkey"))), F.col("o_totalprice"))).alias("inputs"),
+        F.col("outputs").cast(TRANSFERS).alias("outputs"),
+    )
+
+
 def blocks_from_tables(orders: DataFrame) -> DataFrame:
     """``blocks(hash, coinbase_param)``: coinbase text is the lower-case hex of
     the order priority."""

@@ -428,3 +428,26 @@ def test_month_bitmap_rejects_values_outside_the_range(spark):
         .select(bitmap_count("_w", lo, lo + 10))
     with pytest.raises(Exception):
         bad.collect()
+
+
+def test_row_per_line_nesting_equals_row_per_order_nesting(spark):
+    from featpipe.sources.ledger import (FIXTURE_MIN_HITS, FIXTURE_SIGNATURES, blocks_from_tables,
+                                         transactions_from_tables, transactions_grouped_from_tables)
+    from featpipe.sources.tables import read_table
+    from tests.conftest import SF_SMALL
+    orders, lineitem = read_table(spark, SF_SMALL, "orders"), read_table(spark, SF_SMALL, "lineitem")
+    flat = transactions_from_tables(orders, lineitem)
+    grouped = transactions_grouped_from_tables(orders, lineitem)
+    assert grouped.count() == orders.count()
+    assert grouped.where("outputs is null").count() > 0          # orders without lines
+    blocks = blocks_from_tables(orders)
+
+    def vec(tx):
+        return {r.address: r.asDict() for r in
+                vectors.address_vectors(tx, blocks, FIXTURE_SIGNATURES, FIXTURE_MIN_HITS, None, None).collect()}
+    a, b = vec(flat), vec(grouped)
+    assert set(a) == set(b) and len(a) > 0
+    # equal up to the summation order of floating deviations
+    for k in a:
+        for c in vectors.VECTOR_COLUMNS:
+            assert _close(a[k][c], b[k][c]), (k, c, a[k][c], b[k][c])
