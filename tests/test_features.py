@@ -313,3 +313,15 @@ def test_index_form_model_equals_dense_form(spark, train):
     index.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
     assert back.schema["day_xf_idx"].metadata["ml_attr"]["num_vals"] == p.depth("day")
+
+
+def test_stream_scoring_with_no_files(spark, train):
+    from featpipe.streaming.scoring import score_stream
+    big = train.unionByName(train).unionByName(train)
+    p = features.fit(big)
+    m = model.regress_fit(features.apply(big, p, onehot="index"), p.spec)
+    raw = big.drop("trip_total")
+    src = tempfile.mkdtemp(prefix="featpipe-empty-src-")
+    sink, ck = tempfile.mkdtemp(prefix="featpipe-sink-") + "/out", tempfile.mkdtemp(prefix="featpipe-ck-")
+    out = score_stream(spark, src, raw.schema, p, m, sink, ck, keep=("split",))
+    assert out.count() == 0 and "prediction" in out.columns
