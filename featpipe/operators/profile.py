@@ -187,6 +187,17 @@ def infer_schema(stats: DataFrame, freqs: DataFrame | None = None, train_split:
     return constraints, domain
 
 
+_SCHEMA_TYPES = {"INT": T.LongType(), "FLOAT": T.DoubleType(), "BYTES": T.StringType()}
+
+
+def schema_struct(constraints: DataFrame) -> T.StructType:
+    """M2 as a Spark schema: one field per constraint row (one row per
+    column, so collecting it is bounded by the column count); a required
+    column is not nullable."""
+    rows = sorted(constraints.select("column", "type", "required").collect(), key=lambda r: r["column"])
+    return T.StructType([T.StructField(r["column"], _SCHEMA_TYPES[r["type"]], not r["required"]) for r in rows])
+
+
 def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
                       domain: DataFrame | None, splits=SPLITS,
                       max_domain_rows: int = MAX_STRING_DOMAIN) -> DataFrame:

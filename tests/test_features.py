@@ -325,3 +325,13 @@ def test_stream_scoring_with_no_files(spark, train):
     sink, ck = tempfile.mkdtemp(prefix="featpipe-sink-") + "/out", tempfile.mkdtemp(prefix="featpipe-ck-")
     out = score_stream(spark, src, raw.schema, p, m, sink, ck, keep=("split",))
     assert out.count() == 0 and "prediction" in out.columns
+
+
+def test_schema_struct_from_constraints(spark, train):
+    from pyspark.sql import types as T
+    constraints, _ = profile.infer_schema(profile.column_stats(train))
+    st = profile.schema_struct(constraints)
+    f = {x.name: x for x in st.fields}
+    assert isinstance(f["month"].dataType, T.LongType) and isinstance(f["day"].dataType, T.StringType)
+    assert isinstance(f["pickup_latitude"].dataType, T.DoubleType) and not f["pickup_latitude"].nullable
+    assert f["dropoff_latitude"].nullable
