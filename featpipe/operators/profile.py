@@ -250,3 +250,18 @@ def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
 
 def anomalies(report: DataFrame) -> DataFrame:
     return report.where(~F.col("ok"))
+
+
+class ValidationError(ValueError):
+    pass
+
+
+def require_valid(report: DataFrame, max_shown: int = 20) -> DataFrame:
+    """Strict mode: raise when the report has an anomaly (validation itself is
+    advisory and never stops a pipeline). Only up to ``max_shown`` failed rows
+    are brought to the driver for the message."""
+    bad = anomalies(report).take(max_shown)
+    if bad:
+        detail = ", ".join(f"{r['split']}/{r['column']}/{r['check']}={r['n_bad']}" for r in bad)
+        raise ValidationError(f"example validation failed: {detail}")
+    return report

@@ -181,6 +181,10 @@ def test_schema_and_validation_anomalies(spark, train):
     dropped = profile.validate_examples(ev.drop("euclidean"), profile.column_stats(ev.drop("euclidean")),
                                         constraints, domain, splits=("eval",))
     assert ("euclidean", "missing_column") in {(r.column, r.check) for r in profile.anomalies(dropped).collect()}
+    with pytest.raises(profile.ValidationError):
+        profile.require_valid(report)
+    clean = profile.validate_examples(train, stats, constraints, domain, splits=("train",))
+    assert profile.require_valid(clean) is clean
 
 
 # ------------------------------------------------------------------ evaluation
