@@ -100,16 +100,23 @@ def column_quantiles(df: DataFrame, kinds: dict[str, str] | None = None,
 
 
 def column_histogram(df: DataFrame, kinds: dict[str, str] | None = None,
-                     buckets: int = HISTOGRAM_BUCKETS) -> DataFrame:
+                     buckets: int = HISTOGRAM_BUCKETS, stats: DataFrame | None = None) -> DataFrame:
     """Equal-width histogram per split and numeric column:
     ``(split, column, bucket, low, high, count)``; bucket ``b`` covers
     ``[min + b*w, min + (b+1)*w)``, the last one closed; a constant column has
-    everything in bucket 0."""
+    everything in bucket 0. With ``stats`` (``column_stats`` output) the
+    bounds come from there, and the histogram is a single pass."""
     kinds = kinds or feature_kinds(df)
     num = [c for c, k in kinds.items() if k != "BYTES"]
-    bounds = df.groupBy("split").agg(
-        *[F.min(F.col(f"`{c}`").cast("double")).alias(f"mn{i}") for i, c in enumerate(num)],
-        *[F.max(F.col(f"`{c}`").cast("double")).alias(f"mx{i}") for i, c in enumerate(num)])
+    if stats is not None:
+        s = stats.where(F.col("column").isin(num))
+        bounds = s.groupBy("split").agg(
+            *[F.max(F.when(F.col("column") == c, F.col("min"))).alias(f"mn{i}") for i, c in enumerate(num)],
+            *[F.max(F.when(F.col("column") == c, F.col("max"))).alias(f"mx{i}") for i, c in enumerate(num)])
+    else:
+        bounds = df.groupBy("split").agg(
+            *[F.min(F.col(f"`{c}`").cast("double")).alias(f"mn{i}") for i, c in enumerate(num)],
+            *[F.max(F.col(f"`{c}`").cast("double")).alias(f"mx{i}") for i, c in enumerate(num)])
     # one row per split value: broadcast after a size check
     j = df.join(broadcast_if_small(bounds, MAX_BROADCAST_ROWS), "split")
     cols = []

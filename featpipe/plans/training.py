@@ -24,6 +24,7 @@ from featpipe.sources import examples as ex
 @dataclass
 class PipelineResult:
     stats: DataFrame
+    histogram: DataFrame
     constraints: DataFrame
     report: DataFrame
     params: features.FittedParams
@@ -42,6 +43,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = Non
     kinds = profile.feature_kinds(examples)
     # one row per (split, column): computed once, reused by schema and checks
     stats = bounded_local(profile.column_stats(examples, kinds), 4 * len(kinds))
+    # bounds from the statistics above: the histogram is one more pass (lazy)
+    histogram = profile.column_histogram(examples, kinds, stats=stats)
     text_cols = [c for c, k in kinds.items() if k == "BYTES"]
     freqs = profile.value_frequencies(examples, text_cols) if text_cols else None
     constraints, domain = profile.infer_schema(stats, freqs)
@@ -64,7 +67,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = Non
         model.save_model(fitted, f"{p}/model")
 
     manifest_row = evaluate.gated_publish(spark, gate, registry or scratch_path(spark, "registry"), name, _save)
-    return PipelineResult(stats, constraints, report, params, fitted, metrics, gate, manifest_row)
+    return PipelineResult(stats, histogram, constraints, report, params, fitted, metrics, gate, manifest_row)
 
 
 def score_with_raw_label(eval_raw: DataFrame, params, fitted, spec) -> DataFrame:

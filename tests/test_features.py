@@ -339,3 +339,10 @@ def test_schema_struct_from_constraints(spark, train):
     assert isinstance(f["month"].dataType, T.LongType) and isinstance(f["day"].dataType, T.StringType)
     assert isinstance(f["pickup_latitude"].dataType, T.DoubleType) and not f["pickup_latitude"].nullable
     assert f["dropoff_latitude"].nullable
+
+
+def test_histogram_bounds_from_stats_equal_own_bounds(spark, train):
+    stats = profile.column_stats(train)
+    a = sorted(map(str, profile.column_histogram(train).collect()))
+    b = sorted(map(str, profile.column_histogram(train, stats=stats).collect()))
+    assert a == b and len(a) > 0
