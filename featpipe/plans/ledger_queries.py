@@ -191,6 +191,13 @@ def q_address_vectors(spark, d):
     return _rounded_vectors(v)
 
 
+def q_address_vectors_defaults(spark, d):
+    """C1 with the source's own defaults: the nine pool signatures, 20 hits,
+    2000 vectors per class."""
+    tx, blocks = _ledger(spark, d)
+    return _rounded_vectors(vectors.address_vectors(tx, blocks))
+
+
 QUERIES = {
     "ledger_scan": q_ledger_scan,
     "unnest_transfers": q_unnest_transfers,
@@ -211,6 +218,7 @@ QUERIES = {
     "class_cap": q_class_cap,
     "labelled_union": q_labelled_union,
     "address_vectors": q_address_vectors,
+    "address_vectors_defaults": q_address_vectors_defaults,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -273,6 +281,15 @@ def _gaps_sql(src: str, p: str, key: str = "address", t: str = "block_time") ->
   FROM {p}_gaps GROUP BY {key})"""
 
 
+def _miners_sql(sigs, min_hits) -> str:
+    return f"""
+miners AS (
+  SELECT {_OUT_KEY} AS miner, count(*) AS hits
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE o.o_orderstatus = 'F' AND {_sig_sql(sigs)}
+  GROUP BY 1 HAVING count(*) >= {min_hits})"""
+
+
 _VEC_BASE = f"WITH {_BASE},{_stats_sql('out_t', 'output')},{_stats_sql('in_t', 'input')}," \
             f"{_gaps_sql('out_t', 'output')},{_gaps_sql('in_t', 'input')},{_MINERS}," + """
 vec AS (
@@ -377,4 +394,8 @@ WHERE o.o_orderstatus = 'F' AND {_sig_sql(FIXTURE_SIGNATURES)}""",
         "is_miner", CAP_MINERS) + " UNION ALL " + _capped("NOT is_miner", CAP_OTHERS) + ")"),
     "address_vectors": _VEC_BASE + _vec_select(vectors.VECTOR_COLUMNS, "(" + _capped("is_miner", vectors.DEFAULT_CAP)
                                                + " UNION ALL " + _capped("NOT is_miner", vectors.DEFAULT_CAP) + ")"),
+    "address_vectors_defaults": _VEC_BASE.replace(
+        _MINERS, _miners_sql(signatures.MINER_SIGNATURES, signatures.MIN_HITS)) + _vec_select(
+        vectors.VECTOR_COLUMNS, "(" + _capped("is_miner", vectors.DEFAULT_CAP) + " UNION ALL "
+        + _capped("NOT is_miner", vectors.DEFAULT_CAP) + ")"),
 }
