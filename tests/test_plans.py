@@ -28,7 +28,8 @@ def test_every_oracle_has_a_query(registry):
 
 
 @pytest.mark.parametrize("name", [
-    "address_vectors", "transfer_stats", "idle_gaps", "idle_stats", "event_idle_stats", "signature_keys",
+    "address_vectors", "address_vectors_defaults", "transfer_stats", "idle_gaps", "idle_stats",
+    "event_idle_stats", "event_idle_gaps", "signature_keys",
     "anti_signature", "semi_signature", "column_stats", "column_histogram", "column_topk", "validate_examples",
     "vocab_fit", "preprocess", "assemble_features", "fit_apply_splits", "eval_metrics", "quality_gate",
     "latest_artifact", "vector_rescale", "hash_split",
