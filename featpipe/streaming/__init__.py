@@ -1,0 +1,2 @@
+"""Structured Streaming: stateless scoring of arriving files with the saved
+transform and model (scoring)."""
