@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +66,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker, across tasks."""
+    return sys.modules.setdefault("_featpipe_worker", types.ModuleType("_featpipe_worker")).__dict__
+
+
 class WordCodes(dict):
     """Word (bytes) -> 64-bit hash, remembered while the task runs."""
 

@@ -9,16 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import quality
+from featpipe.llm import quality, tokens
 from featpipe.llm.common import table
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text under byte_bpe_50k.json, by compiled transducers."""
+    import public_tokenizers
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and hashed n-gram log-likelihood ratio of every document."""
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op7_token_counts": op7_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 
