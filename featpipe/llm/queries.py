@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import quality, tokens
+from featpipe.llm import language, quality, tokens
 from featpipe.llm.common import table
 
 
@@ -19,6 +19,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text: script ranges, word scores, Viterbi."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and hashed n-gram log-likelihood ratio of every document."""
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -26,6 +32,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op7_token_counts": op7_token_counts,
+    "op8_language": op8_language,
     "op10_quality_rules": op10_quality_rules,
 }
 
