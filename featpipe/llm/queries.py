@@ -9,10 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import language, quality, tokens
+from featpipe.llm import language, mixing, quality, tokens, warc
 from featpipe.llm.common import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to dictionary-compressed archives and read back."""
+    return (warc.archive_pages(table(spark, sf_dir, "pages"))
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to target weights by source; the target in thousandths of a word."""
+    return (mixing.mix(table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", (F.floor(F.col("target") * 1000 + 0.5) / 1000).alias("target"),
+                    "taken"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under byte_bpe_50k.json, by compiled transducers."""
     import public_tokenizers
@@ -31,9 +44,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_mixing": op2_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc": warc.ORACLE,
+    "op2_mixing": mixing.ORACLE,
+}
