@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import language, mixing, quality, tokens, warc
+from featpipe.llm import language, mixing, quality, sharding, tokens, warc
 from featpipe.llm.common import table
 
 
@@ -26,6 +26,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "taken"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes, by k-d tree."""
+    sharded = sharding.with_slots(sharding.shard(table(spark, sf_dir, "documents"), n_shards=24))
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                          F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under byte_bpe_50k.json, by compiled transducers."""
     import public_tokenizers
@@ -46,6 +53,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op5_sharding": op5_sharding,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op10_quality_rules": op10_quality_rules,
