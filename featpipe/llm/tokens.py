@@ -28,9 +28,9 @@ from featpipe.llm.common import batches_by_size, worker_cache
 
 CHUNK = 64
 BATCH_BYTES = 2 << 20
-#: Pre-tokens and transducer states a task remembers before it starts anew.
-MEMO_TOKENS = 300_000
-MEMO_STATES = 200_000
+#: Pre-tokens and transducer states a worker remembers before it starts anew (about 300 MB).
+MEMO_TOKENS = 1_000_000
+MEMO_STATES = 500_000
 
 # symbols of the first transducer
 LETTER, NUMBER, OTHER, QUOTE1, QUOTE2, SPACE_LAST, WHITE_LAST, WHITE, RESET = range(9)
@@ -158,7 +158,6 @@ class TokenCounts(dict):
         self.reset()
 
     def reset(self) -> None:
-        self.clear()
         self.states = [((), b"")]
         self.numbers = {self.states[0]: 0}
         self.steps: dict = {}
@@ -242,7 +241,9 @@ class TokenCounts(dict):
         return number_to, change
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= MEMO_TOKENS or len(self.states) >= MEMO_STATES:
+        if len(self) >= MEMO_TOKENS:
+            self.clear()
+        if len(self.states) >= MEMO_STATES:
             self.reset()
         state = count = 0
         for byte in word.encode():
