@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import language, mixing, quality, sharding, tokens, warc
+from featpipe.llm import jaccard, language, mixing, quality, sharding, tokens, warc
 from featpipe.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "taken"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 5-word shingle Jaccard of 0.75."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes, by k-d tree."""
     sharded = sharding.with_slots(sharding.shard(table(spark, sf_dir, "documents"), n_shards=24))
@@ -53,6 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_sharding": op5_sharding,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
