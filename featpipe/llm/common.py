@@ -43,10 +43,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 1
     """Mark ``df`` for broadcast when it has at most ``max_rows`` rows and
     about ``max_bytes`` bytes; otherwise return it as it is, so that the
     planner joins by shuffle."""
-    text = [F.coalesce(F.length(c), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
-    width = F.lit(8 * len(df.columns))
-    for t in text:
-        width = width + t
+    width = F.lit(16 + 8 * len(df.columns)).cast("long")
+    for c, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind.startswith("array<"):
+            width = width + 8 * kind.count(":") * F.coalesce(F.size(c), F.lit(0)) + 8 * F.coalesce(F.size(c), F.lit(0))
     n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import jaccard, language, mixing, quality, sharding, tokens, warc
+from featpipe.llm import jaccard, language, mixing, quality, sharding, substrings, tokens, warc
 from featpipe.llm.common import table
 
 
@@ -38,6 +38,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents left after passages of 50 words or more that an earlier document has."""
+    return (substrings.remove_repeats(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under byte_bpe_50k.json, by compiled transducers."""
     import public_tokenizers
@@ -60,6 +66,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_sharding": op5_sharding,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op10_quality_rules": op10_quality_rules,
