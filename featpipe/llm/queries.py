@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import jaccard, language, mixing, quality, sharding, substrings, tokens, warc
+from featpipe.llm import decontaminate, jaccard, language, mixing, quality, sharding, substrings, tokens, warc
 from featpipe.llm.common import table
 
 
@@ -31,6 +31,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and benchmark items that overlap: (doc_id, item_id) with the best place."""
+    return (decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "item_id", "matched", "compared", "first", "hits"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes, by k-d tree."""
     sharded = sharding.with_slots(sharding.shard(table(spark, sf_dir, "documents"), n_shards=24))
@@ -65,6 +71,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_token_counts": op7_token_counts,
