@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import decontaminate, jaccard, language, mixing, quality, sharding, substrings, tokens, warc
+from featpipe.llm import decontaminate, jaccard, language, lines, mixing, quality, sharding, substrings, tokens, warc
 from featpipe.llm.common import table
 
 
@@ -62,6 +62,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that repeat an earlier line, exactly or nearly."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and hashed n-gram log-likelihood ratio of every document."""
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -76,6 +81,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
