@@ -26,7 +26,7 @@ and gives back the links of a spanning forest.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featpipe.llm.common import (WordCodes, batches_by_size, checked_broadcast, ngram_hashes, partitions, written)
@@ -36,7 +36,7 @@ WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Share of a set's shingles that must be common beyond the least in the first filter.
-MARGIN = 0.1
+MARGIN = 0.05
 #: Classes of a block of the product.
 BLOCK = 200
 #: Overlap increments of one column block.
@@ -80,23 +80,28 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("binary"), F.lit(b"")))
+
+
 def describe(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class) per document; class is null for an empty set."""
+    """(doc_id, key, n_shingles, class) per document; ``key`` is a hash of the
+    text, ``class`` of the set (null when it is empty)."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
         import pyarrow as pa
         memo = WordCodes()
         for batch in batches:
-            for part in batches_by_size(batch, 1, BATCH_BYTES):
-                sets = [shingle_set(t or b"", memo) for t in part.column(1).to_pylist()]
+            for part in batches_by_size(batch, 2, BATCH_BYTES):
+                sets = [shingle_set(t or b"", memo) for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([class_key(s) if len(s) else None for s in sets], pa.int64())],
-                    ["doc_id", "n_shingles", "class"])
+                    ["doc_id", "key", "n_shingles", "class"])
 
-    return (docs.select("doc_id", F.col(text).cast("binary").alias("_text"))
-            .mapInArrow(run, f"doc_id {kind}, n_shingles long, class long"))
+    return (docs.select("doc_id", text_key(F.col(text)).alias("key"), F.col(text).cast("binary").alias("_text"))
+            .mapInArrow(run, f"doc_id {kind}, key long, n_shingles long, class long"))
 
 
 def _prefixes(batches):
@@ -111,12 +116,14 @@ def _prefixes(batches):
         g = np.concatenate(grams)
         k = np.repeat(np.array([x for x, _ in owners], dtype=np.int64), [m for _, m in owners])
         order = np.argsort(g, kind="stable")
-        g, k = g[order], k[order]
-        first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+        ranked = g[order]
+        first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
         count = np.diff(np.r_[first, len(g)])
-        many = np.repeat(count >= MANY, count)
+        many = np.empty(len(g), dtype=bool)
+        many[order] = np.repeat(count >= MANY, count)
         at, n = np.unique(k[many], return_counts=True)
-        marked = g[first[count >= MANY]]
+        marked = ranked[first[count >= MANY]]
+        # the postings stay in the order of their sets, which compresses far better
         rows = (np.r_[_signed(g[~many]), _signed(marked), at], np.r_[k[~many], np.zeros(len(marked), np.int64), at],
                 np.r_[np.zeros(len(g) - many.sum() + len(marked), np.int64), n])
         return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["gram", "class", "n"])
@@ -209,16 +216,21 @@ def hub_members(sets: DataFrame) -> DataFrame:
     Shingles are ordered by the number of classes that hold them, rarest first;
     shingles no other class holds come before all, and only take up places of
     the prefix. Linked classes share a shingle in both prefixes, hence a hub."""
-    rows = sets.select("class", "n", "score", F.explode("grams").alias("gram"))
-    held = (rows.groupBy("gram").agg(F.count(F.lit(1)).alias("held"),
-                                     F.max(F.struct("score", "n", "class")).alias("_hub"))
-            .where("held > 1").select("gram", "held", F.col("_hub.class").alias("hub")))
+    # a long that orders classes by score, ties by a hash: narrow rows for the widest shuffle
+    rank = F.shiftleft(F.floor(F.col("score") * (1 << 20)).cast("long"), 32).bitwiseOR(F.xxhash64("class").bitwiseAND(F.lit((1 << 32) - 1)))
+    rows = sets.select("class", rank.alias("rank"), F.explode("grams").alias("gram"))
+    held = (rows.groupBy("gram").agg(F.count(F.lit(1)).alias("held"), F.max_by("class", "rank").alias("hub"))
+            .where("held > 1"))
+    # one long orders the shingles by the number of classes, then by hash; equal places are all taken
+    place = F.shiftleft(F.least(F.col("held"), F.lit((1 << 20) - 1)), 43).bitwiseOR(F.shiftrightunsigned("gram", 21))
+    met = rows.select("class", "gram").join(held.select("gram", "hub", place.alias("place")), "gram").select("class", "hub", "place")
     own = Window.partitionBy("class")
     least = F.ceil(F.lit(PERCENT) * F.col("n") / F.lit(100.0))
-    ranked = (rows.join(held, "gram")
-              .withColumn("place", F.row_number().over(own.orderBy("held", "gram")))
-              .withColumn("shared", F.count(F.lit(1)).over(own)))
-    return ranked.where((F.col("shared") >= least) & (F.col("place") <= F.col("shared") - least + 1)).select("hub", "class").distinct()
+    ranked = (met.withColumn("rank", F.rank().over(own.orderBy("place"))).withColumn("shared", F.count(F.lit(1)).over(own))
+              .where(F.col("rank") <= F.ceil(F.col("shared") * (100 - PERCENT) / 100.0) + 1))
+    # of n shingles the n - shared of no other class come first in the order
+    return (ranked.join(sets.select("class", "n"), "class")
+            .where((F.col("shared") >= least) & (F.col("rank") <= F.col("shared") - least + 1)).select("hub", "class").distinct())
 
 
 def _hub_overlaps(batches):
@@ -342,8 +354,10 @@ def links(sets: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, class, component_id for every document.
+    """doc_id, key, n_shingles, class, group, component_id for every document.
 
+    ``group`` is shared by the rows of a component of two rows or more, and
+    null elsewhere.
     ``component_id`` is the smallest doc_id reachable by links, the document's
     own included; a document with an empty set is linked with nothing, not even
     with other empty ones. A null id counts as larger than any other: a
@@ -352,21 +366,34 @@ def jaccard_components(docs: DataFrame, text: str = "text") -> DataFrame:
     described = written(describe(docs, text), "jaccard-described")
     sets = candidate_sets(docs, described, text)
     joined = components(links(sets), "a", "b", "jaccard-links")
-    named = described.join(joined.select(F.col("node").alias("class"), "component"), "class", "left")
-    named = named.withColumn("component", F.coalesce("component", "class"))
-    first = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    # an empty set has no component to join and stays by itself
-    return (named.join(first, "component", "left")
-            .select("doc_id", "n_shingles", "class",
-                    F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    classes = (described.where("class is not null").groupBy("class")
+               .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
+    classes = classes.join(joined.withColumnRenamed("node", "class"), "class", "left")
+    linked = classes.where("component is not null")
+    first = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # the classes of two rows or more, and those linked; every other row stands alone
+    named = linked.join(first, "component").select("class", "component_id", F.col("component").alias("group")).union(
+        classes.where("component is null and copies > 1").select("class", "first_id", "class"))
+    named = written(named.withColumnRenamed("class", "_class"), "jaccard-named")
+    return (described.join(named, F.col("class") == F.col("_class"), "left")
+            .select("doc_id", "key", "n_shingles", "class", "group",
+                    F.when(F.col("group").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Documents of ``docs`` that have the smallest id of their component.
-
-    Of rows that share that id one stays."""
-    gone = found.where("doc_id != component_id or (doc_id is null and component_id is not null)")
-    ids = checked_broadcast(gone.where("doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), 1_000_000)
-    kept = docs.join(ids, F.col("doc_id") == F.col("_gone"), "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    """Documents of ``docs`` that come first in their component: least id (null
+    last), then least text hash. Of rows repeated in id and text one stays."""
+    order = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    rows = written(found.where("group is not null").select("group", order.alias("order"), "key"), "jaccard-grouped")
+    first = written(rows.groupBy("group").agg(F.min(F.struct("order", "key")).alias("_first")), "jaccard-first")
+    gone = (rows.join(first, "group").where(F.struct("order", "key") != F.col("_first"))
+            .select(F.col("order").alias("_order"), F.col("key").alias("_key")).distinct())
+    gone = checked_broadcast(written(gone, "jaccard-gone"), 1_000_000)
+    named = docs.withColumn("_order", order).withColumn("_key", text_key(F.col("text")))
+    kept = named.join(gone, ["_order", "_key"], "left_anti")
+    repeated = rows.groupBy(F.col("order").alias("_order"), F.col("key").alias("_key")).count().where("count > 1").drop("count")
+    repeated = written(repeated, "jaccard-repeated")
+    if repeated.limit(1).count():
+        once = kept.join(repeated, ["_order", "_key"], "left_semi").dropDuplicates(["_order", "_key"])
+        kept = kept.join(repeated, ["_order", "_key"], "left_anti").unionByName(once)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,7 +8,7 @@ takes whole epochs first and cuts the last one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featpipe.llm.common import checked_broadcast, n_words, written
@@ -50,10 +50,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
                         F.least(F.floor(target + 0.5), F.col("cap")).cast("long").alias("budget"))
 
 
+def order_key(seed: str = "mix") -> Column:
+    """Hash-random key of a document: from the seed, its id and its text."""
+    text = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
         seed: str = "mix") -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, and the
-    document's place (``before``: words of its source ahead of it in the order).
+    """One row per document: doc_id, key, source, source_no, size, source_size,
+    target, budget, epochs (whole ones), before (words of its source ahead of it) and taken.
 
     ``taken`` counts the words the mix takes of the document over all epochs;
     the last document of an epoch is cut, so that a source's taken words equal
@@ -61,26 +67,38 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     null sources form one source, ordered last. Rows equal in id and text have
     equal keys; which of them comes first does not change the result as a
     whole. An empty table gives an empty result."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)))
-    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key")), "mix-rows")
+    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), order_key(seed).alias("key")),
+                   "mix-rows")
     targets = written(source_targets(rows.select("source", "size"), weights, max_epochs), "mix-targets")
     side = checked_broadcast(targets.withColumnRenamed("source", "_source"))
-    placed = (rows.join(side, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"))
+    placed = rows.join(side, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     placed = prefix_sums(placed, "source_no", ["key", "doc_id", "size"], "size", "mix-order")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.greatest(F.col("source_size"), F.lit(1))))
-    rest = F.col("budget") - F.col("_epochs") * F.col("source_size")
+    placed = placed.withColumn("epochs", F.coalesce(whole, F.lit(0)).cast("long"))
+    rest = F.col("budget") - F.col("epochs") * F.col("source_size")
     last = F.least(F.greatest(rest - F.col("before"), F.lit(0)), F.col("size"))
-    return (placed.withColumn("_epochs", F.coalesce(whole, F.lit(0)).cast("long"))
-            .withColumn("taken", (F.col("_epochs") * F.col("size") + last).cast("long"))
-            .drop("_epochs", "key"))
+    return placed.withColumn("taken", (F.col("epochs") * F.col("size") + last).cast("long"))
+
 
+def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
+            seed: str = "mix") -> DataFrame:
+    """The rows of the mix, in whole documents: ``docs`` repeated as often as they are taken.
 
-def repeats(mixed: DataFrame) -> DataFrame:
-    """Copies of each whole document in the mix: its epochs, plus one when the
-    last epoch takes at least half of it."""
-    return mixed.withColumn("copies", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5))
-                            .otherwise(0).cast("int"))
+    The document at a source's cut is in the last epoch when at least half of
+    it is inside the budget. Documents without words are left out. Each source
+    comes down to its epochs and the key its last epoch ends at, so the texts
+    are not shuffled."""
+    mixed = mix(docs, weights, max_epochs, seed)
+    extra = F.col("taken") - F.col("epochs") * F.col("size")
+    cuts = mixed.where("size > 0").groupBy("source").agg(
+        F.first("epochs").alias("_epochs"), F.min(F.when(2 * extra < F.col("size"), F.col("key"))).alias("_cut"))
+    cuts = checked_broadcast(written(cuts.withColumnRenamed("source", "_source"), "mix-cuts"))
+    last = F.when(F.col("_cut").isNull() | (F.col("_key") < F.col("_cut")), 1).otherwise(0)
+    copies = F.when(n_words(F.col("text")) > 0, F.col("_epochs") + last).otherwise(0).cast("int")
+    named = docs.withColumn("_key", order_key(seed)).join(cuts, F.col("source").eqNullSafe(F.col("_source")))
+    return (named.withColumn("_copies", copies).where("_copies > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 ORACLE = r"""

@@ -21,6 +21,8 @@ BUCKETS = 1 << 16
 GRAM = 4
 #: Trusted documents the target multinomial is fitted on at most, chosen by a hash of their id.
 TARGET_ROWS = 20_000
+#: Weight of the corpus in the smoothed target: an n-gram the target lacks scores log(SMOOTHING).
+SMOOTHING = 0.01
 #: Lowest accepted score, in nats per n-gram. A text drawn like the target scores
 #: about 0 or above; -0.6 means n-grams 1.8 times rarer in the target than in the
 #: corpus, on (geometric) average.
@@ -114,10 +116,11 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS) -> n
         raw[r.bucket], target[r.bucket] = r.raw, r.target
     if not target.sum():
         return np.zeros(BUCKETS)
-    # each side is smoothed with one observation per bucket, spread as the corpus is
-    prior = (raw + 1) / (raw.sum() + BUCKETS)
-    p_target = (target + BUCKETS * prior) / (target.sum() + BUCKETS)
-    return np.log(p_target / prior)
+    # the target is smoothed with the corpus by a share of its own size, so that an n-gram
+    # it lacks counts the same at every size
+    corpus = (raw + 1) / (raw.sum() + BUCKETS)
+    p_target = (target / target.sum() + SMOOTHING * corpus) / (1 + SMOOTHING)
+    return np.log(p_target / corpus)
 
 
 def score_documents(docs: DataFrame, ratio: np.ndarray, min_score: float = MIN_SCORE,
@@ -156,3 +159,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCO
     Documents with null ids are scored like any other; repeated rows give
     repeated results; an empty table gives an empty result."""
     return score_documents(docs, fit(docs, labels, target_rows), min_score)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE,
+             target_rows: int = TARGET_ROWS) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their columns."""
+    columns = docs.columns
+    clear = docs.toDF(*[f"_{k}" for k in range(len(columns))])
+    clear = clear.withColumn("doc_id", F.col(f"_{columns.index('doc_id')}")).withColumn("text", F.col(f"_{columns.index('text')}"))
+    scored = score_documents(clear, fit(clear, labels, target_rows), min_score, tuple(clear.columns[:len(columns)]))
+    return scored.where("kept").select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(columns)])

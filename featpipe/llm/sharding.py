@@ -124,7 +124,11 @@ def shard(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None
     heavy = heavy_groups(narrow, n_shards)
     placed = into_units(narrow, heavy)
     tree = kd_tree(units(placed), n_shards, list(dimensions))
-    rows = placed if set(keep) <= {"doc_id", "source", "lang"} else into_units(text_keys(docs), heavy)
+    if set(keep) <= {"doc_id", "source", "lang"}:
+        rows = placed
+    else:
+        columns = dict.fromkeys([*keep, "doc_id", "source", "lang", "text"])
+        rows = into_units(text_keys(docs.select(*columns)), heavy)
     return (rows.join(tree, UNIT)
             .select(*keep, F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), "shard"))
 

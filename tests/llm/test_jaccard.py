@@ -1,0 +1,101 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from featpipe.llm import jaccard
+from featpipe.llm.components import components
+from tests.llm import brute
+from tests.llm.conftest import changed, make_docs, prose
+
+
+def near_copies(seed=0):
+    """Star groups around a centre, chains, shared passages, exact copies, short texts."""
+    rng = random.Random(seed)
+    rows, k = [], 0
+
+    def add(words):
+        nonlocal k
+        rows.append((k * 7 % 1009, " ".join(words)))
+        k += 1
+
+    for g in range(6):
+        centre = prose(100 + g, 120)
+        for c in range(rng.randrange(2, 25)):
+            add(changed(centre, 1000 * g + c, 2 + c % 3))  # near the centre, hardly near each other
+        add(centre)
+    chain = prose(300, 150)
+    for c in range(12):
+        chain = changed(chain, 5000 + c, 3)
+        add(chain)
+    passage = prose(301, 90)
+    for c in range(40):
+        add(passage + prose(400 + c, 20 + c * 3))
+    same = prose(302, 80)
+    for _ in range(30):
+        add([w.upper() for w in same] if rng.random() < 0.5 else same)
+    for c in range(60):
+        add(prose(600 + c % 7, rng.randrange(1, 12)))
+    for c in range(40):
+        add(prose(700 + c, rng.randrange(1, 300)))
+    rng.shuffle(rows)
+    return rows
+
+
+def found(docs):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed,block", [(0, 200), (1, 4)])
+def test_components_match_brute_force(spark, seed, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "MANY", 3)
+    rows = near_copies(seed)
+    assert found(make_docs(spark, rows).repartition(4)) == sorted(brute.jaccard_components(rows), key=repr)
+
+
+def test_product_links_match_brute_force(monkeypatch):
+    monkeypatch.setattr(jaccard, "PRODUCTS", 500)
+    rng = random.Random(3)
+    base = [np.unique(np.random.default_rng(g).integers(0, 10**6, 40)) for g in range(4)]
+    sets = []
+    for k in range(60):
+        x = base[k % 4].copy()
+        drop = rng.sample(range(len(x)), rng.randrange(0, 8))
+        sets.append(np.unique(np.r_[np.delete(x, drop), np.array([2 * 10**6 + 50 * k + j for j in range(rng.randrange(0, 8))], dtype=int)]))
+    link = lambda a, b: 100 * len(set(a) & set(b)) >= 75 * len(set(a) | set(b))
+    got = {tuple(x) for x in jaccard.product_links(sets, None).tolist()}
+    assert got == {(i, j) for i in range(60) for j in range(i + 1, 60) if link(sets[i], sets[j])}
+    got = {tuple(x) for x in jaccard.product_links(sets[:25], sets[25:]).tolist()}
+    assert got == {(i, j) for i in range(25) for j in range(35) if link(sets[i], sets[25 + j])}
+
+
+def test_components_of_links(spark):
+    rng = random.Random(9)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(500 + k, 501 + k) for k in range(60)]
+    edges += [(700, 701 + k) for k in range(80)] + [(3, 3), (None, 4)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == brute.connected([e for e in edges if None not in e and e[0] != e[1]])
+
+
+def test_one_of_each_group(spark):
+    rows = near_copies(2)
+    docs = make_docs(spark, rows)
+    kept = {r.doc_id for r in jaccard.one_of_each(docs, jaccard.jaccard_components(docs)).collect()}
+    assert kept == {d for d, _, c in brute.jaccard_components(rows) if d == c}
+
+
+def test_edges(spark, awkward, no_docs):
+    assert jaccard.jaccard_components(no_docs).count() == 0
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    assert found(awkward) == sorted(brute.jaccard_components(rows), key=repr)
+    clash = awkward.withColumn("class", F.lit("x")).withColumn("key", F.lit(1)).withColumn("gram", F.lit(2)).withColumn("group", F.lit(3))
+    out = jaccard.jaccard_components(clash)
+    kept = jaccard.one_of_each(clash, out)
+    assert kept.columns == clash.columns
+    # the copies of document 1 (repeated, without id) leave one row; rows without words all stay
+    texts = [r.text for r in kept.collect()]
+    assert texts.count(rows[0][1]) == 1 and sum(not (t or "").split() for t in texts) == 5
+    empty = make_docs(spark, [(1, None), (2, ""), (3, " ")])
+    assert found(empty) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
