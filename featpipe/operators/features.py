@@ -231,18 +231,16 @@ def save_params(params: FittedParams, path: str) -> str:
     sizes = spark.createDataFrame([(c, params.vocab_sizes.get(c, 0)) for c in spec.categorical],
                                   "feature string, size int")
     sizes.coalesce(1).write.mode("overwrite").parquet(f"{path}/vocab_sizes")
-    meta = spark.createDataFrame([(",".join(spec.numeric), ",".join(spec.categorical), spec.label or "",
-                                   spec.top_k, spec.oov_buckets)],
-                                 "numeric string, categorical string, label string, top_k int, oov int")
+    # arrays: a column name may hold any character
+    meta = spark.createDataFrame([(list(spec.numeric), list(spec.categorical), spec.label, spec.top_k, spec.oov_buckets)],
+                                 "numeric array<string>, categorical array<string>, label string, top_k int, oov int")
     meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/spec")
     return path
 
 
 def load_params(spark: SparkSession, path: str) -> FittedParams:
     meta = spark.read.parquet(f"{path}/spec").first()
-    spec = FeatureSpec(tuple(x for x in meta["numeric"].split(",") if x),
-                       tuple(x for x in meta["categorical"].split(",") if x),
-                       meta["label"] or None, meta["top_k"], meta["oov"])
+    spec = FeatureSpec(tuple(meta["numeric"]), tuple(meta["categorical"]), meta["label"], meta["top_k"], meta["oov"])
     moments = {r["feature"]: (r["mean"], r["std"]) for r in spark.read.parquet(f"{path}/moments").collect()}
     sizes = {r["feature"]: r["size"] for r in spark.read.parquet(f"{path}/vocab_sizes").collect()}
     vocab = spark.read.parquet(f"{path}/vocab")

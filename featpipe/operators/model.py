@@ -39,6 +39,8 @@ def _is_indexed(df: DataFrame, spec: FeatureSpec) -> bool:
 
 
 def _estimator(spec: FeatureSpec, algorithm: str, seed: int):
+    if algorithm not in ("linear", "gbt"):
+        raise ValueError(f"unknown algorithm {algorithm!r}: use 'linear', 'gbt' or pass an estimator")
     if algorithm == "gbt":
         return GBTRegressor(featuresCol="features", labelCol=spec.label, lossType="squared",
                             seed=seed, checkpointInterval=10)
@@ -46,9 +48,11 @@ def _estimator(spec: FeatureSpec, algorithm: str, seed: int):
 
 
 def regress_fit(transformed: DataFrame, spec: FeatureSpec, algorithm: str = "linear",
-                seed: int = 42) -> PipelineModel:
+                seed: int = 42, estimator=None) -> PipelineModel:
     """Fit on transformed training rows; returns a PipelineModel whose
     input is the transformed frame (it adds ``features`` and ``prediction``).
+    ``estimator`` is any Spark ML estimator that reads ``features`` and the
+    label column and adds ``prediction``; it takes the place of ``algorithm``.
 
     Dense input (``<col>_xf`` arrays) is assembled as an array and turned into
     a vector. Index input (``apply(..., onehot="index")``) is expanded inside
@@ -56,14 +60,15 @@ def regress_fit(transformed: DataFrame, spec: FeatureSpec, algorithm: str = "lin
     length comes from the column metadata (vocabulary + unknown buckets), and
     ``VectorAssembler`` concatenates everything in sorted-name order, the same
     layout as the dense form."""
+    last = estimator if estimator is not None else _estimator(spec, algorithm, seed)
     if _is_indexed(transformed, spec):
         idx = [f"{transformed_name(c)}_idx" for c in spec.categorical]
         enc = OneHotEncoder(inputCols=idx, outputCols=[transformed_name(c) for c in spec.categorical],
                             dropLast=False, handleInvalid="error")
         asm = VectorAssembler(inputCols=feature_order(spec), outputCol="features")
-        return Pipeline(stages=[enc, asm, _estimator(spec, algorithm, seed)]).fit(transformed)
+        return Pipeline(stages=[enc, asm, last]).fit(transformed)
     data = with_feature_vector(transformed, spec)
-    return PipelineModel(stages=[_estimator(spec, algorithm, seed).fit(data)])
+    return PipelineModel(stages=[last.fit(data)])
 
 
 def predict(model: PipelineModel, transformed: DataFrame, spec: FeatureSpec) -> DataFrame:

@@ -46,6 +46,11 @@ def feature_kinds(df: DataFrame, exclude=("split",)) -> dict[str, str]:
     return out
 
 
+def _number(v):
+    x = v.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _wide_stats(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, (c, kind) in enumerate(kinds.items()):
@@ -54,7 +59,7 @@ def _wide_stats(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
         if kind == "BYTES":
             aggs += [F.count_distinct(v).alias(f"u{i}"), F.avg(F.length(v)).alias(f"l{i}")]
         else:
-            x = v.cast("double")
+            x = _number(v)   # NaN counts as a value but has no place in moments or bounds
             aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"a{i}"),
                      F.stddev_pop(x).alias(f"s{i}"), F.count(F.when(x == 0, 1)).alias(f"z{i}")]
     return df.groupBy("split").agg(*aggs)
@@ -92,7 +97,7 @@ def column_quantiles(df: DataFrame, kinds: dict[str, str] | None = None,
     kinds = kinds or feature_kinds(df)
     num = [c for c, k in kinds.items() if k != "BYTES"]
     w = df.groupBy("split").agg(*[
-        F.percentile_approx(F.col(f"`{c}`").cast("double"), list(probs), accuracy).alias(f"q{i}")
+        F.percentile_approx(_number(F.col(f"`{c}`")), list(probs), accuracy).alias(f"q{i}")
         for i, c in enumerate(num)])
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("q")) for i, c in enumerate(num)]
     rows = w.select("split", F.explode(F.array(*structs)).alias("_s")).select("split", "_s.*")
@@ -115,14 +120,15 @@ def column_histogram(df: DataFrame, kinds: dict[str, str] | None = None,
             *[F.max(F.when(F.col("column") == c, F.col("max"))).alias(f"mx{i}") for i, c in enumerate(num)])
     else:
         bounds = df.groupBy("split").agg(
-            *[F.min(F.col(f"`{c}`").cast("double")).alias(f"mn{i}") for i, c in enumerate(num)],
-            *[F.max(F.col(f"`{c}`").cast("double")).alias(f"mx{i}") for i, c in enumerate(num)])
+            *[F.min(_number(F.col(f"`{c}`"))).alias(f"mn{i}") for i, c in enumerate(num)],
+            *[F.max(_number(F.col(f"`{c}`"))).alias(f"mx{i}") for i, c in enumerate(num)])
     # one row per split value: broadcast after a size check
     j = df.join(broadcast_if_small(bounds, MAX_BROADCAST_ROWS), "split")
     cols = []
     for i, c in enumerate(num):
-        x, mn, mx = F.col(f"`{c}`").cast("double"), F.col(f"mn{i}"), F.col(f"mx{i}")
-        b = F.when(mx == mn, F.lit(0)).otherwise(
+        x, mn, mx = _number(F.col(f"`{c}`")), F.col(f"mn{i}"), F.col(f"mx{i}")
+        # least() skips NULLs: without the first case a missing value would fall into the last bucket
+        b = F.when(x.isNull(), F.lit(None)).when(mx == mn, F.lit(0)).otherwise(
             F.least(F.floor((x - mn) / (mx - mn) * float(buckets)), F.lit(buckets - 1)))
         cols.append(b.alias(f"b{i}"))
     jb = j.select("split", *[f"mn{i}" for i in range(len(num))], *[f"mx{i}" for i in range(len(num))], *cols)

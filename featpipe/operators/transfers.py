@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featpipe.functions.distinct import bitmap_aggs, bitmap_count, fits, month_index, value_range, word_columns
+from featpipe.functions.distinct import bitmap_aggs, bitmap_count, fits, month_index, word_columns
 from featpipe.functions.keys import address_key, epoch_seconds
 
 
@@ -47,12 +47,15 @@ def activity_ages(transfers: DataFrame, prefix: str = "output") -> DataFrame:
     )
 
 
-def month_range(tx: DataFrame):
-    """(lo, hi) month index of a transactions table: plain min/max of its
-    month column (one small job reading a single date column); a superset of
-    the months of any side's transfers."""
-    r = tx.agg(F.min("block_timestamp_month").alias("lo"), F.max("block_timestamp_month").alias("hi")).first()
-    if r["lo"] is None:
+def month_range(tx: DataFrame, month: str = "block_timestamp_month"):
+    """(lo, hi) month index of a date column when all its dates fall on one
+    day of the month, else None: only then do distinct months and distinct
+    dates count the same. One small job reading a single date column; the
+    range is a superset of the months of any side's transfers."""
+    d = F.col(month)
+    r = tx.agg(F.min(d).alias("lo"), F.max(d).alias("hi"),
+               (F.min(F.dayofmonth(d)) == F.max(F.dayofmonth(d))).alias("one_day")).first()
+    if r["lo"] is None or not r["one_day"]:
         return None
     return r["lo"].year * 12 + r["lo"].month - 1, r["hi"].year * 12 + r["hi"].month - 1
 
@@ -63,16 +66,19 @@ def transfer_stats(transfers: DataFrame, prefix: str = "output", months=None) ->
     Distinct transactions use ``count_distinct``: Spark plans a two-level
     aggregate whose first shuffle is keyed by (address, hash), which spreads a
     hot address over its transactions; every level combines map-side.
-    Distinct months use a bitmap over the measured month range (``months`` =
-    (lo, hi) month index, measured here when not given), merged like any other
-    partial aggregate, so no Expand (a copy of every row per distinct
-    aggregate) is needed. The two "monthly" means divide by the row count of
+    Active months are the distinct values of the month column, whatever dates
+    it holds. Where every date falls on the same day of its month, months stand
+    for dates, and a bitmap over the measured month range (``months`` = (lo,
+    hi) month index, measured here when not given) counts them: it is merged
+    like any other partial aggregate, so no Expand (a copy of every row per
+    distinct aggregate) is needed. Other dates are counted by
+    ``count_distinct``; both give the same number. The two "monthly" means divide by the row count of
     months, as the source does. Sums stay decimal and are cast to double once;
     the mean is sum / count.
     """
     p = prefix
     if months is None:
-        months = value_range(transfers, month_index("month"))
+        months = month_range(transfers, "month")
     use_bits = fits(*months) if months else False
     month_aggs = (bitmap_aggs(month_index("month"), months[0], months[1], "_mw") if use_bits
                   else [F.count_distinct("month").alias(f"{p}_active_months")])

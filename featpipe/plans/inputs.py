@@ -25,7 +25,14 @@ _written: dict = {}
 
 
 def _key(spark: SparkSession, kind: str, sf_dir: str):
-    return (spark.sparkContext.applicationId, kind, sf_dir.rstrip("/"))
+    """The inputs' files, sizes and times are part of the key: changed tables are read anew."""
+    state = []
+    for name in ("orders", "lineitem"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        status = fs.getFileStatus(path)
+        state.append((name, status.getLen(), status.getModificationTime()))
+    return (spark.sparkContext.applicationId, kind, sf_dir.rstrip("/"), tuple(state))
 
 
 def _readable(spark, paths) -> bool:

@@ -23,7 +23,6 @@ from featpipe.functions.keys import epoch_seconds
 from featpipe.functions.numeric import fixed, fixed_sql
 from featpipe.operators import evaluate, features, model, profile
 from featpipe.plans.inputs import trip_examples
-from featpipe.plans.training import score_with_raw_label
 from featpipe.session import scratch_path
 from featpipe.sources import csv as csv_src
 from featpipe.sources import examples as ex
@@ -100,8 +99,28 @@ def q_artifact_roundtrip(spark, d):
     features.save_params(params, f"{base}/transform")
     model.save_model(fitted, f"{base}/model")
     p2, m2 = features.load_params(spark, f"{base}/transform"), model.load_model(f"{base}/model")
-    raw = _examples(spark, d).where(F.col("split") == "eval").drop(LABEL_KEY)
-    return model.score(m2, raw, p2).select("split", "prediction")
+    return _compared(_in_memory(spark, d, params, fitted), m2, p2)
+
+
+def _in_memory(spark, d, params, fitted):
+    """Raw rows of every split with the prediction of the model in memory."""
+    raw = _examples(spark, d).drop(LABEL_KEY)
+    scored = model.score(fitted, raw, params, keep=tuple(raw.columns))
+    return scored.select(*raw.columns, F.col("prediction").alias("expected"))
+
+
+def _compared(rows, fitted, params):
+    """(rows, differing, null_predictions): the rows scored again, held
+    against ``expected`` row by row."""
+    again = model.score(fitted, rows, params, keep=("expected",))
+    return _differences(again)
+
+
+def _differences(scored):
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(~F.col("prediction").eqNullSafe(F.col("expected")), 1)).alias("differing"),
+        F.count(F.when(F.col("prediction").isNull(), 1)).alias("null_predictions"))
 
 
 # ---------------------------------------------------------------- M1-M3
@@ -242,24 +261,33 @@ def _fitted_model(spark, d):
 def q_regress_fit(spark, d):
     params, fitted, path = _fitted_model(spark, d)
     pred = model.predict(fitted, ex.read_examples(spark, path), SPEC)
-    return evaluate.eval_metrics(pred, LABEL_KEY, "prediction", slices=("split",))
+    label = F.col(LABEL_KEY)
+    train = F.col("split") == "train"
+    error = F.when(train, F.col("prediction") - label)
+    # least squares with an intercept: residuals cancel out, and no constant is nearer
+    return pred.agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.abs(F.sum(error)) <= 1e-6 * F.sum(F.when(train, F.abs(label)))).alias("unbiased_on_train"),
+        (F.avg(error * error) < F.var_pop(F.when(train, label))).alias("better_than_mean_on_train"))
 
 
 def q_score_batch(spark, d):
+    """Raw rows written as files and scored, against the model in memory."""
     params, fitted, _ = _fitted_model(spark, d)
-    raw = _examples(spark, d).drop(LABEL_KEY)
-    return model.score(fitted, raw, params).select("split", "prediction")
+    path = scratch_path(spark, "batch-src")
+    _in_memory(spark, d, params, fitted).write.parquet(path)
+    return _compared(spark.read.parquet(path), fitted, params)
 
 
 def q_score_stream(spark, d):
     from featpipe.streaming.scoring import score_stream
     params, fitted, _ = _fitted_model(spark, d)
-    raw = _examples(spark, d).drop(LABEL_KEY)
+    rows = _in_memory(spark, d, params, fitted)
     src = scratch_path(spark, "stream-src")
-    raw.write.mode("overwrite").parquet(src)
-    out = score_stream(spark, src, raw.schema, params, fitted, scratch_path(spark, "stream-sink"),
-                       scratch_path(spark, "stream-ckpt"), keep=("split",))
-    return out.select("split", "prediction")
+    rows.write.mode("overwrite").parquet(src)
+    out = score_stream(spark, src, rows.schema, params, fitted, scratch_path(spark, "stream-sink"),
+                       scratch_path(spark, "stream-ckpt"), keep=("expected",))
+    return _differences(out)
 
 
 def _baseline_scored(spark, d):
@@ -287,16 +315,24 @@ def q_quality_gate(spark, d):
 
 
 def q_gated_publish(spark, d):
+    """The deterministic predictor under the default bounds and under wide
+    ones: (name, blessed, published, reads_back)."""
     params, fitted, _ = _fitted_model(spark, d)
-    scored = score_with_raw_label(_examples(spark, d).where(F.col("split") == "eval"), params, fitted, SPEC)
-    gate = evaluate.quality_gate(evaluate.eval_metrics(scored, "_raw_label"))
+    metrics = bounded_local(evaluate.eval_metrics(_baseline_scored(spark, d), LABEL_KEY), 1)
 
     def save(p):
         features.save_params(params, f"{p}/transform")
         model.save_model(fitted, f"{p}/model")
 
-    row = evaluate.gated_publish(spark, gate, scratch_path(spark, "registry"), "trips-regressor", save)
-    return row.select("name", "blessed", "published", "mean_absolute_error")
+    registry, out = scratch_path(spark, "registry"), None
+    for name, thresholds in (("default", evaluate.DEFAULT_THRESHOLDS), ("wide", [(evaluate.MAE, 0.0, 1e15)])):
+        row = evaluate.gated_publish(spark, evaluate.quality_gate(metrics, thresholds), registry, name, save)
+        path = row.first()["path"]
+        back = path is not None and features.load_params(spark, f"{path}/transform").spec == params.spec and (
+            len(model.load_model(f"{path}/model").stages) == len(fitted.stages))
+        row = row.select("name", "blessed", "published", F.lit(back).alias("reads_back"))
+        out = row if out is None else out.union(row)
+    return out
 
 
 def q_latest_artifact(spark, d):
@@ -316,7 +352,9 @@ def q_classify_fit(spark, d):
     e = _images(spark, d)
     dim = len(e.select("embedding").first()[0])
     m = model.classify_fit(e.where(F.col("split") == "train"), dim, 10, hidden=512, max_iter=100)
-    return model.accuracy(model.classify_predict(m, e))
+    found = model.classify_predict(m, e)
+    return found.agg(F.count(F.lit(1)).alias("rows"),
+                     F.count(F.when(~F.col("prediction").isin([float(k) for k in range(10)]), 1)).alias("out_of_range"))
 
 
 def q_vector_rescale(spark, d):
@@ -349,11 +387,28 @@ def q_vocab_oov_apply(spark, d):
     return out.select("l_orderkey", "l_linenumber", features.token("l_partkey").alias("token"), "l_partkey_idx")
 
 
+def _stage_rows(res):
+    """(stage, rows) of a finished run."""
+    out = res.metrics.select(F.lit("evaluated").alias("stage"), (F.col("n") + F.col("n_missing_label")).alias("rows"))
+    for name, df in (("examples", res.examples), ("transformed", res.transformed), ("gate", res.gate), ("manifest", res.manifest_row)):
+        out = out.union(df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("rows")))
+    return out
+
+
 def q_tabular_pipeline(spark, d):
-    """The source's component chain end to end; reports the gate."""
+    """The source's component chain end to end; reports the rows of its stages."""
+    from featpipe.plans.training import run_pipeline
+    return _stage_rows(run_pipeline(spark, trips(spark, d), scratch_path(spark, "registry")))
+
+
+def q_tabular_hooks(spark, d):
+    """The chain with a user's preprocessing and a user's estimator."""
+    from pyspark.ml.regression import GBTRegressor
+
     from featpipe.plans.training import run_pipeline
-    res = run_pipeline(spark, trips(spark, d), scratch_path(spark, "registry"))
-    return res.gate
+    trees = GBTRegressor(featuresCol="features", labelCol=LABEL_KEY, maxIter=2, maxDepth=3, seed=7)
+    known = lambda raw: raw.where(F.col(LABEL_KEY).isNotNull())
+    return _stage_rows(run_pipeline(spark, trips(spark, d), scratch_path(spark, "registry"), preprocess=known, estimator=trees))
 
 
 QUERIES = {
@@ -386,6 +441,7 @@ QUERIES = {
     "classify_fit": q_classify_fit,
     "vector_rescale": q_vector_rescale,
     "tabular_pipeline": q_tabular_pipeline,
+    "tabular_hooks": q_tabular_hooks,
     "vocab_topk_cap": q_vocab_topk_cap,
     "vocab_oov_apply": q_vocab_oov_apply,
 }
@@ -486,7 +542,7 @@ def _hist_sql():
   s.mn + ((s.mx - s.mn) / CAST({b} AS DOUBLE)) * k.range AS low,
   CASE WHEN k.range = {b - 1} THEN s.mx ELSE s.mn + ((s.mx - s.mn) / CAST({b} AS DOUBLE)) * (k.range + 1) END AS high,
   (SELECT count(*) FROM ex e WHERE e.split = s.split AND
-     (CASE WHEN s.mx = s.mn THEN 0 ELSE least(floor(({x} - s.mn) / (s.mx - s.mn) * CAST({b} AS DOUBLE)), {b - 1}) END)
+     (CASE WHEN {x} IS NULL THEN NULL WHEN s.mx = s.mn THEN 0 ELSE least(floor(({x} - s.mn) / (s.mx - s.mn) * CAST({b} AS DOUBLE)), {b - 1}) END)
      = k.range) AS count
 FROM (SELECT split, min({x}) AS mn, max({x}) AS mx FROM ex GROUP BY split) s CROSS JOIN range({b}) k""")
     return f"WITH {_EX}\n" + "\nUNION ALL\n".join(parts)
@@ -557,7 +613,27 @@ pf AS (SELECT CAST(l_partkey AS VARCHAR) AS token, count(*) AS freq FROM lineite
 pv AS (SELECT 'l_partkey' AS feature, token, CAST(idx AS INTEGER) AS idx, freq FROM (
        SELECT *, row_number() OVER (ORDER BY freq DESC, token DESC) - 1 AS idx FROM pf) WHERE idx < {PART_TOP_K})"""
 
+_SAME = f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing, CAST(0 AS BIGINT) AS null_predictions FROM ({TRIPS_SQL})"
+
+
+def _stages_sql(where: str = "TRUE") -> str:
+    count = f"(SELECT count(*) FROM ex WHERE {where}"
+    return f"""WITH {_EX}
+SELECT 'evaluated' AS stage, {count} AND split = 'eval') AS rows
+UNION ALL SELECT 'examples', {count}) UNION ALL SELECT 'transformed', {count})
+UNION ALL SELECT 'gate', 2 UNION ALL SELECT 'manifest', 1"""
+
+
 ORACLE = {
+    "artifact_roundtrip": _SAME,
+    "score_batch": _SAME,
+    "score_stream": _SAME,
+    "regress_fit": f"SELECT count(*) AS rows, TRUE AS unbiased_on_train, TRUE AS better_than_mean_on_train FROM ({TRIPS_SQL})",
+    "classify_fit": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS out_of_range FROM embeddings",
+    "gated_publish": """SELECT * FROM (VALUES ('default', FALSE, FALSE, FALSE), ('wide', TRUE, TRUE, TRUE))
+AS t(name, blessed, published, reads_back)""",
+    "tabular_pipeline": _stages_sql(),
+    "tabular_hooks": _stages_sql(f"{LABEL_KEY} IS NOT NULL"),
     "csv_ingest": f"SELECT * REPLACE (CAST(month AS BIGINT) AS month) FROM ({TRIPS_SQL})",
     "hash_split": f"WITH {_EX} SELECT * FROM ex",
     "column_stats": _stats_sql(),

@@ -32,34 +32,51 @@ class PipelineResult:
     metrics: DataFrame
     gate: DataFrame
     manifest_row: DataFrame
+    examples: DataFrame
+    transformed: DataFrame
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = None,
                  spec: features.FeatureSpec = features.FeatureSpec(), algorithm: str = "linear",
-                 name: str = "trips-regressor", thresholds=evaluate.DEFAULT_THRESHOLDS) -> PipelineResult:
+                 name: str = "trips-regressor", thresholds=evaluate.DEFAULT_THRESHOLDS,
+                 preprocess=None, estimator=None,
+                 max_domain: int = profile.MAX_STRING_DOMAIN) -> PipelineResult:
+    """``preprocess`` (DataFrame -> DataFrame) runs on the raw rows before the
+    split; ``estimator`` replaces the regression of ``algorithm``;
+    ``max_domain`` bounds the domains that are inferred. Histogram and report
+    are written, and read from there by the result."""
+    if preprocess is not None:
+        raw = preprocess(raw)
     # example generation: the split examples are written once (partitioned by
     # split) and every later stage reads them, as the source's components do
     examples = ex.read_examples(spark, ex.write_examples(ex.hash_split(raw), scratch_path(spark, "examples")))
     kinds = profile.feature_kinds(examples)
     # one row per (split, column): computed once, reused by schema and checks
-    stats = bounded_local(profile.column_stats(examples, kinds), 4 * len(kinds))
+    stats = bounded_local(profile.column_stats(examples, kinds), 10_000)
     # bounds from the statistics above: the histogram is one more pass (lazy)
-    histogram = profile.column_histogram(examples, kinds, stats=stats)
+    histogram = _written(profile.column_histogram(examples, kinds, stats=stats), "histogram")
     text_cols = [c for c, k in kinds.items() if k == "BYTES"]
     freqs = profile.value_frequencies(examples, text_cols) if text_cols else None
-    constraints, domain = profile.infer_schema(stats, freqs)
-    report = profile.validate_examples(examples, stats, constraints, domain)
+    constraints, domain = profile.infer_schema(stats, freqs, max_domain=max_domain)
+    report = _written(profile.validate_examples(examples, stats, constraints, domain), "report")
 
     params = features.fit(examples.where("split = 'train'"), spec)
     # transformed examples are stored compactly: one-hot positions, not
     # dense vectors; the model expands them sparsely
     path = ex.write_examples(features.apply(examples, params, onehot="index"), scratch_path(spark, "transformed"))
     train = ex.read_examples(spark, path, "train")
-    fitted = model.regress_fit(train, spec, algorithm)
+    fitted = model.regress_fit(train, spec, algorithm, estimator=estimator)
 
     # evaluation runs on raw eval rows: NULL labels are skipped, not filled
     scored = score_with_raw_label(examples.where("split = 'eval'"), params, fitted, spec)
-    metrics = evaluate.eval_metrics(scored, "_raw_label")
+    # one row, computed once: gate, manifest and result all read it
+    metrics = bounded_local(evaluate.eval_metrics(scored, "_raw_label"), 1)
     gate = evaluate.quality_gate(metrics, thresholds)
 
     def _save(p):
@@ -67,7 +84,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = Non
         model.save_model(fitted, f"{p}/model")
 
     manifest_row = evaluate.gated_publish(spark, gate, registry or scratch_path(spark, "registry"), name, _save)
-    return PipelineResult(stats, histogram, constraints, report, params, fitted, metrics, gate, manifest_row)
+    return PipelineResult(stats, histogram, constraints, report, params, fitted, metrics, gate, manifest_row,
+                          examples, ex.read_examples(spark, path))
 
 
 def score_with_raw_label(eval_raw: DataFrame, params, fitted, spec) -> DataFrame:

@@ -1,45 +1,72 @@
 """CSV directory source with header and a per-column type rule.
 
 Every column is read as text, then one aggregation decides its type: all
-non-empty values parse as a 64-bit integer -> ``bigint``; else all parse as a
-floating number -> ``double``; else ``string``. (Spark's own ``inferSchema``
-also produces timestamps and 32-bit ints, which the rule does not have.) The
-decision is one row of counts, so the scan is read twice: once to decide, once
-to cast, as any inferring reader does.
+non-empty values are written as whole numbers and fit 64 bits -> ``bigint``;
+else all are written as decimal numbers -> ``double``; else ``string``.
+(Spark's own ``inferSchema`` also produces timestamps and 32-bit ints, which
+the rule does not have.) Only digits, a sign, a point and an exponent make a
+number: ``1d``, ``NaN`` and ``Infinity`` are text. The decision is one row of
+counts, so the scan is read twice: once to decide, once to cast, as any
+inferring reader does.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+INTEGER = r"^\s*[+-]?\d+\s*$"
+DECIMAL = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+_MALFORMED = "_malformed_record"
+
+
+class MalformedRecords(ValueError):
+    pass
 
 
 def _is_integral_text(c):
     # whole numbers written without a fraction or exponent
-    return c.rlike(r"^\s*[+-]?\d+\s*$") & c.try_cast("bigint").isNotNull()
+    return c.rlike(INTEGER) & c.try_cast("bigint").isNotNull()
 
 
 def infer_types(raw: DataFrame) -> dict[str, str]:
-    aggs = []
-    for c in raw.columns:
+    return _types_and_malformed(raw)[0]
+
+
+def _types_and_malformed(raw: DataFrame) -> tuple[dict[str, str], int]:
+    columns = [c for c in raw.columns if c != _MALFORMED]
+    aggs = [F.count(_MALFORMED).alias("malformed") if _MALFORMED in raw.columns else F.lit(0).alias("malformed")]
+    for c in columns:
         v = F.col(f"`{c}`")
         aggs += [
             F.count(v).alias(f"n|{c}"),
             F.count(F.when(_is_integral_text(v), 1)).alias(f"i|{c}"),
-            F.count(v.try_cast("double")).alias(f"d|{c}"),
+            F.count(F.when(v.rlike(DECIMAL), 1)).alias(f"d|{c}"),
         ]
     counts = raw.agg(*aggs).first().asDict()
     types = {}
-    for c in raw.columns:
+    for c in columns:
         n, i, d = counts[f"n|{c}"], counts[f"i|{c}"], counts[f"d|{c}"]
         types[c] = "bigint" if n > 0 and i == n else "double" if n > 0 and d == n else "string"
-    return types
+    return types, counts["malformed"]
 
 
-def read_csv_typed(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    types = infer_types(raw)
-    return raw.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()])
+def read_csv_typed(spark: SparkSession, path: str, malformed: str | None = None,
+                   multi_line: bool = True) -> DataFrame:
+    """Records with more or fewer cells than the header are an error, or, with
+    ``malformed``, kept: that column holds their text and is NULL elsewhere.
+    Quoted line breaks belong to their cell; ``multi_line=False`` gives that up
+    so that large files can be split between tasks."""
+    reader = spark.read.option("header", True).option("inferSchema", False).option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _MALFORMED]])
+    raw = reader.schema(schema).option("columnNameOfCorruptRecord", _MALFORMED).option("enforceSchema", True).csv(path)
+    types, broken = _types_and_malformed(raw)
+    if broken and malformed is None:
+        raise MalformedRecords(f"{broken} records have more or fewer cells than the header")
+    kept = [F.col(_MALFORMED).alias(malformed)] if malformed else []
+    return raw.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()], *kept)
 
 
 def write_csv(df: DataFrame, path: str) -> str:

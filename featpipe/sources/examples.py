@@ -26,13 +26,15 @@ def _kinds(df: DataFrame):
     return out
 
 
-def split_column(df: DataFrame) -> "F.Column":
-    b = hash_bucket(row_fingerprint(_kinds(df)), SPLIT_BUCKETS)
+def split_column(df: DataFrame, numeric_scale: int = 100) -> "F.Column":
+    b = hash_bucket(row_fingerprint(_kinds(df), numeric_scale), SPLIT_BUCKETS)
     return F.when(b < TRAIN_BUCKETS, F.lit("train")).otherwise(F.lit("eval"))
 
 
-def hash_split(df: DataFrame) -> DataFrame:
-    return df.withColumn("split", split_column(df))
+def hash_split(df: DataFrame, numeric_scale: int = 100) -> DataFrame:
+    """Numbers enter the hash scaled by ``numeric_scale`` and rounded: 100
+    keeps two decimals; give more for data that differ beyond them."""
+    return df.withColumn("split", split_column(df, numeric_scale))
 
 
 def write_examples(df: DataFrame, path: str) -> str:

@@ -7,6 +7,7 @@ where it stopped, and the file sink is exactly-once.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,21 +18,29 @@ from featpipe.operators.model import score
 
 def score_stream(spark: SparkSession, source: str, schema: T.StructType, params: FittedParams,
                  model: PipelineModel, sink: str, checkpoint: str, keep=(),
-                 timeout_s: int | None = 600) -> DataFrame:
-    """Process every file present under ``source`` (``availableNow``), write
-    predictions to ``sink`` (Parquet), return the sink as a batch frame."""
-    raw = spark.readStream.schema(schema).parquet(source)
+                 timeout_s: int | None = None, max_files: int | None = 1000) -> DataFrame:
+    """Process every file present under ``source`` (``availableNow``) in
+    batches of ``max_files`` files, write predictions to ``sink`` (Parquet),
+    return the sink as a batch frame. There is no time limit unless
+    ``timeout_s`` gives one. A sink that cannot be read is an error, unless no
+    row arrived and the folder was never created."""
+    reader = spark.readStream.schema(schema)
+    raw = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(source)
     scored = score(model, raw, params, keep=keep)
     q = (scored.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError("stream scoring did not finish")
     if q.exception() is not None:
         raise q.exception()
     try:
         return spark.read.schema(scored.schema).parquet(sink)
-    except Exception:  # noqa: BLE001 - nothing arrived: the sink folder was never created
+    except AnalysisException as e:
+        arrived = sum(p["numInputRows"] for p in q.recentProgress)
+        if e.getCondition() != "PATH_NOT_FOUND" or arrived:
+            raise
         return spark.createDataFrame([], scored.schema)
