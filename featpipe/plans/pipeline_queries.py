@@ -174,6 +174,21 @@ def q_validate_examples(spark, d):
     return profile.validate_examples(e, stats, constraints, domain)
 
 
+DRIFT_MONTH = 1   # eval rows of this month lose their pickup_longitude
+
+
+def q_validate_drifted(spark, d):
+    """The schema of the clean rows against drifted ones: a column gone, one
+    added, one retyped, unseen values and missing ones in the eval split."""
+    e, _, (constraints, domain) = _schema(spark, d)
+    eval_row = F.col("split") == "eval"
+    drifted = (e.drop("pickup_latitude").withColumn("extra", F.lit(1))
+               .withColumn("euclidean", F.col("euclidean").cast("string"))
+               .withColumn("day", F.when(eval_row, F.concat(F.lit("x"), "day")).otherwise(F.col("day")))
+               .withColumn("pickup_longitude", F.when(~eval_row | (F.col("month") != DRIFT_MONTH), F.col("pickup_longitude"))))
+    return profile.validate_examples(drifted, profile.column_stats(drifted), constraints, domain)
+
+
 # ---------------------------------------------------------------- M4-M11
 
 def q_fill_missing(spark, d):
@@ -420,6 +435,7 @@ QUERIES = {
     "column_topk": q_column_topk,
     "infer_schema": q_infer_schema,
     "validate_examples": q_validate_examples,
+    "validate_drifted": q_validate_drifted,
     "fill_missing": q_fill_missing,
     "zscore": q_zscore,
     "vocab_fit": q_vocab_fit,
@@ -588,6 +604,29 @@ FROM (SELECT DISTINCT split FROM ex) s""")
 SELECT split, "column", "check", n_bad, coalesce(ok, n_bad = 0) AS ok FROM v"""
 
 
+def _drifted_sql():
+    """Every check of the drifted rows, from the clean ones."""
+    changed = {"day": "CASE WHEN split = 'eval' THEN 'x' || \"day\" ELSE \"day\" END",
+               "pickup_longitude": f"CASE WHEN split <> 'eval' OR month <> {DRIFT_MONTH} THEN pickup_longitude END"}
+    parts = ["SELECT split, 'pickup_latitude' AS \"column\", 'missing_column' AS \"check\", CAST(0 AS BIGINT) AS n_bad, "
+             "FALSE AS ok FROM ex GROUP BY split",
+             "SELECT split, 'extra', 'unknown_column', count(*), FALSE FROM ex GROUP BY split"]
+    for c, _ in _KINDS:
+        if c == "pickup_latitude":
+            continue
+        now = changed.get(c, _q(c))
+        retyped = c == "euclidean"
+        parts.append(f"""SELECT s.split, '{c}', 'presence', CASE WHEN r.required THEN s.missing ELSE 0 END,
+  NOT (r.required AND s.missing > 0)
+FROM (SELECT split, count(*) - count({now}) AS missing FROM ex GROUP BY split) s,
+     (SELECT count(*) = count({_q(c)}) AS required FROM ex WHERE split = 'train') r
+UNION ALL SELECT split, '{c}', 'type', {f'count({now})' if retyped else '0'}, {'FALSE' if retyped else 'TRUE'} FROM ex GROUP BY split""")
+    parts.append("""SELECT s.split, 'day', 'domain', s.n, s.n = 0 FROM (
+  SELECT split, count(*) FILTER (WHERE now IS NOT NULL AND now NOT IN (SELECT "day" FROM ex WHERE split = 'train' AND "day" IS NOT NULL)) AS n
+  FROM (SELECT split, """ + changed["day"] + """ AS now FROM ex) GROUP BY split) s""")
+    return f"WITH {_EX}\n" + "\nUNION ALL\n".join(parts)
+
+
 def _assemble_sql():
     cols = [f"CAST(depth_day + depth_month + {len(SPEC.numeric)} AS BIGINT) AS n_features"]
     for name in features.feature_order(SPEC):
@@ -641,6 +680,7 @@ AS t(name, blessed, published, reads_back)""",
     "column_topk": _topk_sql(),
     "infer_schema": f"WITH {_EX}\n" + "\nUNION ALL\n".join(_schema_sql()),
     "validate_examples": _validate_sql(),
+    "validate_drifted": _drifted_sql(),
     "fill_missing": f"WITH {_EX},\n{_FILLED}\nSELECT * FROM filled",
     "zscore": f"WITH {_EX},\n{_FILLED},\n{_MOM}\nSELECT split, "
               + ", ".join(f"{fixed_sql(_z(c), 6)} AS {XF(c)}" for c in SPEC.numeric) + " FROM filled, mom",
