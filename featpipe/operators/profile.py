@@ -4,9 +4,9 @@ Scale notes:
   * statistics are one wide ``groupBy(split)`` aggregate over all columns in a
     single pass (partial aggregation; the shuffle carries one row per split per
     mapper), then unpivoted on the tiny result. No per-column stacking of data.
-  * the median is ``percentile_approx`` (bounded sketch per column), reported
-    by ``column_quantiles``; an exact percentile would hold every distinct value
-    of a column in one task.
+  * quantiles are exact, from counted buckets refined in a second pass
+    (``column_quantiles``); an exact percentile aggregate would hold every
+    distinct value of a column in one task.
   * histograms reuse the per-split bounds through a broadcast join on ``split``
     (one row per split: a fixed-size side) and count all buckets of all columns
     in one more wide aggregate.
@@ -91,17 +91,44 @@ def column_stats(df: DataFrame, kinds: dict[str, str] | None = None) -> DataFram
     return w.select("split", F.explode(F.array(*structs)).alias("_s")).select("split", "_s.*")
 
 
+QUANTILE_BUCKETS = 1024
+
+
 def column_quantiles(df: DataFrame, kinds: dict[str, str] | None = None,
-                     probs=(0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:
-    """Approximate quantiles per split and numeric column (bounded sketches)."""
+                     probs=(0.25, 0.5, 0.75), buckets: int = QUANTILE_BUCKETS) -> DataFrame:
+    """Exact quantiles per split and numeric column: the smallest value with at
+    least ``p`` of the non-missing values at or below it (NaN left out).
+
+    Pass one counts ``buckets`` equal-width buckets and finds, from their
+    running counts, the one each quantile lies in. Pass two counts the values
+    of these buckets alone. Both passes count on the mappers first; a window
+    sees ``buckets`` rows of a column, or one bucket's distinct values."""
+    from pyspark.sql import Window
     kinds = kinds or feature_kinds(df)
     num = [c for c, k in kinds.items() if k != "BYTES"]
-    w = df.groupBy("split").agg(*[
-        F.percentile_approx(_number(F.col(f"`{c}`")), list(probs), accuracy).alias(f"q{i}")
-        for i, c in enumerate(num)])
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("q")) for i, c in enumerate(num)]
-    rows = w.select("split", F.explode(F.array(*structs)).alias("_s")).select("split", "_s.*")
-    return rows.select("split", "column", *[F.col("q")[j].alias(f"p{int(p * 100)}") for j, p in enumerate(probs)])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), _number(F.col(f"`{c}`")).alias("value")) for c in num])
+    values = df.select("split", F.explode(cells).alias("_c")).select("split", "_c.*").where("value is not null")
+    bounds = values.groupBy("split", "column").agg(F.min("value").alias("_low"), F.max("value").alias("_high"),
+                                                   F.count(F.lit(1)).alias("_n"))
+    bounds = broadcast_if_small(bounds, MAX_BROADCAST_ROWS)
+    place = F.when(F.col("_high") == F.col("_low"), F.lit(0)).otherwise(F.least(
+        F.floor((F.col("value") - F.col("_low")) / (F.col("_high") - F.col("_low")) * float(buckets)), F.lit(buckets - 1)))
+    placed = values.join(bounds, ["split", "column"]).select("split", "column", "value", "_n", place.cast("int").alias("_bucket"))
+    running = Window.partitionBy("split", "column").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    counted = (placed.groupBy("split", "column", "_bucket").agg(F.count(F.lit(1)).alias("_count"), F.first("_n").alias("_n"))
+               .withColumn("_upto", F.sum("_count").over(running)))
+    asked = F.array(*[F.struct(F.lit(j).alias("_j"), F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1)).alias("_rank"))
+                      for j, p in enumerate(probs)])
+    hit = (counted.withColumn("_q", F.explode(asked))
+           .where((F.col("_q._rank") <= F.col("_upto")) & (F.col("_q._rank") > F.col("_upto") - F.col("_count")))
+           .select("split", "column", "_bucket", "_q._j", (F.col("_q._rank") - F.col("_upto") + F.col("_count")).alias("_rank")))
+    hit = broadcast_if_small(hit, MAX_BROADCAST_ROWS)
+    inside = (placed.join(hit, ["split", "column", "_bucket"]).groupBy("split", "column", "_j", "value")
+              .agg(F.count(F.lit(1)).alias("_count"), F.first("_rank").alias("_rank")))
+    running = Window.partitionBy("split", "column", "_j").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    found = inside.withColumn("_upto", F.sum("_count").over(running)).where("_upto >= _rank")
+    return found.groupBy("split", "column").agg(
+        *[F.min(F.when(F.col("_j") == j, F.col("value"))).alias(f"p{int(p * 100)}") for j, p in enumerate(probs)])
 
 
 def column_histogram(df: DataFrame, kinds: dict[str, str] | None = None,

@@ -604,6 +604,17 @@ FROM (SELECT DISTINCT split FROM ex) s""")
 SELECT split, "column", "check", n_bad, coalesce(ok, n_bad = 0) AS ok FROM v"""
 
 
+def _quantiles_sql():
+    parts = []
+    for c in _NUM_ALL:
+        x = f"CAST({_q(c)} AS DOUBLE)"
+        parts.append(f"""SELECT split, '{c}' AS "column", """ + ", ".join(
+            f"min(x) FILTER (WHERE rn >= greatest(ceil({p} * n), 1)) AS p{int(p * 100)}" for p in (0.25, 0.5, 0.75)) + f"""
+FROM (SELECT split, {x} AS x, row_number() OVER (PARTITION BY split ORDER BY {x}) AS rn, count(*) OVER (PARTITION BY split) AS n
+      FROM ex WHERE {_q(c)} IS NOT NULL) GROUP BY split""")
+    return f"WITH {_EX}\n" + "\nUNION ALL\n".join(parts)
+
+
 def _drifted_sql():
     """Every check of the drifted rows, from the clean ones."""
     changed = {"day": "CASE WHEN split = 'eval' THEN 'x' || \"day\" ELSE \"day\" END",
@@ -679,6 +690,7 @@ AS t(name, blessed, published, reads_back)""",
     "column_histogram": _hist_sql(),
     "column_topk": _topk_sql(),
     "infer_schema": f"WITH {_EX}\n" + "\nUNION ALL\n".join(_schema_sql()),
+    "column_quantiles": _quantiles_sql(),
     "validate_examples": _validate_sql(),
     "validate_drifted": _drifted_sql(),
     "fill_missing": f"WITH {_EX},\n{_FILLED}\nSELECT * FROM filled",
