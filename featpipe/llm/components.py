@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from featpipe.llm.common import written
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    """Edges (node, other) with the smallest of node and its others as ``least``."""
-    least = edges.groupBy("node").agg(F.min("other").alias("_least"))
+def _star(edges: DataFrame, name: str) -> DataFrame:
+    """Edges (node, other) with the smallest of node and its others as ``least``.
+
+    The minima are written before they are joined back: both sides of the join
+    are then plain shuffles, and AQE can split a node with very many edges."""
+    least = written(edges.groupBy("node").agg(F.min("other").alias("_least")), name)
     return edges.join(least, "node").withColumn("least", F.least("node", "_least")).drop("_least")
 
 
@@ -20,9 +23,8 @@ def components(links: DataFrame, a: str, b: str, name: str = "links") -> DataFra
 
     Alternating large and small stars: every round connects each node's larger
     (then smaller) neighbours to its least neighbour, until every edge leads to
-    its component's least node. Minima are aggregated before the shuffle and
-    joined back, so a node with very many links is not gathered in one place.
-    Each round is written to the shared folder."""
+    its component's least node. Minima are aggregated before the shuffle. Each
+    step is written to the shared folder."""
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u != v")
     edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-0")
     state, turn = None, 0
@@ -30,14 +32,12 @@ def components(links: DataFrame, a: str, b: str, name: str = "links") -> DataFra
         turn += 1
         both = edges.select(F.col("u").alias("node"), F.col("v").alias("other")).union(
             edges.select(F.col("v").alias("node"), F.col("u").alias("other")))
-        large = _star(both).where("other > node").select(F.col("other").alias("node"), F.col("least").alias("other"))
-        large = large.where("node != other").distinct()
-        small = _star(large)
+        large = _star(both, f"{name}-{turn}a").where("other > node")
+        large = large.select(F.col("other").alias("node"), F.col("least").alias("other")).where("node != other").distinct()
+        small = _star(written(large, f"{name}-{turn}b"), f"{name}-{turn}c")
         # the others and the node itself, all to the least
-        edges = (small.select(F.col("other").alias("u"), F.col("least").alias("v"))
-                 .union(small.select(F.col("node").alias("u"), F.col("least").alias("v")))
-                 .where("u != v").distinct())
-        edges = written(edges, f"{name}-{turn}")
+        pairs = F.array(*[F.struct(F.col(c).alias("u"), F.col("least").alias("v")) for c in ("other", "node")])
+        edges = written(small.select(F.inline(pairs)).where("u != v").distinct(), f"{name}-{turn}d")
         now = edges.agg(F.count(F.lit(1)).alias("n"),
                         F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("sum")).first()
         if state == now:

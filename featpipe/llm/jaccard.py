@@ -36,7 +36,7 @@ WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Share of a set's shingles that must be common beyond the least in the first filter.
-MARGIN = 0.05
+MARGIN = 0.15
 #: Classes of a block of the product.
 BLOCK = 200
 #: Overlap increments of one column block.
@@ -205,9 +205,13 @@ def candidate_sets(docs: DataFrame, described: DataFrame, text: str = "text") ->
                     [pa.array([class_key(x) for x in found], pa.int64()),
                      pa.array([_signed(x) for x in found], pa.list_(pa.int64()))], ["class", "grams"])
 
+    # the candidates' narrow rows go to the sets, not the sets to them
+    rows = checked_broadcast(kept.drop("first_id"), max_rows=500_000)
+    found = written(chosen.mapInArrow(sets, "class long, grams array<long>").join(rows, "class"), "jaccard-sets")
     # several rows may carry one id, or one class have several rows without id
-    grams = chosen.mapInArrow(sets, "class long, grams array<long>").groupBy("class").agg(F.first("grams").alias("grams"))
-    return written(kept.drop("first_id").join(grams, "class"), "jaccard-sets")
+    if found.groupBy("class").count().where("count > 1").limit(1).count():
+        found = written(found.dropDuplicates(["class"]), "jaccard-sets-once")
+    return found
 
 
 def hub_members(sets: DataFrame) -> DataFrame:
@@ -326,9 +330,11 @@ def _block_links(table):
 
 def links(sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect exactly the classes connected by all links."""
-    members = hub_members(sets)
+    members = written(hub_members(sets), "jaccard-members")
     side = sets.select("class", "grams")
-    hubs = side.select(F.col("class").alias("hub"), F.col("grams").alias("hub_grams"))
+    some = checked_broadcast(members.select("hub").distinct(), max_rows=1_000_000)
+    hubs = side.join(some, F.col("class") == F.col("hub"), "left_semi")
+    hubs = hubs.select(F.col("class").alias("hub"), F.col("grams").alias("hub_grams"))
     pairs = members.join(side, "class").join(hubs, "hub").select("hub", "class", "grams", "hub_grams")
     roles = written(pairs.mapInArrow(_hub_overlaps, "hub long, class long, role int"), "jaccard-roles")
     to_hub = roles.where("role = 0 and hub != class").select(F.col("hub").alias("a"), F.col("class").alias("b"))
@@ -347,8 +353,10 @@ def links(sets: DataFrame) -> DataFrame:
         .select("hub", F.col("b_role").alias("role"), F.col("b_block").alias("block"), "task", F.lit(1).alias("side")))
     placed = (roles.join(blocks.drop("n"), ["hub", "role"])
               .withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "class"), F.col("blocks")).cast("int")))
-    dealt = (placed.select("hub", "role", "block", "class").join(sent, ["hub", "role", "block"])
-             .select("task", "side", "class").join(side, "class"))
+    dealt = written(placed.select("hub", "role", "block", "class").join(sent, ["hub", "role", "block"])
+                    .select("task", "side", "class"), "jaccard-dealt")
+    needed = checked_broadcast(dealt.select("class").distinct(), max_rows=1_000_000)
+    dealt = dealt.join(side.join(needed, "class", "left_semi"), "class")
     inner = dealt.groupBy("task").applyInArrow(_block_links, "a long, b long")
     return to_hub.union(inner)
 
