@@ -15,6 +15,10 @@ from featpipe.session import scratch_path
 #: carriage return. ``bytes.split()`` splits at exactly the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: What parts words of letters and digits, in Java's pattern language: the same as
+#: ``[^\p{L}\p{N}]+``, with a plain range for ASCII, which is looked up several times faster.
+BETWEEN_WORDS = r"[\x00-/:-@\[-`{-\x7F[^\x00-\x7F\p{L}\p{N}]]+"
+
 #: Odd multipliers for polynomial hashes modulo 2**64.
 BASE_A = np.uint64(0x9E3779B97F4A7C15)
 BASE_B = np.uint64(0xC2B2AE3D27D4EB4F)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featpipe.llm.common import checked_broadcast, written
+from featpipe.llm.common import BETWEEN_WORDS, checked_broadcast, written
 
 #: Token offsets each mask selects. Any 14 tokens with two replaced ones, and 97 of 100 with
 #: three, still hold a whole mask; so do any 8 tokens with one.
@@ -29,7 +29,7 @@ SEED_BLOCK = 100_000
 
 def token_hashes(text: Column) -> Column:
     """Hashes of the lower-cased runs of letters and digits; empty for null."""
-    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN_WORDS), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
