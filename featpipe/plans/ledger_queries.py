@@ -94,6 +94,18 @@ def q_activity_ages(spark, d):
     return _epochs(ages, {"output_month_min", "output_month_max"})
 
 
+def q_address_key_inputs(spark, d):
+    tx, _ = _ledger(spark, d)
+    return (transfers.unnest_transfers(tx, "inputs")
+            .groupBy("address").agg(F.count(F.lit(1)).alias("n_transfers")))
+
+
+def q_activity_ages_inputs(spark, d):
+    tx, _ = _ledger(spark, d)
+    ages = transfers.activity_ages(transfers.unnest_transfers(tx, "inputs"), "input")
+    return _epochs(ages, {"input_month_min", "input_month_max"})
+
+
 def q_transfer_stats(spark, d):
     tx, _ = _ledger(spark, d)
     parts = []
@@ -124,6 +136,17 @@ def q_idle_stats(spark, d):
     return _rounded_vectors(idle.idle_stats(t, "address", "block_time", SEGMENT_UNIT, "input"))
 
 
+def q_idle_gaps_inputs(spark, d):
+    tx, _ = _ledger(spark, d)
+    return idle.idle_gaps(transfers.unnest_transfers(tx, "inputs"), "address", "block_time", SEGMENT_UNIT)
+
+
+def q_idle_stats_outputs(spark, d):
+    tx, _ = _ledger(spark, d)
+    t = transfers.unnest_transfers(tx, "outputs")
+    return _rounded_vectors(idle.idle_stats(t, "address", "block_time", SEGMENT_UNIT, "output"))
+
+
 def q_event_idle_stats(spark, d):
     ev = read_table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     return idle.idle_stats(ev, "user_id", "ts", EVENT_UNITS, "event").select(
@@ -179,6 +202,11 @@ def q_class_cap(spark, d):
     return vectors.class_cap(v, CAP_OTHERS).select("is_miner", "address", "total_tx_output_count")
 
 
+def q_class_cap_miners(spark, d):
+    v = _labelled(spark, d).where("is_miner")
+    return vectors.class_cap(v, CAP_MINERS).select("is_miner", "address", "total_tx_output_count")
+
+
 def q_labelled_union(spark, d):
     v = _labelled(spark, d)
     return vectors.labelled_union(v, CAP_MINERS, CAP_OTHERS).select("is_miner", "address", "io_max_lag")
@@ -203,10 +231,14 @@ QUERIES = {
     "unnest_transfers": q_unnest_transfers,
     "address_key": q_address_key,
     "activity_ages": q_activity_ages,
+    "activity_ages_inputs": q_activity_ages_inputs,
+    "address_key_inputs": q_address_key_inputs,
     "transfer_stats": q_transfer_stats,
     "epoch_features": q_epoch_features,
     "idle_gaps": q_idle_gaps,
     "idle_stats": q_idle_stats,
+    "idle_stats_outputs": q_idle_stats_outputs,
+    "idle_gaps_inputs": q_idle_gaps_inputs,
     "event_idle_stats": q_event_idle_stats,
     "event_idle_gaps": q_event_idle_gaps,
     "signature_match": q_signature_match,
@@ -216,6 +248,7 @@ QUERIES = {
     "semi_signature": q_semi_signature,
     "anti_signature": q_anti_signature,
     "class_cap": q_class_cap,
+    "class_cap_miners": q_class_cap_miners,
     "labelled_union": q_labelled_union,
     "address_vectors": q_address_vectors,
     "address_vectors_defaults": q_address_vectors_defaults,
@@ -360,6 +393,10 @@ SELECT 'inputs', address, CAST(value AS DOUBLE), hash, {_ep('block_time')}, {_ep
     "activity_ages": f"""WITH {_BASE}
 SELECT address, {_ep('min(month)')} AS output_month_min, {_ep('max(month)')} AS output_month_max
 FROM out_t GROUP BY address""",
+    "address_key_inputs": f"WITH {_BASE} SELECT address, count(*) AS n_transfers FROM in_t GROUP BY address",
+    "activity_ages_inputs": f"""WITH {_BASE}
+SELECT address, {_ep('min(month)')} AS input_month_min, {_ep('max(month)')} AS input_month_max
+FROM in_t GROUP BY address""",
     "transfer_stats": _transfer_stats_sql(),
     "epoch_features": f"""WITH {_BASE},
 o AS (SELECT address, min(month) AS output_month_min, max(month) AS output_month_max FROM out_t GROUP BY address),
@@ -371,6 +408,10 @@ labelled AS (SELECT * FROM o JOIN i USING (address))
     "idle_stats": f"""WITH {_BASE},{_gaps_sql('in_t', 'input')}
 SELECT address, {fixed_sql('mean_input_idle_time', 2)} AS mean_input_idle_time,
        {fixed_sql('stddev_input_idle_time', 2)} AS stddev_input_idle_time FROM input_idle""",
+    "idle_gaps_inputs": f"WITH {_BASE},{_gaps_sql('in_t', 'input')} SELECT address, idle_time FROM input_gaps",
+    "idle_stats_outputs": f"""WITH {_BASE},{_gaps_sql('out_t', 'output')}
+SELECT address, {fixed_sql('mean_output_idle_time', 2)} AS mean_output_idle_time,
+       {fixed_sql('stddev_output_idle_time', 2)} AS stddev_output_idle_time FROM output_idle""",
     "event_idle_stats": f"""WITH ev AS (SELECT user_id, ts FROM events),{_gaps_sql('ev', 'event', 'user_id', 'ts')}
 SELECT user_id, {fixed_sql('mean_event_idle_time', 2)} AS mean_event_idle_time,
        {fixed_sql('stddev_event_idle_time', 2)} AS stddev_event_idle_time FROM event_idle""",
@@ -390,6 +431,8 @@ WHERE o.o_orderstatus = 'F' AND {_sig_sql(FIXTURE_SIGNATURES)}""",
                                   "WHERE address NOT IN (SELECT miner FROM miners)",
     "class_cap": _VEC_BASE + "SELECT is_miner, address, total_tx_output_count FROM "
                  + _capped("NOT is_miner", CAP_OTHERS),
+    "class_cap_miners": _VEC_BASE + "SELECT is_miner, address, total_tx_output_count FROM "
+                        + _capped("is_miner", CAP_MINERS),
     "labelled_union": _VEC_BASE + _vec_select(["is_miner", "address", "io_max_lag"], "(" + _capped(
         "is_miner", CAP_MINERS) + " UNION ALL " + _capped("NOT is_miner", CAP_OTHERS) + ")"),
     "address_vectors": _VEC_BASE + _vec_select(vectors.VECTOR_COLUMNS, "(" + _capped("is_miner", vectors.DEFAULT_CAP)

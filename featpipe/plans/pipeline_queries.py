@@ -93,6 +93,12 @@ def q_transformed_roundtrip(spark, d):
     return _compact(ex.read_examples(spark, path, "eval"))
 
 
+def q_transformed_roundtrip_all(spark, d):
+    """Every split of the written examples."""
+    path = ex.write_examples(_transformed(spark, d), scratch_path(spark, "transformed"))
+    return _compact(ex.read_examples(spark, path))
+
+
 def q_artifact_roundtrip(spark, d):
     params, fitted, _ = _fitted_model(spark, d)
     base = scratch_path(spark, "artifact")
@@ -446,6 +452,7 @@ QUERIES = {
     "fit_apply_splits": q_fit_apply_splits,
     "transform_saved": q_transform_saved,
     "transformed_roundtrip": q_transformed_roundtrip,
+    "transformed_roundtrip_all": q_transformed_roundtrip_all,
     "artifact_roundtrip": q_artifact_roundtrip,
     "regress_fit": q_regress_fit,
     "score_batch": q_score_batch,
@@ -710,6 +717,7 @@ AS t(name, blessed, published, reads_back)""",
                     for c in SPEC.categorical) + " FROM idx, mom GROUP BY split",
     "transform_saved": _T_BASE + _compact_sql(),
     "transformed_roundtrip": _T_BASE + _compact_sql(where="WHERE split = 'eval'"),
+    "transformed_roundtrip_all": _T_BASE + _compact_sql(),
     "eval_metrics": _BASELINE + f"SELECT {fixed_sql('mae', MAE_PLACES)} AS mean_absolute_error, "
                                 f"{fixed_sql('mse', MSE_PLACES)} AS mean_squared_error, n, n_missing_label FROM m",
     "quality_gate": _BASELINE + f""",
