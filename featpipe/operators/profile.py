@@ -243,8 +243,9 @@ def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
                       max_domain_rows: int = MAX_STRING_DOMAIN) -> DataFrame:
     """M3: one report row per (split, column, check):
     ``(split, column, check, n_bad, ok)`` with checks ``presence``, ``type``,
-    ``domain``, ``missing_column`` and ``unknown_column``. Advisory: nothing is
-    raised; ``anomalies(report)`` keeps the failed rows."""
+    ``domain``, ``missing_column`` and ``unknown_column``. A text column whose
+    domain was not inferred has a ``domain`` row with null ``n_bad`` and ``ok``.
+    Advisory: nothing is raised; ``anomalies(report)`` keeps the failed rows."""
     parts = []
     for s in splits:
         st = stats.where(F.col("split") == s).select(
@@ -265,6 +266,11 @@ def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
             F.struct(F.lit("unknown_column").alias("check"), F.col("count").cast("bigint").alias("n_bad"),
                      F.lit(False).alias("ok"), (present & ~known).alias("_emit")),
         ]
+        if domain is not None:
+            # a text column whose domain was not inferred: its values are unchecked, neither good nor bad
+            rows.append(F.struct(F.lit("domain").alias("check"), F.lit(None).cast("bigint").alias("n_bad"),
+                                 F.lit(None).cast("boolean").alias("ok"),
+                                 (present & known & (F.col("type") == "BYTES") & F.col("domain_size").isNull()).alias("_emit")))
         parts.append(j.select(F.lit(s).alias("split"), "column", F.explode(F.array(*rows)).alias("_r"))
                      .where("_r._emit").select("split", "column", "_r.check", "_r.n_bad", "_r.ok"))
     if domain is not None:

@@ -187,6 +187,17 @@ def test_schema_and_validation_anomalies(spark, train):
     assert profile.require_valid(clean) is clean
 
 
+def test_report_names_domains_that_were_not_inferred(spark):
+    rows = [("train", f"v{k}", f"s{k % 3}") for k in range(101)] + [("eval", "unseen", "s0")]
+    df = spark.createDataFrame(rows, "split string, wide string, narrow string")
+    stats = profile.column_stats(df)
+    constraints, domain = profile.infer_schema(stats, profile.value_frequencies(df, ["wide", "narrow"]))
+    report = profile.validate_examples(df, stats, constraints, domain)
+    got = {(r.split, r.column): (r.n_bad, r.ok) for r in report.where("check = 'domain'").collect()}
+    assert got == {("train", "wide"): (None, None), ("eval", "wide"): (None, None),
+                   ("train", "narrow"): (0, True), ("eval", "narrow"): (0, True)}
+
+
 # ------------------------------------------------------------------ evaluation
 
 @pytest.mark.parametrize("mae,blessed", [(1.0, True), (4.0, True), (0.999, False), (4.001, False), (2.5, True)])
