@@ -25,6 +25,8 @@ DICTIONARY_BYTES = 64 << 10
 TRAIN_BYTES = 100 * DICTIONARY_BYTES
 #: Record bytes of an archive before the next one is begun.
 ARCHIVE_BYTES = 24 << 20
+#: Archive bytes a reading task is given, when there are more archives than cores.
+READ_BYTES = 256 << 20
 LEVEL = 3
 #: Payloads shorter than this are never written as revisits.
 MIN_REVISIT_BYTES = 0
@@ -110,7 +112,7 @@ def write_archive(folder: str, records: list[bytes]) -> tuple[str, int, int, int
     store.create_dir(base, recursive=True)
     path = f"{base.rstrip('/')}/{uuid.uuid4().hex}.warc.zst"
     n = 0
-    with store.open_output_stream(path) as out:
+    with store.open_output_stream(path, compression=None) as out:  # the name would make it wrap the frames in another
         if raw:
             n += out.write(DICTIONARY_MAGIC.to_bytes(4, "little") + len(raw).to_bytes(4, "little") + raw)
         for record in records:
@@ -149,7 +151,7 @@ def read_archive(path: str):
     """Records of an archive: (headers, payload, offset) one after another."""
     import zstandard
     store, at = _filesystem(path)
-    with store.open_input_stream(at) as f:
+    with store.open_input_stream(at, compression=None) as f:
         held, position, dictionary = b"", 0, None
         head = f.read(8)
         if len(head) == 8 and int.from_bytes(head[:4], "little") == DICTIONARY_MAGIC:
@@ -211,8 +213,29 @@ def read_archives(manifest: DataFrame) -> DataFrame:
         if rows:
             yield flush()
 
-    spread = manifest.select("path").repartition(max(1, manifest.count()))
-    return spread.mapInArrow(run, READ)
+    n, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, min(n, manifest.sparkSession.sparkContext.defaultParallelism), -(-size // READ_BYTES))
+    return manifest.select("path").repartition(tasks).mapInArrow(run, READ)
+
+
+def read_record(path: str, position: int):
+    """(headers, payload) of the record at ``position``: only the dictionary frame and that record are read."""
+    import zstandard
+    store, at = _filesystem(path)
+    with store.open_input_file(at) as f:
+        head = f.read(8)
+        magic, size = int.from_bytes(head[:4], "little"), int.from_bytes(head[4:], "little")
+        dictionary = zstandard.ZstdCompressionDict(f.read(size)) if magic == DICTIONARY_MAGIC else None
+        f.seek(position)
+        frame, record = zstandard.ZstdDecompressor(dict_data=dictionary).decompressobj(), []
+        while not frame.eof:
+            held = f.read(1 << 16)
+            if not held:
+                raise ValueError(f"{path}: the archive ends inside a record")
+            record.append(frame.decompress(held))
+    head, _, body = b"".join(record).partition(b"\r\n\r\n")
+    headers = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+    return headers, body[:int(headers["Content-Length"])]
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:

@@ -73,6 +73,19 @@ def test_archive_layout(spark, rows, tmp_path):
     assert b"WARC/1.1" in record and zstandard.frame_content_size(raw[some:]) > 0
 
 
+def test_one_record_is_read_alone(spark, rows, tmp_path):
+    """Every record comes back from the raw file by its position and the dictionary frame, and nothing else."""
+    marked = warc.mark_revisits(spark.createDataFrame(rows, PAGES).coalesce(1))
+    manifest = warc.write_archives(marked, str(tmp_path), archive_bytes=200_000)
+    back = warc.read_archives(manifest).collect()
+    sizes = {m.path: m.bytes for m in manifest.collect()}
+    assert len(back) == len(rows)
+    for r in back:
+        assert r.position < sizes[r.archive] == os.path.getsize(r.archive)
+        headers, payload = warc.read_record(r.archive, r.position)
+        assert payload == bytes(r.payload) and headers["WARC-Type"] == r.record_type
+
+
 def test_rollover_and_untrainable_archives(spark, rows, tmp_path):
     marked = warc.mark_revisits(spark.createDataFrame(rows, PAGES).coalesce(1))
     manifest = warc.write_archives(marked, str(tmp_path), archive_bytes=50_000)
