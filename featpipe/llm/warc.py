@@ -213,7 +213,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
         if rows:
             yield flush()
 
-    n, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    width = F.col("bytes") if "bytes" in manifest.columns else F.lit(READ_BYTES)  # of unknown size: one to a task
+    n, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     tasks = max(1, min(n, manifest.sparkSession.sparkContext.defaultParallelism), -(-size // READ_BYTES))
     return manifest.select("path").repartition(tasks).mapInArrow(run, READ)
 
