@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featpipe.llm import decontaminate, jaccard, language, lines, mixing, quality, sharding, substrings, tokens, warc
+from featpipe.llm import (
+    decontaminate, jaccard, language, lines, mixing, quality, resampling, search, sharding, substrings, tokens, warc,
+)
 from featpipe.llm.common import table
 
 
@@ -72,6 +74,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for every benchmark item, by dense products."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents drawn towards the benchmark's n-gram distribution."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
@@ -83,9 +95,13 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ranked_search": op11_ranked_search,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {
     "op1_warc": warc.ORACLE,
     "op2_mixing": mixing.ORACLE,
+    "op11_ranked_search": search.ORACLE,
+    "op13_importance_resampling": resampling.ORACLE,
 }
