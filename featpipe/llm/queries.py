@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featpipe.llm import (
-    decontaminate, jaccard, language, lines, mixing, quality, resampling, search, sharding, substrings, tokens, warc,
+    decontaminate, fingerprints, jaccard, language, lines, mixing, quality, resampling, search, sharding, substrings, tokens,
+    warc,
 )
 from featpipe.llm.common import table
 
@@ -79,6 +80,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and their edited texts, classes and near groups."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quarter of all documents drawn towards the benchmark's n-gram distribution."""
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -96,6 +102,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_ranked_search": op11_ranked_search,
+    "op12_fingerprints": op12_fingerprints,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
