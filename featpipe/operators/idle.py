@@ -7,22 +7,21 @@ gap per distinct timestamp after the first: the difference to the previous
 distinct timestamp.
 
 Plan (skew-safe replacement for one LAG window per key, which would put a hot
-key's whole history into one task). ``units`` lists time units from fine to
-coarse, e.g. ``("day",)`` or ``("minute", "day")``:
-  1. ``groupBy(key, date_trunc(units[0], t))`` collecting the *set* of event
-     times. Partial aggregation removes repeated timestamps on the mappers; a
-     group holds at most the distinct times of one key inside one fine
-     segment (for block times and ``day``: the blocks of one day).
-  2. gaps inside a fine segment from the sorted set (array functions).
-  3. for every coarser unit, a window partitioned by (key, coarse segment)
-     over the finer segments' summaries gives the gaps across them; its
-     partitions hold at most (coarse / fine) rows, e.g. 1440 minutes a day.
+key's whole history into one task). Nothing is collected into arrays:
+  1. distinct event times of each key, pre-aggregated on the mappers;
+  2. their number per whole second. Times inside one second have equal floored
+     seconds, so a second with ``c`` distinct times holds ``c - 1`` gaps of 0
+     and adds nothing to the sums: (count, first, last) says all of it;
+  3. ``units`` lists coarser time units from fine to coarse, e.g. ``("day",)``
+     or ``("minute", "day")``. For each, a window partitioned by (key, coarse
+     segment) over the finer segments' summaries gives the gaps across them;
+     its partitions hold at most (coarse / fine) rows, e.g. 86400 seconds a day;
   4. a last window partitioned by key over the coarsest segments gives the
      remaining gaps; its partitions hold one row per coarse segment.
 
 ``idle_stats`` never materialises the gaps: a segment carries its gap count,
 its sum of squared gaps (whole seconds, exact in decimal(38,0)), and its first
-and last time; the gap sum of any span telescopes to last - first. Mean and
+and last second; the gap sum of any span telescopes to last - first. Mean and
 sample deviation come from these exact integer moments. Every aggregate after
 a window reuses the window's partitioning.
 """
@@ -45,36 +44,15 @@ def _units(units) -> tuple:
     return (units,) if isinstance(units, str) else tuple(units)
 
 
-def _segments(events: DataFrame, key: str, t: str, unit: str) -> DataFrame:
-    return (
-        events.where(F.col(t).isNotNull())
-        .groupBy(key, F.date_trunc(unit, F.col(t)).alias("_seg"))
-        .agg(F.array_sort(F.collect_set(F.col(t))).alias("_ts"))
-    )
-
-
-def _inner_gaps(ts="_ts"):
-    n = F.size(ts)
-    return F.zip_with(F.slice(ts, 2, n - 1), F.slice(ts, 1, n - 1),
-                      lambda a, b: epoch_seconds(a) - epoch_seconds(b))
-
-
 def _sq(c):
     return c.cast(WIDE) * c.cast(WIDE)
 
 
-def _fine_summaries(events: DataFrame, key: str, t: str, unit: str) -> DataFrame:
-    """(key, _seg, _first, _last, _n, _s2) per fine segment."""
-    segs = _segments(events, key, t, unit)
-    return segs.select(
-        key, "_seg",
-        F.element_at("_ts", 1).alias("_first"),
-        F.element_at("_ts", -1).alias("_last"),
-        (F.size("_ts") - 1).cast("bigint").alias("_n"),
-        # the lambda only runs for segments with two or more distinct times
-        F.when(F.size("_ts") > 1,
-               F.aggregate(_inner_gaps(), _zero(), lambda acc, g: acc + _sq(g))).otherwise(_zero()).alias("_s2"),
-    )
+def _seconds(events: DataFrame, key: str, t: str) -> DataFrame:
+    """(key, _seg, _first, _last, _n, _s2) per whole second with an event."""
+    times = events.where(F.col(t).isNotNull()).select(key, F.col(t).alias("_t")).distinct()
+    counts = times.groupBy(key, F.date_trunc("second", "_t").alias("_seg")).agg((F.count(F.lit(1)) - 1).alias("_n"))
+    return counts.select(key, "_seg", F.col("_seg").alias("_first"), F.col("_seg").alias("_last"), "_n", _zero().alias("_s2"))
 
 
 def _roll_up(summ: DataFrame, key: str, unit: str) -> DataFrame:
@@ -97,8 +75,8 @@ def idle_moments(events: DataFrame, key: str = "address", t: str = "block_time",
     """``(key, n_gaps, sum_gaps, sum_sq_gaps)`` with exact integer sums; keys
     without a gap have no row."""
     units = _units(units)
-    summ = _fine_summaries(events, key, t, units[0])
-    for u in units[1:]:
+    summ = _seconds(events, key, t)
+    for u in units:
         summ = _roll_up(summ, key, u)
     w = Window.partitionBy(key).orderBy("_seg")
     x = summ.withColumn("_prev_last", F.lag("_last").over(w))
@@ -117,38 +95,33 @@ def idle_stats(events: DataFrame, key: str = "address", t: str = "block_time",
                units=("day",), prefix: str = "output") -> DataFrame:
     """Mean and sample deviation of the gaps per key (NULL deviation for a
     single gap)."""
-    m = idle_moments(events, key, t, units)
+    return idle_moments(events, key, t, units).select(key, *moment_stats(prefix))
+
+
+def moment_stats(prefix: str):
+    """Mean and sample deviation from ``n_gaps``, ``sum_gaps`` and ``sum_sq_gaps``."""
     n, s1, s2 = F.col("n_gaps"), F.col("sum_gaps"), F.col("sum_sq_gaps")
     # (n * S2 - S1^2) is exact in decimal(38,0); one rounding when divided
     num = (n.cast(WIDE) * s2 - s1.cast(WIDE) * s1.cast(WIDE)).cast("double")
-    var = num / (n.cast("double") * (n - 1).cast("double"))
-    return m.select(
-        key,
+    # n is never 0; no division by 0 where there is one gap
+    var = num / F.nullif(n.cast("double") * (n - 1).cast("double"), F.lit(0.0))
+    return [
         (s1.cast("double") / n).alias(f"mean_{prefix}_idle_time"),
         F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"stddev_{prefix}_idle_time"),
-    )
+    ]
 
 
 def idle_gaps(events: DataFrame, key: str = "address", t: str = "block_time",
               units=("day",)) -> DataFrame:
-    """One row ``(key, idle_time)`` per kept gap (bigint seconds): the gaps
-    inside fine segments, plus the gaps between consecutive segments at every
-    level of ``units``."""
-    units = _units(units)
-    segs = _segments(events, key, t, units[0])
-    if len(units) == 1:
-        # one aggregate, one window: per segment [gap to the previous one] ++
-        # inner gaps, exploded once
-        w = Window.partitionBy(key).orderBy("_seg")
-        x = segs.withColumn("_prev_last", F.lag(F.element_at("_ts", -1)).over(w))
-        across = F.when(F.col("_prev_last").isNotNull(),
-                        F.array(epoch_seconds(F.element_at("_ts", 1)) - epoch_seconds("_prev_last")))
-        gaps = F.concat(F.coalesce(across, F.array().cast("array<bigint>")), _inner_gaps())
-        return x.select(key, F.explode(gaps).alias("idle_time"))
-    parts = [segs.select(key, F.explode(_inner_gaps()).alias("idle_time"))]
-    summ = segs.select(key, "_seg", F.element_at("_ts", 1).alias("_first"),
-                       F.element_at("_ts", -1).alias("_last"))
-    for u in list(units[1:]) + [None]:
+    """One row ``(key, idle_time)`` per kept gap (bigint seconds): the zeros
+    inside seconds, plus the gaps between consecutive segments at every level
+    of ``units``."""
+    summ = _seconds(events, key, t)
+    # at most one zero per microsecond of a second
+    parts = [summ.where("_n > 0").select(key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_k"))
+             .select(key, F.lit(0).cast("bigint").alias("idle_time"))]
+    summ = summ.select(key, "_seg", "_first", "_last")
+    for u in [*_units(units), None]:
         part = [key] if u is None else [key, F.date_trunc(u, F.col("_seg"))]
         w = Window.partitionBy(*part).orderBy("_seg")
         x = summ.withColumn("_prev_last", F.lag("_last").over(w))

@@ -462,3 +462,49 @@ def test_both_sides_classes_and_splits_have_a_query(spark):
     report = run(SF_SMALL, list(pairs.values()), verbose=False)
     assert all(r["ok"] for r in report.values()), report
     assert all(r["rows"] > 0 for r in report.values()), report
+
+
+# ------------------------------------------------ one explode per side
+def random_ledger(spark, seed, once=True):
+    """Rows with several, repeated and NULL elements, NULL values and times, microsecond times, hashes on several rows."""
+    rng = random.Random(seed)
+
+    def element():
+        if rng.random() < 0.1:
+            return None
+        addresses = rng.choice([None, [], ["a"], ["b"], ["a", "b"], ["c", None]])
+        return addresses, rng.choice([None, Decimal(rng.randrange(10 ** 6)) / 100, Decimal("12345678.90")])
+
+    times = {}
+    rows = []
+    for k in range(400):
+        name = f"h{rng.randrange(150)}" if rng.random() < 0.97 else None
+        moment = rng.choice([None, dt.datetime(2020, 1, 1) + dt.timedelta(days=rng.randrange(3), microseconds=rng.choice([0, 1, 999_999, 10 ** 6]) * rng.randrange(9))])
+        if once and name is not None:
+            moment = times.setdefault(name, moment)
+        month = rng.choice([None, dt.date(2020, rng.randrange(1, 13), 1)])
+        rows.append((name, "b", moment, month, False, [element() for _ in range(rng.randrange(4))], rng.choice([None, [element()]])))
+    return spark.createDataFrame(rows, TRANSACTIONS_SCHEMA)
+
+
+@pytest.mark.parametrize("seed,unit", [(1, "day"), (2, "hour"), (3, "day")])
+def test_side_profile_in_one_pass_equals_two(spark, seed, unit):
+    tx = random_ledger(spark, seed)
+    assert vectors.one_time_per_hash(tx)
+    for side in ("outputs", "inputs"):
+        got = {r.address: r.asDict() for r in vectors.side_profile(tx, side, unit).collect()}
+        want = {r.address: r.asDict() for r in vectors.side_profile_apart(tx, side, unit).collect()}
+        assert got.keys() == want.keys() and len(got) >= 3
+        for address, row in want.items():
+            assert list(got[address]) == list(row)
+            for name, value in row.items():
+                assert got[address][name] == (pytest.approx(value, rel=1e-9, abs=1e-9) if isinstance(value, float) else value), (address, name)
+
+
+def test_hashes_with_several_times_are_counted_once(spark):
+    tx = random_ledger(spark, 4, once=False)
+    assert not vectors.one_time_per_hash(tx)
+    got = {r.address: r.total_output_tx for r in vectors.side_profile(tx, "outputs").collect()}
+    t = transfers.unnest_transfers(tx, "outputs").collect()
+    for address, n in got.items():
+        assert n == len({r.hash for r in t if r.address == address and r.hash is not None})

@@ -93,3 +93,16 @@ def test_flagship_shuffle_budget(spark):
     shuffles = plan.count("Exchange hashpartitioning")
     assert shuffles <= 9, plan
     assert "Expand" not in plan          # distinct months use the bitmap, not a second distinct
+
+
+def test_two_explodes_and_no_object_aggregate(spark):
+    """The vectors before they are written: one explode per side beside the signature set's, and no collected sets
+    there or in the idle times."""
+    from featpipe.operators import idle, transfers, vectors
+    from featpipe.plans.inputs import ledger_tables
+    tx, _ = ledger_tables(spark, SF_SMALL)
+    plan = _plan(vectors.unlabelled_vectors(tx, "day"))
+    assert plan.count("Generate explode") == 2, plan
+    t = transfers.unnest_transfers(tx, "outputs")
+    for df in (plan, _plan(idle.idle_stats(t)), _plan(idle.idle_gaps(t))):
+        assert "ObjectHashAggregate" not in df and "collect_set" not in df and "collect_list" not in df
