@@ -197,7 +197,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     found = written(found, "fingerprint-rows")
     classes = found.groupBy("fingerprint").agg(F.min("_order").alias("class_id"))
     classes = written(classes.join(near_groups(prints), "fingerprint"), "fingerprint-classes")
-    groups = classes.groupBy("group").agg(F.min("class_id").alias("group_id"))
+    groups = written(classes.groupBy("group").agg(F.min("class_id").alias("group_id")), "fingerprint-least")
     classes = written(classes.join(groups, "group").select("fingerprint", "class_id", "group_id"), "fingerprint-groups")
     named = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
     return (rows.select("doc_id", "_order", "_key").join(found, ["_order", "_key"]).join(classes, "fingerprint")
