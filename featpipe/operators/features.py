@@ -1,10 +1,12 @@
 """Fit/apply preprocessing (M4-M11): missing-value fill, z-score, vocabulary
 with unknown buckets, one-hot, feature assembly, saved parameters.
 
-Fit results are small by construction (two moments per numeric column; at
-most ``top_k`` tokens per categorical column), so they are collected to the
-driver (moments) or broadcast (vocabularies, bounded by ``top_k``). Apply is
-map-only after that: it works the same on a batch and on a stream.
+Moments (two per numeric column) are brought to the driver. Vocabularies of up
+to ``LOCAL_TOKENS`` tokens are local frames that are broadcast, so apply is
+map-only and works the same on a batch and on a stream. Larger ones are
+written tables: their ranks come from prefix sums over a range sort, and they
+are joined by a shuffle of the tokens, except for hot tokens, of which there are
+few by definition.
 """
 
 from __future__ import annotations
@@ -15,18 +17,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featpipe.functions.frames import bounded_local, broadcast_if_small
+from featpipe.functions.frames import bounded_local
 from featpipe.functions.keys import hash_bucket
+from featpipe.functions.ranks import running_totals, write_once
 from featpipe.sources.trips import CATEGORICAL_FEATURE_KEYS, LABEL_KEY, NUMERIC_FEATURE_KEYS
 
 # Vocabulary cap, unknown-token buckets, output-name suffix.
 VOCAB_SIZE = 1000
 OOV_SIZE = 10
 SUFFIX = "_xf"
+#: Vocabularies up to this size are brought to the driver.
+LOCAL_TOKENS = 10_000
+#: A token with more than this share of all occurrences in a large vocabulary is hot: 1000 at most.
+HOT_SHARE = 1e-3
+#: Keys that rows without a token to look up are dealt to.
+SPREAD = 1000
 
 
 def transformed_name(key: str) -> str:
-    return key + SUFFIX
+    """Output column of a feature."""
+    return f"{key}{SUFFIX}"
 
 
 @dataclass(frozen=True)
@@ -94,15 +104,20 @@ def token(c) -> "F.Column":
 def fit_vocabulary(df: DataFrame, feature: str, top_k: int = VOCAB_SIZE) -> DataFrame:
     """M6: the ``top_k`` most frequent tokens of ``feature`` (ties: larger text
     first), indexed from 0. Empty tokens and tokens with a line break are left
-    out. The ordered limit runs as TakeOrderedAndProject (each partition keeps
-    its own top k), the index is a window over at most k rows."""
+    out. Up to ``LOCAL_TOKENS`` the ordered limit runs as TakeOrderedAndProject
+    (each partition keeps its own top k) and the index is a window over at most k
+    rows; a larger ``top_k`` takes ranks from prefix sums over the range-sorted
+    frequencies and filters by them, so no task holds k rows."""
     t = token(feature)
     freq = (df.select(t.alias("token")).where((F.col("token") != "") & ~F.col("token").rlike("[\\n\\r]"))
             .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-    top = freq.orderBy(F.desc("freq"), F.desc("token")).limit(top_k)
-    w = Window.orderBy(F.desc("freq"), F.desc("token"))
-    return top.select(F.lit(feature).alias("feature"), "token",
-                      (F.row_number().over(w) - 1).alias("idx"), "freq")
+    order = [F.desc("freq"), F.desc("token")]
+    name = F.lit(feature).alias("feature")
+    if top_k <= LOCAL_TOKENS:
+        return freq.orderBy(*order).limit(top_k).select(
+            name, "token", (F.row_number().over(Window.orderBy(*order)) - 1).alias("idx"), "freq")
+    ranked = running_totals(freq.withColumns({"feature": name, "_one": F.lit(1)}), ["feature"], order, "_one", "vocabulary", "idx")
+    return ranked.where(F.col("idx") <= top_k).select("feature", "token", (F.col("idx") - 1).cast("int").alias("idx"), "freq")
 
 
 # ------------------------------------------------------------------ fit
@@ -118,12 +133,15 @@ def fit(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FittedParams:
     if vocab is None:
         vocab = train.sparkSession.createDataFrame([], "feature string, token string, idx int, freq bigint")
     vocab = vocab.select("feature", "token", F.col("idx").cast("int").alias("idx"), "freq")
-    # ``top_k`` rows per feature at most (an ordered limit): brought home once
-    # under a checked bound, then a local frame that broadcasts
-    vocab = bounded_local(vocab, spec.top_k * max(1, len(spec.categorical)))
+    if spec.top_k <= LOCAL_TOKENS:
+        # ``top_k`` rows per feature at most (an ordered limit): brought home once
+        # under a checked bound, then a local frame that broadcasts
+        vocab = bounded_local(vocab, spec.top_k * max(1, len(spec.categorical)))
+    else:
+        vocab = write_once(vocab, "vocabulary")
     sizes = {c: 0 for c in spec.categorical}
-    for r in vocab.collect():
-        sizes[r["feature"]] += 1
+    for r in vocab.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect():   # a row per feature
+        sizes[r["feature"]] = r["n"]
     return FittedParams(moments, vocab, sizes, spec)
 
 
@@ -131,16 +149,25 @@ def fit(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FittedParams:
 
 def apply_vocabulary(df: DataFrame, feature: str, params: FittedParams, out: str) -> DataFrame:
     """M7: token -> index, unknown tokens -> vocab_size + md5 bucket."""
-    # at most top_k rows when fitted here; a loaded vocabulary is size-checked
-    v = broadcast_if_small(params.vocab.where(F.col("feature") == feature)
-                           .select(F.col("token").alias(f"_tok_{out}"), F.col("idx").alias(f"_idx_{out}")),
-                           params.spec.top_k)
     t = token(feature)
     size = params.vocab_sizes.get(feature, 0)
-    return (df.join(v, t == F.col(f"_tok_{out}"), "left")
-            .withColumn(out, F.coalesce(F.col(f"_idx_{out}"),
-                                        (F.lit(size) + hash_bucket(t, params.spec.oov_buckets)).cast("int")))
-            .drop(f"_tok_{out}", f"_idx_{out}"))
+    known = params.vocab.where(F.col("feature") == feature)
+    tok, idx = f"_tok_{out}", f"_idx_{out}"
+    unknown = (F.lit(size) + hash_bucket(t, params.spec.oov_buckets)).cast("int")
+    if size <= LOCAL_TOKENS:
+        v = F.broadcast(known.select(F.col("token").alias(tok), F.col("idx").alias(idx)))
+        return df.join(v, t == F.col(tok), "left").withColumn(out, F.coalesce(idx, unknown)).drop(tok, idx)
+    # large: hot tokens (1 / HOT_SHARE at most) are broadcast, the others meet by a
+    # shuffle. Rows without a cold token (hot, empty or NULL) go to keys of
+    # their own that match nothing, so none of these groups meets in one task.
+    every = known.agg(F.sum("freq")).scalar()
+    hot = write_once(known.where(F.col("freq") > HOT_SHARE * every).select(F.col("token").alias(tok), F.col("idx").alias(idx)), "vocabulary-hot")
+    cold = known.select(F.col("token").alias(f"{tok}c"), F.col("idx").alias(f"{idx}c"))
+    spare = F.concat(F.lit("\n"), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)))   # no token has a line break
+    rows = df.join(F.broadcast(hot), t == F.col(tok), "left")
+    rows = rows.withColumn(f"{tok}k", F.when(F.col(idx).isNull() & (t != ""), t).otherwise(spare))
+    return (rows.join(cold, F.col(f"{tok}k") == F.col(f"{tok}c"), "left").withColumn(out, F.coalesce(idx, f"{idx}c", unknown))
+            .drop(tok, idx, f"{tok}k", f"{tok}c", f"{idx}c"))
 
 
 def one_hot(idx, depth: int) -> "F.Column":
@@ -226,7 +253,8 @@ def save_params(params: FittedParams, path: str) -> str:
                                for c, (mv, sv) in params.moments.items()],
                               "feature string, mean double, std double")
     m.coalesce(1).write.mode("overwrite").parquet(f"{path}/moments")
-    params.vocab.coalesce(1).write.mode("overwrite").parquet(f"{path}/vocab")
+    small = sum(params.vocab_sizes.values()) <= LOCAL_TOKENS
+    (params.vocab.coalesce(1) if small else params.vocab).write.mode("overwrite").parquet(f"{path}/vocab")
     spec = params.spec
     sizes = spark.createDataFrame([(c, params.vocab_sizes.get(c, 0)) for c in spec.categorical],
                                   "feature string, size int")

@@ -1,29 +1,33 @@
 """Example statistics (M1), schema inference (M2) and example validation (M3).
 
 Scale notes:
-  * statistics are one wide ``groupBy(split)`` aggregate over all columns in a
-    single pass (partial aggregation; the shuffle carries one row per split per
-    mapper), then unpivoted on the tiny result. No per-column stacking of data.
-  * quantiles are exact, from counted buckets refined in a second pass
-    (``column_quantiles``); an exact percentile aggregate would hold every
-    distinct value of a column in one task.
+  * statistics of numbers are one wide ``groupBy(split)`` aggregate over all
+    columns in a single pass (partial aggregation; the shuffle carries one row per
+    split per mapper), then unpivoted on the tiny result.
+  * everything about text comes from one written table of counted values
+    (``counted_values``: split, column, value, freq), made in one scan for all
+    columns: distinct values, lengths, top values, domains, unseen values. No
+    distinct aggregate, so no Expand, however many text columns there are.
+  * quantiles are exact, from counted buckets whose values are counted and
+    range-sorted in a second pass (``column_quantiles``); an exact percentile
+    aggregate would hold every distinct value of a column in one task.
   * histograms reuse the per-split bounds through a broadcast join on ``split``
     (one row per split: a fixed-size side) and count all buckets of all columns
     in one more wide aggregate.
-  * top values are one frequency aggregate per column and a ``TakeOrdered``
-    limit per (split, column): a task never holds more than ``k`` values per
-    partition, whatever the column's cardinality.
+  * domains have any size: unseen values are found by an anti-join of the
+    counted values with the domain, both as tables.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featpipe.functions.frames import broadcast_if_small
+from featpipe.functions.ranks import running_totals, write_once
 
 SPLITS = ("train", "eval")
 HISTOGRAM_BUCKETS = 10
@@ -56,12 +60,9 @@ def _wide_stats(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     for i, (c, kind) in enumerate(kinds.items()):
         v = F.col(f"`{c}`")
         aggs.append(F.count(v).alias(f"n{i}"))
-        if kind == "BYTES":
-            aggs += [F.count_distinct(v).alias(f"u{i}"), F.avg(F.length(v)).alias(f"l{i}")]
-        else:
-            x = _number(v)   # NaN counts as a value but has no place in moments or bounds
-            aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"a{i}"),
-                     F.stddev_pop(x).alias(f"s{i}"), F.count(F.when(x == 0, 1)).alias(f"z{i}")]
+        x = _number(v)   # NaN counts as a value but has no place in moments or bounds
+        aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"a{i}"),
+                 F.stddev_pop(x).alias(f"s{i}"), F.count(F.when(x == 0, 1)).alias(f"z{i}")]
     return df.groupBy("split").agg(*aggs)
 
 
@@ -70,25 +71,50 @@ _STAT_FIELDS = [("count", "bigint"), ("missing", "bigint"), ("min", "double"), (
                 ("avg_length", "double")]
 
 
-def column_stats(df: DataFrame, kinds: dict[str, str] | None = None) -> DataFrame:
+def counted_values(df: DataFrame, columns) -> DataFrame:
+    """``(split, column, value, freq)`` of the columns' values as text, NULL
+    with its own count: one scan for all columns, counted on the mappers first,
+    written once."""
+    return write_once(value_frequencies(df, columns), "counted-values")
+
+
+def _text_stats(counted: DataFrame) -> DataFrame:
+    known = F.col("value").isNotNull()
+    n = F.sum(F.when(known, F.col("freq")).otherwise(0))
+    letters = F.sum(F.when(known, F.length("value").cast("bigint") * F.col("freq")))
+    s = counted.groupBy("split", "column").agg(
+        n.alias("count"), F.sum(F.when(known, 0).otherwise(F.col("freq"))).alias("missing"),
+        F.count(F.when(known, 1)).alias("distinct"), (letters.cast("double") / F.nullif(n, F.lit(0))).alias("avg_length"))
+    vals = {c: F.col(c) for c in ("count", "missing", "distinct", "avg_length")}
+    return s.select("split", "column", F.lit("BYTES").alias("type"),
+                    *[vals.get(k, F.lit(None)).cast(t).alias(k) for k, t in _STAT_FIELDS])
+
+
+def column_stats(df: DataFrame, kinds: dict[str, str] | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Long-form statistics ``(split, column, type, count, missing, min, max,
     mean, std_dev, zeros, distinct, avg_length)``; numeric fields are NULL for
-    text columns and the reverse."""
+    text columns and the reverse. ``counted`` (``counted_values`` of the text
+    columns at least) is made here when not given."""
     kinds = kinds or feature_kinds(df)
-    w = _wide_stats(df, kinds)
+    text = [c for c, k in kinds.items() if k == "BYTES"]
+    numbers = {c: k for c, k in kinds.items() if k != "BYTES"}
+    out = None
+    if text:
+        counted = counted_values(df, text) if counted is None else counted
+        out = _text_stats(counted.where(F.col("column").isin(text)))
+    if not numbers and out is not None:
+        return out
+    w = _wide_stats(df, numbers)
     nul = {t: F.lit(None).cast(t) for _, t in _STAT_FIELDS}
     structs = []
-    for i, (c, kind) in enumerate(kinds.items()):
+    for i, (c, kind) in enumerate(numbers.items()):
         n = F.col(f"n{i}")
-        vals = {"count": n, "missing": F.col("_rows") - n}
-        if kind == "BYTES":
-            vals.update({"distinct": F.col(f"u{i}"), "avg_length": F.col(f"l{i}")})
-        else:
-            vals.update({"min": F.col(f"mn{i}"), "max": F.col(f"mx{i}"), "mean": F.col(f"a{i}"),
-                         "std_dev": F.col(f"s{i}"), "zeros": F.col(f"z{i}")})
+        vals = {"count": n, "missing": F.col("_rows") - n, "min": F.col(f"mn{i}"), "max": F.col(f"mx{i}"),
+                "mean": F.col(f"a{i}"), "std_dev": F.col(f"s{i}"), "zeros": F.col(f"z{i}")}
         structs.append(F.struct(F.lit(c).alias("column"), F.lit(kind).alias("type"),
                                 *[vals.get(k, nul[t]).cast(t).alias(k) for k, t in _STAT_FIELDS]))
-    return w.select("split", F.explode(F.array(*structs)).alias("_s")).select("split", "_s.*")
+    rows = w.select("split", F.explode(F.array(*structs)).alias("_s")).select("split", "_s.*")
+    return rows if out is None else rows.unionByName(out)
 
 
 QUANTILE_BUCKETS = 1024
@@ -101,9 +127,9 @@ def column_quantiles(df: DataFrame, kinds: dict[str, str] | None = None,
 
     Pass one counts ``buckets`` equal-width buckets and finds, from their
     running counts, the one each quantile lies in. Pass two counts the values
-    of these buckets alone. Both passes count on the mappers first; a window
-    sees ``buckets`` rows of a column, or one bucket's distinct values."""
-    from pyspark.sql import Window
+    of these buckets alone, range-sorts them and adds up prefix sums, so a
+    bucket that holds a whole column (one far outlier is enough) is spread over
+    the tasks like any other. Both passes count on the mappers first."""
     kinds = kinds or feature_kinds(df)
     num = [c for c, k in kinds.items() if k != "BYTES"]
     cells = F.array(*[F.struct(F.lit(c).alias("column"), _number(F.col(f"`{c}`")).alias("value")) for c in num])
@@ -125,8 +151,8 @@ def column_quantiles(df: DataFrame, kinds: dict[str, str] | None = None,
     hit = broadcast_if_small(hit, MAX_BROADCAST_ROWS)
     inside = (placed.join(hit, ["split", "column", "_bucket"]).groupBy("split", "column", "_j", "value")
               .agg(F.count(F.lit(1)).alias("_count"), F.first("_rank").alias("_rank")))
-    running = Window.partitionBy("split", "column", "_j").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    found = inside.withColumn("_upto", F.sum("_count").over(running)).where("_upto >= _rank")
+    found = (running_totals(inside, ["split", "column", "_j"], ["value"], "_count", "quantile-values", "_upto")
+             .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_count") < F.col("_rank"))))
     return found.groupBy("split", "column").agg(
         *[F.min(F.when(F.col("_j") == j, F.col("value"))).alias(f"p{int(p * 100)}") for j, p in enumerate(probs)])
 
@@ -174,45 +200,38 @@ def column_histogram(df: DataFrame, kinds: dict[str, str] | None = None,
 
 
 def value_frequencies(df: DataFrame, columns) -> DataFrame:
-    """``(split, column, value, freq)`` for categorical columns, values as text."""
-    parts = [df.groupBy("split", F.col(f"`{c}`").cast("string").alias("value")).agg(
-        F.count(F.lit(1)).alias("freq")).select("split", F.lit(c).alias("column"), "value", "freq")
-        for c in columns]
-    return reduce(DataFrame.unionByName, parts)
+    """``(split, column, value, freq)`` for categorical columns, values as
+    text: one scan and one aggregate for all of them."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+    return (df.select("split", F.explode(cells).alias("_c")).groupBy("split", "_c.column", "_c.value")
+            .agg(F.count(F.lit(1)).alias("freq")))
 
 
-def column_topk(df: DataFrame, columns, k: int = 10, splits=SPLITS) -> DataFrame:
+def column_topk(df: DataFrame, columns, k: int = 10, splits=SPLITS, counted: DataFrame | None = None) -> DataFrame:
     """Top ``k`` values per split and column by frequency (ties: smaller text
-    first), with their rank; missing values are not counted."""
-    freqs = value_frequencies(df, columns).where(F.col("value").isNotNull())
-    parts = []
-    for s in splits:
-        for c in columns:
-            top = (freqs.where((F.col("split") == s) & (F.col("column") == c))
-                   .orderBy(F.desc("freq"), F.asc("value")).limit(k))
-            parts.append(top)
-    ranked = reduce(DataFrame.unionByName, parts)
-    # rank inside each (split, column): at most k rows per group
-    from pyspark.sql import Window
+    first), with their rank; missing values are not counted. Every task keeps
+    ``k`` values of a group before they are dealt out."""
+    freqs = (value_frequencies(df, columns) if counted is None else counted).where(
+        F.col("value").isNotNull() & F.col("split").isin(list(splits)) & F.col("column").isin(list(columns)))
     w = Window.partitionBy("split", "column").orderBy(F.desc("freq"), F.asc("value"))
-    return ranked.withColumn("rank", F.row_number().over(w))
+    return freqs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 # ------------------------------------------------------------------ schema
 
 def infer_schema(stats: DataFrame, freqs: DataFrame | None = None, train_split: str = "train",
-                 max_domain: int = MAX_STRING_DOMAIN):
+                 max_domain: int | None = MAX_STRING_DOMAIN):
     """M2: constraints from the training split's statistics:
     ``(column, type, required, min_fraction, domain_size)`` and, for text
-    columns with at most ``max_domain`` distinct values, the domain
-    ``(column, value)``. Shapes are not inferred."""
+    columns with at most ``max_domain`` distinct values (None: with any number),
+    the domain ``(column, value)``. Shapes are not inferred."""
     t = stats.where(F.col("split") == train_split)
     required = F.col("missing") == 0
     constraints = t.select(
         "column", "type", required.alias("required"),
         F.when(required, 1.0).otherwise(0.0).alias("min_fraction"),
-        F.when((F.col("type") == "BYTES") & (F.col("distinct") <= max_domain), F.col("distinct"))
-        .alias("domain_size"),
+        F.when((F.col("type") == "BYTES") & (F.lit(True) if max_domain is None else F.col("distinct") <= max_domain),
+               F.col("distinct")).alias("domain_size"),
     )
     domain = None
     if freqs is not None:
@@ -239,12 +258,13 @@ def schema_struct(constraints: DataFrame) -> T.StructType:
 
 
 def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
-                      domain: DataFrame | None, splits=SPLITS,
-                      max_domain_rows: int = MAX_STRING_DOMAIN) -> DataFrame:
+                      domain: DataFrame | None, splits=SPLITS, counted: DataFrame | None = None) -> DataFrame:
     """M3: one report row per (split, column, check):
     ``(split, column, check, n_bad, ok)`` with checks ``presence``, ``type``,
     ``domain``, ``missing_column`` and ``unknown_column``. A text column whose
     domain was not inferred has a ``domain`` row with null ``n_bad`` and ``ok``.
+    Unseen values are counted by an anti-join of ``counted`` (``counted_values``
+    of ``df``, made here when not given) with the domain, of any size.
     Advisory: nothing is raised; ``anomalies(report)`` keeps the failed rows."""
     parts = []
     for s in splits:
@@ -274,23 +294,19 @@ def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
         parts.append(j.select(F.lit(s).alias("split"), "column", F.explode(F.array(*rows)).alias("_r"))
                      .where("_r._emit").select("split", "column", "_r.check", "_r.n_bad", "_r.ok"))
     if domain is not None:
-        # one pass per domain column over all splits: values outside the
-        # (broadcast, at most max_domain_rows) domain, counted per split; the
-        # short list of splits is joined on so a clean split reports 0
         dcols = [r["column"] for r in constraints.where(F.col("domain_size").isNotNull())
-                 .select("column").collect()]
-        split_rows = df.sparkSession.createDataFrame([(s,) for s in splits], "split string")
-        for c in dcols:
-            if c not in df.columns:
-                continue
-            vals = df.where(F.col("split").isin(list(splits))).select(
-                "split", F.col(f"`{c}`").cast("string").alias("value")).where(F.col("value").isNotNull())
-            dom = broadcast_if_small(domain.where(F.col("column") == c).select("value"), max_domain_rows)
-            bad = vals.join(dom, "value", "left_anti").groupBy("split").agg(F.count(F.lit(1)).alias("_bad"))
-            per_split = split_rows.join(bad, "split", "left").select(
-                "split", F.lit(c).alias("column"), F.lit("domain").alias("check"),
-                F.coalesce(F.col("_bad"), F.lit(0)).cast("bigint").alias("n_bad"))
-            parts.append(per_split.withColumn("ok", F.col("n_bad") == 0))
+                 .select("column").collect() if r["column"] in df.columns]
+        if dcols:
+            if counted is None:
+                counted = counted_values(df.where(F.col("split").isin(list(splits))), dcols)
+            bad = (counted.where(F.col("value").isNotNull() & F.col("column").isin(dcols))
+                   .join(domain, ["column", "value"], "left_anti")
+                   .groupBy("split", "column").agg(F.sum("freq").alias("_bad")))
+            # a split without unseen values reports 0
+            every = df.sparkSession.createDataFrame([(s, c) for s in splits for c in dcols], "split string, column string")
+            n_bad = F.coalesce(F.col("_bad"), F.lit(0)).cast("bigint")
+            parts.append(every.join(bad, ["split", "column"], "left").select(
+                "split", "column", F.lit("domain").alias("check"), n_bad.alias("n_bad"), (n_bad == 0).alias("ok")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -140,11 +140,42 @@ def label(vectors: DataFrame, miners: DataFrame) -> DataFrame:
         "is_miner", F.coalesce(F.col("_m"), F.lit(False))).drop("_m")
 
 
+#: Hex digits of md5 that one pass of ``class_cap`` counts: 4096 buckets.
+CAP_DIGITS = 3
+#: Rows of the last bucket that are sorted.
+CAP_ROWS = 1000
+
+
 def class_cap(vectors: DataFrame, n: int) -> DataFrame:
     """L1: ``LIMIT n`` made deterministic: the first ``n`` rows by
-    (md5(address), address). Planned as TakeOrderedAndProject: each partition
-    keeps its own top n and only those are merged."""
-    return vectors.orderBy(F.md5("address"), "address").limit(n)
+    (md5(address), address), for any ``n`` and without gathering ``n`` rows.
+
+    Rows are counted by the first hex digits of md5 (4096 counts), which tells
+    the bucket that the ``n``-th row lies in; that bucket is counted by the next
+    digits until it is small. The result is a filter on md5, plus the first rows
+    of the last bucket. ``vectors`` is read several times: give a written table."""
+    digest, prefix, taken = F.md5("address"), "", 0
+    below = F.lit(False)
+    while len(prefix) < 32:
+        width = len(prefix) + CAP_DIGITS
+        part = F.substring(digest, 1, width)
+        inside = vectors.where(F.substring(digest, 1, len(prefix)) == prefix) if prefix else vectors
+        counts = sorted((r["part"], r["n"]) for r in inside.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+        hit = next(((p, k, before) for p, k, before in _running(counts, taken) if before + k > n), None)
+        if hit is None:   # everything in here is wanted
+            return vectors.where(below | (F.substring(digest, 1, len(prefix)) == prefix)) if prefix else vectors
+        prefix, rows, taken = hit
+        below = F.substring(digest, 1, width) < prefix
+        if rows <= CAP_ROWS:
+            break
+    last = vectors.where(F.substring(digest, 1, len(prefix)) == prefix).orderBy(digest, "address").limit(n - taken)
+    return vectors.where(below).unionByName(last)
+
+
+def _running(counts, before: int):
+    for part, n in counts:
+        yield part, n, before
+        before += n
 
 
 def labelled_union(vectors: DataFrame, miner_cap: int | None, non_miner_cap: int | None,

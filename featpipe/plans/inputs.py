@@ -20,7 +20,7 @@ from featpipe.sources.ledger import blocks_from_tables, transactions_from_tables
 from featpipe.sources.tables import read_table
 from featpipe.sources.trips import trips_from_tables
 
-_lock = threading.Lock()
+_lock = threading.RLock()   # a build may read another derived input
 _written: dict = {}
 
 
@@ -35,20 +35,21 @@ def _key(spark: SparkSession, kind: str, sf_dir: str):
     return (spark.sparkContext.applicationId, kind, sf_dir.rstrip("/"), tuple(state))
 
 
-def _readable(spark, paths) -> bool:
+def _readable(spark, paths, read=None) -> bool:
     try:
         for p in (paths if isinstance(paths, tuple) else (paths,)):
-            spark.read.parquet(p).schema   # resolves the file listing
+            read(p) if read else spark.read.parquet(p).schema   # resolves the file listing
         return True
     except Exception:  # noqa: BLE001 - a removed folder is rebuilt
         return False
 
 
-def _once(spark, kind, sf_dir, build):
+def derived_once(spark, kind, sf_dir, build, read=None):
+    """Path(s) that ``build`` writes, once per session and state of the tables; anew when they can't be read any more."""
     k = _key(spark, kind, sf_dir)
     with _lock:
         paths = _written.get(k)
-        if paths is None or not _readable(spark, paths):
+        if paths is None or not _readable(spark, paths, read):
             paths = build()
             _written[k] = paths
     return paths
@@ -76,7 +77,7 @@ def ledger_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         tx.write.mode("overwrite").parquet(tp)
         blocks.write.mode("overwrite").parquet(bp)
         return tp, bp
-    tp, bp = _once(spark, "ledger", sf_dir, build)
+    tp, bp = derived_once(spark, "ledger", sf_dir, build)
     return spark.read.parquet(tp), spark.read.parquet(bp)
 
 
@@ -88,5 +89,5 @@ def trip_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = trips_from_tables(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders"))
         ex.write_examples(ex.hash_split(raw), p)
         return p
-    p = _once(spark, "examples", sf_dir, build)
+    p = derived_once(spark, "examples", sf_dir, build)
     return ex.read_examples(spark, p)

@@ -198,12 +198,12 @@ def _labelled(spark, d):
 
 
 def q_class_cap(spark, d):
-    v = _labelled(spark, d).where(~F.col("is_miner"))
+    v = vectors.write_table(_labelled(spark, d).where(~F.col("is_miner")), "vectors")
     return vectors.class_cap(v, CAP_OTHERS).select("is_miner", "address", "total_tx_output_count")
 
 
 def q_class_cap_miners(spark, d):
-    v = _labelled(spark, d).where("is_miner")
+    v = vectors.write_table(_labelled(spark, d).where("is_miner"), "vectors")
     return vectors.class_cap(v, CAP_MINERS).select("is_miner", "address", "total_tx_output_count")
 
 

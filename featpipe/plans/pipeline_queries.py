@@ -10,8 +10,8 @@ every numeric element read at its position. All of it is lambda-free column
 arithmetic. Floating results whose summation order may differ between engines
 go through ``fixed`` on both sides.
 
-Queries without an oracle (model fits, scoring, artifacts, approximate
-quantiles) get the driver's rows-only check.
+Queries without an oracle (model fits, predictions, the whole chain) return what
+the model or the run gives, row by row; tests hold them against plain computations.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from featpipe.functions.frames import bounded_local
 from featpipe.functions.keys import epoch_seconds
 from featpipe.functions.numeric import fixed, fixed_sql
 from featpipe.operators import evaluate, features, model, profile
-from featpipe.plans.inputs import trip_examples
+from featpipe.plans.inputs import derived_once, trip_examples
 from featpipe.session import scratch_path
 from featpipe.sources import csv as csv_src
 from featpipe.sources import examples as ex
@@ -99,34 +99,32 @@ def q_transformed_roundtrip_all(spark, d):
     return _compact(ex.read_examples(spark, path))
 
 
-def q_artifact_roundtrip(spark, d):
-    params, fitted, _ = _fitted_model(spark, d)
-    base = scratch_path(spark, "artifact")
-    features.save_params(params, f"{base}/transform")
-    model.save_model(fitted, f"{base}/model")
-    p2, m2 = features.load_params(spark, f"{base}/transform"), model.load_model(f"{base}/model")
-    return _compared(_in_memory(spark, d, params, fitted), m2, p2)
+def _save_artifact(params, fitted, path):
+    features.save_params(params, f"{path}/transform")
+    model.save_model(fitted, f"{path}/model")
+    return path
 
 
-def _in_memory(spark, d, params, fitted):
-    """Raw rows of every split with the prediction of the model in memory."""
-    raw = _examples(spark, d).drop(LABEL_KEY)
-    scored = model.score(fitted, raw, params, keep=tuple(raw.columns))
-    return scored.select(*raw.columns, F.col("prediction").alias("expected"))
+def _artifact(spark, d):
+    """(params, model) of the regression as saved, fitted once per session."""
+    def build():
+        params, fitted, _ = _fitted_model(spark, d)
+        return _save_artifact(params, fitted, scratch_path(spark, "artifact"))
+    path = derived_once(spark, "artifact", d, build, read=lambda p: features.load_params(spark, f"{p}/transform"))
+    return features.load_params(spark, f"{path}/transform"), model.load_model(f"{path}/model")
 
 
-def _compared(rows, fitted, params):
-    """(rows, differing, null_predictions): the rows scored again, held
-    against ``expected`` row by row."""
-    again = model.score(fitted, rows, params, keep=("expected",))
-    return _differences(again)
+def _raw_rows(e):
+    """Raw examples without their label, which scoring must not need."""
+    return e.drop(LABEL_KEY)
 
 
-def _differences(scored):
-    return scored.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(~F.col("prediction").eqNullSafe(F.col("expected")), 1)).alias("differing"),
-        F.count(F.when(F.col("prediction").isNull(), 1)).alias("null_predictions"))
+def q_artifact_roundtrip(spark, d):
+    """Predictions of a model and transform that were fitted, saved and loaded back."""
+    params, fitted, _ = _fitted_model(spark, d)
+    path = _save_artifact(params, fitted, scratch_path(spark, "artifact"))
+    raw = _raw_rows(_examples(spark, d))
+    return model.score(model.load_model(f"{path}/model"), raw, features.load_params(spark, f"{path}/transform"), keep=tuple(raw.columns))
 
 
 # ---------------------------------------------------------------- M1-M3
@@ -161,23 +159,23 @@ def q_column_topk(spark, d):
     return profile.column_topk(_examples(spark, d), CATEGORICAL_FEATURE_KEYS, TOPK_VALUES)
 
 
-def _schema(spark, d):
-    e = _examples(spark, d)
+def _schema(e, max_domain=profile.MAX_STRING_DOMAIN):
+    """Counted values, statistics and schema of examples, each made once."""
     kinds = profile.feature_kinds(e)
-    # one row per (split, column): computed once, reused by schema and checks
-    stats = bounded_local(profile.column_stats(e, kinds), 4 * len(kinds))
-    text = [c for c, k in kinds.items() if k == "BYTES"]
-    return e, stats, profile.infer_schema(stats, profile.value_frequencies(e, text))
+    counted = profile.counted_values(e, [c for c, k in kinds.items() if k == "BYTES"])
+    stats = bounded_local(profile.column_stats(e, kinds, counted), 4 * len(kinds))   # a row per (split, column)
+    return counted, stats, profile.infer_schema(stats, counted, max_domain=max_domain)
 
 
 def q_infer_schema(spark, d):
-    c = _schema(spark, d)[2][0]
+    c = _schema(_examples(spark, d))[2][0]
     return c.withColumn("domain_size", F.col("domain_size").cast("double"))
 
 
 def q_validate_examples(spark, d):
-    e, stats, (constraints, domain) = _schema(spark, d)
-    return profile.validate_examples(e, stats, constraints, domain)
+    e = _examples(spark, d)
+    counted, stats, (constraints, domain) = _schema(e)
+    return profile.validate_examples(e, stats, constraints, domain, counted=counted)
 
 
 DRIFT_MONTH = 1   # eval rows of this month lose their pickup_longitude
@@ -185,12 +183,16 @@ DRIFT_MONTH = 1   # eval rows of this month lose their pickup_longitude
 
 def q_validate_drifted(spark, d):
     """The schema of the clean rows against drifted ones: a column gone, one
-    added, one retyped, unseen values and missing ones in the eval split."""
-    e, _, (constraints, domain) = _schema(spark, d)
+    added, one retyped, unseen values and missing ones in the eval split. The
+    domains have any size: ``zone`` takes tens of thousands of values."""
+    zone = F.concat(F.lit("z"), F.floor("pickup_longitude").cast("string"))
+    e = _examples(spark, d).withColumn("zone", zone)
+    _, _, (constraints, domain) = _schema(e, None)
     eval_row = F.col("split") == "eval"
     drifted = (e.drop("pickup_latitude").withColumn("extra", F.lit(1))
                .withColumn("euclidean", F.col("euclidean").cast("string"))
                .withColumn("day", F.when(eval_row, F.concat(F.lit("x"), "day")).otherwise(F.col("day")))
+               .withColumn("zone", F.when(eval_row & (F.col("month") == DRIFT_MONTH), F.concat("zone", F.lit("x"))).otherwise(F.col("zone")))
                .withColumn("pickup_longitude", F.when(~eval_row | (F.col("month") != DRIFT_MONTH), F.col("pickup_longitude"))))
     return profile.validate_examples(drifted, profile.column_stats(drifted), constraints, domain)
 
@@ -280,35 +282,34 @@ def _fitted_model(spark, d):
 
 
 def q_regress_fit(spark, d):
+    """Per split: rows, errors of the fitted regression and of the training mean, and the share of variance explained."""
     params, fitted, path = _fitted_model(spark, d)
     pred = model.predict(fitted, ex.read_examples(spark, path), SPEC)
     label = F.col(LABEL_KEY)
-    train = F.col("split") == "train"
-    error = F.when(train, F.col("prediction") - label)
-    # least squares with an intercept: residuals cancel out, and no constant is nearer
-    return pred.agg(
-        F.count(F.lit(1)).alias("rows"),
-        (F.abs(F.sum(error)) <= 1e-6 * F.sum(F.when(train, F.abs(label)))).alias("unbiased_on_train"),
-        (F.avg(error * error) < F.var_pop(F.when(train, label))).alias("better_than_mean_on_train"))
+    mean = ex.read_examples(spark, path, "train").select(F.avg(label)).scalar()
+    error, plain = F.col("prediction") - label, mean - label
+    return pred.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.avg(F.abs(error)).alias("mae"), F.avg(error * error).alias("mse"),
+        F.avg(F.abs(plain)).alias("mae_of_mean"), F.avg(plain * plain).alias("mse_of_mean"),
+        (1 - F.avg(error * error) / F.var_pop(label)).alias("r2"))
 
 
 def q_score_batch(spark, d):
-    """Raw rows written as files and scored, against the model in memory."""
-    params, fitted, _ = _fitted_model(spark, d)
-    path = scratch_path(spark, "batch-src")
-    _in_memory(spark, d, params, fitted).write.parquet(path)
-    return _compared(spark.read.parquet(path), fitted, params)
+    """Predictions for all raw rows, label absent: the rows and what the saved model makes of them."""
+    params, fitted = _artifact(spark, d)
+    raw = _raw_rows(_examples(spark, d))
+    return model.score(fitted, raw, params, keep=tuple(raw.columns))
 
 
 def q_score_stream(spark, d):
+    """The same predictions from a stream over the examples' files."""
     from featpipe.streaming.scoring import score_stream
-    params, fitted, _ = _fitted_model(spark, d)
-    rows = _in_memory(spark, d, params, fitted)
+    params, fitted = _artifact(spark, d)
+    raw = _raw_rows(_examples(spark, d))
     src = scratch_path(spark, "stream-src")
-    rows.write.mode("overwrite").parquet(src)
-    out = score_stream(spark, src, rows.schema, params, fitted, scratch_path(spark, "stream-sink"),
-                       scratch_path(spark, "stream-ckpt"), keep=("expected",))
-    return _differences(out)
+    raw.write.parquet(src)
+    return score_stream(spark, src, raw.schema, params, fitted, scratch_path(spark, "stream-sink"),
+                        scratch_path(spark, "stream-ckpt"), keep=tuple(raw.columns))
 
 
 def _baseline_scored(spark, d):
@@ -329,6 +330,16 @@ def q_eval_metrics(spark, d):
     return _metrics_cols(evaluate.eval_metrics(_baseline_scored(spark, d), LABEL_KEY))
 
 
+SLICES = ((), ("month",), ("day",), ("month", "day"))
+
+
+def q_eval_metrics_sliced(spark, d):
+    """Overall, by month, by day and by both, in one pass."""
+    m = evaluate.eval_metrics_sliced(_baseline_scored(spark, d), LABEL_KEY, SLICES)
+    return m.select("slice", "value", fixed(evaluate.MAE, MAE_PLACES).alias(evaluate.MAE),
+                    fixed(evaluate.MSE, MSE_PLACES).alias(evaluate.MSE), "n", "n_missing_label")
+
+
 def q_quality_gate(spark, d):
     g = evaluate.quality_gate(evaluate.eval_metrics(_baseline_scored(spark, d), LABEL_KEY))
     return g.withColumn("value", F.when(F.col("metric") == evaluate.MAE, fixed("value", MAE_PLACES))
@@ -370,12 +381,11 @@ def _images(spark, d):
 
 
 def q_classify_fit(spark, d):
+    """Accuracy and rows per split of the fitted classifier."""
     e = _images(spark, d)
     dim = len(e.select("embedding").first()[0])
     m = model.classify_fit(e.where(F.col("split") == "train"), dim, 10, hidden=512, max_iter=100)
-    found = model.classify_predict(m, e)
-    return found.agg(F.count(F.lit(1)).alias("rows"),
-                     F.count(F.when(~F.col("prediction").isin([float(k) for k in range(10)]), 1)).alias("out_of_range"))
+    return model.accuracy(model.classify_predict(m, e))
 
 
 def q_vector_rescale(spark, d):
@@ -408,18 +418,23 @@ def q_vocab_oov_apply(spark, d):
     return out.select("l_orderkey", "l_linenumber", features.token("l_partkey").alias("token"), "l_partkey_idx")
 
 
-def _stage_rows(res):
-    """(stage, rows) of a finished run."""
-    out = res.metrics.select(F.lit("evaluated").alias("stage"), (F.col("n") + F.col("n_missing_label")).alias("rows"))
-    for name, df in (("examples", res.examples), ("transformed", res.transformed), ("gate", res.gate), ("manifest", res.manifest_row)):
-        out = out.union(df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("rows")))
-    return out
+def _outcome(res):
+    """What a finished run decided: gate rows with the published state, and the checks that failed."""
+    published = res.manifest_row.select("published").scalar()
+    gate = res.gate.select(F.lit("gate").alias("part"), F.lit("eval").alias("split"), F.col("metric").alias("name"), "value", "ok",
+                           "blessed", published.alias("published"))
+    found = res.report.where(~F.col("ok")).select(
+        F.lit("anomaly").alias("part"), "split", F.concat_ws(":", "column", "check").alias("name"),
+        F.col("n_bad").cast("double").alias("value"), "ok", F.lit(None).cast("boolean").alias("blessed"),
+        F.lit(None).cast("boolean").alias("published"))
+    return gate.unionByName(found)
 
 
 def q_tabular_pipeline(spark, d):
-    """The source's component chain end to end; reports the rows of its stages."""
+    """The source's component chain end to end, from CSV files; its gate and its anomalies."""
     from featpipe.plans.training import run_pipeline
-    return _stage_rows(run_pipeline(spark, trips(spark, d), scratch_path(spark, "registry")))
+    path = csv_src.write_csv(trips(spark, d), scratch_path(spark, "trips-csv"))
+    return _outcome(run_pipeline(spark, csv_src.read_csv_typed(spark, path), scratch_path(spark, "registry")))
 
 
 def q_tabular_hooks(spark, d):
@@ -429,7 +444,24 @@ def q_tabular_hooks(spark, d):
     from featpipe.plans.training import run_pipeline
     trees = GBTRegressor(featuresCol="features", labelCol=LABEL_KEY, maxIter=2, maxDepth=3, seed=7)
     known = lambda raw: raw.where(F.col(LABEL_KEY).isNotNull())
-    return _stage_rows(run_pipeline(spark, trips(spark, d), scratch_path(spark, "registry"), preprocess=known, estimator=trees))
+    return _outcome(run_pipeline(spark, trips(spark, d), scratch_path(spark, "registry"), preprocess=known, estimator=trees))
+
+
+def _large_params(spark, d):
+    li = read_table(spark, d, "lineitem")
+    li = li.withColumn("order_part", F.concat_ws("-", F.when(F.col("l_linenumber") != 3, F.col("l_orderkey")), "l_partkey"))
+    spec = features.FeatureSpec(numeric=(), categorical=("order_part",), label=None, top_k=LARGE_TOP_K)
+    return li, features.fit(li.where("l_linenumber < 6"), spec)
+
+
+LARGE_TOP_K = 1_000_000   # as large as a vocabulary gets: written, ranked by prefix sums, joined by shuffle
+
+
+def q_vocab_large(spark, d):
+    """Fit and apply with room for a million tokens: index of every line's order and part, unseen ones in buckets."""
+    li, params = _large_params(spark, d)
+    out = features.apply_vocabulary(li.select("l_orderkey", "l_linenumber", "order_part"), "order_part", params, "order_part_idx")
+    return out.select("l_orderkey", "l_linenumber", "order_part", "order_part_idx")
 
 
 QUERIES = {
@@ -458,6 +490,7 @@ QUERIES = {
     "score_batch": q_score_batch,
     "score_stream": q_score_stream,
     "eval_metrics": q_eval_metrics,
+    "eval_metrics_sliced": q_eval_metrics_sliced,
     "quality_gate": q_quality_gate,
     "gated_publish": q_gated_publish,
     "latest_artifact": q_latest_artifact,
@@ -467,6 +500,7 @@ QUERIES = {
     "tabular_hooks": q_tabular_hooks,
     "vocab_topk_cap": q_vocab_topk_cap,
     "vocab_oov_apply": q_vocab_oov_apply,
+    "vocab_large": q_vocab_large,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -629,6 +663,14 @@ def _drifted_sql():
     parts = ["SELECT split, 'pickup_latitude' AS \"column\", 'missing_column' AS \"check\", CAST(0 AS BIGINT) AS n_bad, "
              "FALSE AS ok FROM ex GROUP BY split",
              "SELECT split, 'extra', 'unknown_column', count(*), FALSE FROM ex GROUP BY split"]
+    zone = "'z' || CAST(CAST(floor(pickup_longitude) AS BIGINT) AS VARCHAR)"
+    parts.append(f"""SELECT s.split, 'zone', 'presence', CASE WHEN r.required THEN s.missing ELSE 0 END, NOT (r.required AND s.missing > 0)
+FROM (SELECT split, count(*) - count(pickup_longitude) AS missing FROM ex GROUP BY split) s,
+     (SELECT count(*) = count(pickup_longitude) AS required FROM ex WHERE split = 'train') r
+UNION ALL SELECT split, 'zone', 'type', 0, TRUE FROM ex GROUP BY split
+UNION ALL SELECT split, 'zone', 'domain', count(*) FILTER (WHERE unseen), count(*) FILTER (WHERE unseen) = 0 FROM (
+  SELECT split, now IS NOT NULL AND now NOT IN (SELECT {zone} FROM ex WHERE split = 'train' AND pickup_longitude IS NOT NULL) AS unseen
+  FROM (SELECT split, {zone} || CASE WHEN split = 'eval' AND month = {DRIFT_MONTH} THEN 'x' ELSE '' END AS now FROM ex)) GROUP BY split""")
     for c, _ in _KINDS:
         if c == "pickup_latitude":
             continue
@@ -670,27 +712,9 @@ pf AS (SELECT CAST(l_partkey AS VARCHAR) AS token, count(*) AS freq FROM lineite
 pv AS (SELECT 'l_partkey' AS feature, token, CAST(idx AS INTEGER) AS idx, freq FROM (
        SELECT *, row_number() OVER (ORDER BY freq DESC, token DESC) - 1 AS idx FROM pf) WHERE idx < {PART_TOP_K})"""
 
-_SAME = f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing, CAST(0 AS BIGINT) AS null_predictions FROM ({TRIPS_SQL})"
-
-
-def _stages_sql(where: str = "TRUE") -> str:
-    count = f"(SELECT count(*) FROM ex WHERE {where}"
-    return f"""WITH {_EX}
-SELECT 'evaluated' AS stage, {count} AND split = 'eval') AS rows
-UNION ALL SELECT 'examples', {count}) UNION ALL SELECT 'transformed', {count})
-UNION ALL SELECT 'gate', 2 UNION ALL SELECT 'manifest', 1"""
-
-
 ORACLE = {
-    "artifact_roundtrip": _SAME,
-    "score_batch": _SAME,
-    "score_stream": _SAME,
-    "regress_fit": f"SELECT count(*) AS rows, TRUE AS unbiased_on_train, TRUE AS better_than_mean_on_train FROM ({TRIPS_SQL})",
-    "classify_fit": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS out_of_range FROM embeddings",
     "gated_publish": """SELECT * FROM (VALUES ('default', FALSE, FALSE, FALSE), ('wide', TRUE, TRUE, TRUE))
 AS t(name, blessed, published, reads_back)""",
-    "tabular_pipeline": _stages_sql(),
-    "tabular_hooks": _stages_sql(f"{LABEL_KEY} IS NOT NULL"),
     "csv_ingest": f"SELECT * REPLACE (CAST(month AS BIGINT) AS month) FROM ({TRIPS_SQL})",
     "hash_split": f"WITH {_EX} SELECT * FROM ex",
     "column_stats": _stats_sql(),
@@ -720,6 +744,16 @@ AS t(name, blessed, published, reads_back)""",
     "transformed_roundtrip_all": _T_BASE + _compact_sql(),
     "eval_metrics": _BASELINE + f"SELECT {fixed_sql('mae', MAE_PLACES)} AS mean_absolute_error, "
                                 f"{fixed_sql('mse', MSE_PLACES)} AS mean_squared_error, n, n_missing_label FROM m",
+    "eval_metrics_sliced": _BASELINE.replace("\nm AS", "\ncells AS (SELECT *, coalesce(CAST(month AS VARCHAR), 'NULL') AS mo, "
+                                             "coalesce(\"day\", 'NULL') AS da FROM ex, base WHERE split = 'eval'),\nm AS") + f"""
+SELECT CASE WHEN grouping(mo) = 0 AND grouping(da) = 0 THEN 'month,day' WHEN grouping(mo) = 0 THEN 'month'
+            WHEN grouping(da) = 0 THEN 'day' ELSE '' END AS slice,
+       CASE WHEN grouping(mo) = 0 AND grouping(da) = 0 THEN mo || ',' || da WHEN grouping(mo) = 0 THEN mo
+            WHEN grouping(da) = 0 THEN da ELSE '' END AS value,
+       {fixed_sql(f'avg(abs(p - {LABEL_KEY}))', MAE_PLACES)} AS mean_absolute_error,
+       {fixed_sql(f'avg((p - {LABEL_KEY}) * (p - {LABEL_KEY}))', MSE_PLACES)} AS mean_squared_error,
+       count({LABEL_KEY}) AS n, count(*) FILTER (WHERE {LABEL_KEY} IS NULL) AS n_missing_label
+FROM cells GROUP BY GROUPING SETS ((), (mo), (da), (mo, da))""",
     "quality_gate": _BASELINE + f""",
 g AS (SELECT 'mean_absolute_error' AS metric, {fixed_sql('mae', MAE_PLACES)} AS value, CAST(1.0 AS DOUBLE) AS lower_bound,
              CAST(4.0 AS DOUBLE) AS upper_bound, mae IS NOT NULL AND mae >= 1.0 AND mae <= 4.0 AS ok FROM m
@@ -736,6 +770,13 @@ SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_partkey AS VARCHAR) AS token,
        CAST(coalesce(pv.idx, (SELECT count(*) FROM pv) + {_bucket('CAST(l.l_partkey AS VARCHAR)')}) AS INTEGER)
          AS l_partkey_idx
 FROM lineitem l LEFT JOIN pv ON pv.token = CAST(l.l_partkey AS VARCHAR)""",
+    "vocab_large": f"""WITH lines AS (
+  SELECT *, CASE WHEN l_linenumber <> 3 THEN l_orderkey || '-' ELSE '' END || l_partkey AS order_part FROM lineitem),
+lf AS (SELECT order_part AS token, count(*) AS freq FROM lines WHERE l_linenumber < 6 GROUP BY 1),
+lv AS (SELECT token, row_number() OVER (ORDER BY freq DESC, token DESC) - 1 AS idx FROM lf)
+SELECT l.l_orderkey, l.l_linenumber, l.order_part,
+       CAST(coalesce(lv.idx, (SELECT count(*) FROM lv) + {_bucket('l.order_part')}) AS INTEGER) AS order_part_idx
+FROM lines l LEFT JOIN lv ON lv.token = l.order_part""",
     "vector_rescale": f"""SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n,
   list_min(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / CAST(255 AS DOUBLE))) AS min_value,
   list_max(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / CAST(255 AS DOUBLE))) AS max_value,

@@ -46,7 +46,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = Non
                  spec: features.FeatureSpec = features.FeatureSpec(), algorithm: str = "linear",
                  name: str = "trips-regressor", thresholds=evaluate.DEFAULT_THRESHOLDS,
                  preprocess=None, estimator=None,
-                 max_domain: int = profile.MAX_STRING_DOMAIN) -> PipelineResult:
+                 max_domain: int | None = profile.MAX_STRING_DOMAIN) -> PipelineResult:
     """``preprocess`` (DataFrame -> DataFrame) runs on the raw rows before the
     split; ``estimator`` replaces the regression of ``algorithm``;
     ``max_domain`` bounds the domains that are inferred. Histogram and report
@@ -57,14 +57,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = Non
     # split) and every later stage reads them, as the source's components do
     examples = ex.read_examples(spark, ex.write_examples(ex.hash_split(raw), scratch_path(spark, "examples")))
     kinds = profile.feature_kinds(examples)
+    text_cols = [c for c, k in kinds.items() if k == "BYTES"]
+    counted = profile.counted_values(examples, text_cols) if text_cols else None
     # one row per (split, column): computed once, reused by schema and checks
-    stats = bounded_local(profile.column_stats(examples, kinds), 10_000)
+    stats = bounded_local(profile.column_stats(examples, kinds, counted), 10_000)
     # bounds from the statistics above: the histogram is one more pass (lazy)
     histogram = _written(profile.column_histogram(examples, kinds, stats=stats), "histogram")
-    text_cols = [c for c, k in kinds.items() if k == "BYTES"]
-    freqs = profile.value_frequencies(examples, text_cols) if text_cols else None
-    constraints, domain = profile.infer_schema(stats, freqs, max_domain=max_domain)
-    report = _written(profile.validate_examples(examples, stats, constraints, domain), "report")
+    constraints, domain = profile.infer_schema(stats, counted, max_domain=max_domain)
+    report = _written(profile.validate_examples(examples, stats, constraints, domain, counted=counted), "report")
 
     params = features.fit(examples.where("split = 'train'"), spec)
     # transformed examples are stored compactly: one-hot positions, not

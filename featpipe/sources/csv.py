@@ -8,6 +8,12 @@ the rule does not have.) Only digits, a sign, a point and an exponent make a
 number: ``1d``, ``NaN`` and ``Infinity`` are text. The decision is one row of
 counts, so the scan is read twice: once to decide, once to cast, as any
 inferring reader does.
+
+A quoted cell may hold line breaks, and a file with such records can't be split
+between tasks. So the lines are first read as text, in as many tasks as the
+files allow, and each is held against the grammar of a line that ends outside
+quotes. When all lines pass, no record spans two of them, and the files are
+split; otherwise each file is one task. Both readers give the same rows.
 """
 
 from __future__ import annotations
@@ -18,6 +24,9 @@ from pyspark.sql import types as T
 
 INTEGER = r"^\s*[+-]?\d+\s*$"
 DECIMAL = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+#: A line whose cells are free of quotes, or quoted as a whole without a quote, backslash or break inside: it surely
+#: starts and ends outside quotes. Other lines may be as good, but are not taken for it.
+WHOLE_LINE = r'^([^",]*|"[^"\\]*")(,([^",]*|"[^"\\]*"))*$'
 _MALFORMED = "_malformed_record"
 
 
@@ -52,12 +61,20 @@ def _types_and_malformed(raw: DataFrame) -> tuple[dict[str, str], int]:
     return types, counts["malformed"]
 
 
+def may_span_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a record could reach over the end of a line."""
+    lines = spark.read.text(path)
+    return not lines.where(F.col("value").contains('"') & ~F.col("value").rlike(WHOLE_LINE)).isEmpty()
+
+
 def read_csv_typed(spark: SparkSession, path: str, malformed: str | None = None,
-                   multi_line: bool = True) -> DataFrame:
+                   multi_line: bool | None = None) -> DataFrame:
     """Records with more or fewer cells than the header are an error, or, with
     ``malformed``, kept: that column holds their text and is NULL elsewhere.
-    Quoted line breaks belong to their cell; ``multi_line=False`` gives that up
-    so that large files can be split between tasks."""
+    Quoted line breaks belong to their cell. Files without any are split
+    between tasks; ``multi_line`` skips the pass that finds out."""
+    if multi_line is None:
+        multi_line = may_span_lines(spark, path)
     reader = spark.read.option("header", True).option("inferSchema", False).option("multiLine", multi_line)
     names = reader.csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _MALFORMED]])

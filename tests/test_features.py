@@ -357,3 +357,133 @@ def test_histogram_bounds_from_stats_equal_own_bounds(spark, train):
     a = sorted(map(str, profile.column_histogram(train).collect()))
     b = sorted(map(str, profile.column_histogram(train, stats=stats).collect()))
     assert a == b and len(a) > 0
+
+
+# ------------------------------------------------ counted values, quantiles, domains of any size
+def test_quantiles_with_a_far_outlier(spark):
+    """One outlier puts every other value into one bucket: its values are still spread over many range partitions."""
+    n = 200_000
+    df = spark.range(n).select(F.lit("train").alias("split"), F.col("id").cast("double").alias("x")).union(
+        spark.createDataFrame([("train", 1e18), ("train", None), ("train", float("nan")), ("eval", 7.0)], "split string, x double"))
+    got = {r.split: (r.p25, r.p50, r.p75) for r in profile.column_quantiles(df).collect()}
+    rank = lambda p: float(math.ceil(p * (n + 1)) - 1)
+    assert got == {"train": (rank(0.25), rank(0.5), rank(0.75)), "eval": (7.0, 7.0, 7.0)}
+
+
+def test_running_totals_spread_a_group(spark):
+    from featpipe.functions.ranks import running_totals
+    df = spark.range(20_000).select(F.lit("g").alias("g"), ((F.col("id") * 7919) % 20_000).alias("v"), F.lit(2).alias("n"))
+    out = running_totals(df, ["g"], [F.col("v").desc()], "n", "test")
+    rows = out.orderBy(F.desc("v")).collect()
+    assert [r.upto for r in rows] == [2 * k for k in range(1, 20_001)]
+    # the widest window partition holds one range partition of the group
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "SinglePartition" not in plan
+
+
+def test_text_statistics_need_one_scan_and_no_expand(spark):
+    df = spark.createDataFrame([("train", "a", "bb", None, 1), ("train", "a", "c", "", 2), ("eval", None, "bb", "x\ny", None)],
+                               "split string, t1 string, t2 string, t3 string, n int")
+    stats = profile.column_stats(df)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    got = {(r.split, r.column): (r["count"], r.missing, r.distinct, r.avg_length) for r in stats.collect()}
+    assert got[("train", "t1")] == (2, 0, 1, 1.0) and got[("eval", "t1")] == (0, 1, 0, None)
+    assert got[("train", "t3")] == (1, 1, 1, 0.0) and got[("eval", "t3")] == (1, 0, 1, 3.0)
+    assert got[("train", "n")] == (2, 0, None, None)
+
+
+def test_domains_have_any_size(spark):
+    train = spark.range(12_000).select(F.lit("train").alias("split"), F.concat(F.lit("v"), "id").alias("c"))
+    fresh = spark.createDataFrame([("eval", "v5"), ("eval", "new"), ("eval", "new"), ("eval", "newer"), ("eval", None)], "split string, c string")
+    both = train.union(fresh)
+    counted = profile.counted_values(both, ["c"])
+    stats = profile.column_stats(both, counted=counted)
+    constraints, domain = profile.infer_schema(stats, counted, max_domain=None)
+    assert constraints.first().domain_size == 12_000
+    report = {(r.split, r["check"]): (r.n_bad, r.ok) for r in profile.validate_examples(both, stats, constraints, domain, counted=counted).collect()}
+    assert report[("eval", "domain")] == (3, False) and report[("train", "domain")] == (0, True)
+
+
+# ------------------------------------------------ large vocabularies
+def test_large_vocabulary_equals_small(spark, monkeypatch):
+    """Ranks by prefix sums and the shuffled join give what the ordered limit and the broadcast give; hot, empty, NULL
+    and unseen tokens included, and no vocabulary row comes to the driver."""
+    rows = [("train", f"t{k % 700}") for k in range(3000)] + [("train", "hot")] * 900 + [("train", ""), ("train", None), ("train", "a\nb")]
+    rows += [("eval", f"t{k}") for k in range(650, 800)] + [("eval", "hot"), ("eval", ""), ("eval", None)] * 20
+    df = spark.createDataFrame(rows, "split string, c string")
+    train = df.where("split = 'train'")
+    for top_k in (500, 1_000_000):
+        spec = features.FeatureSpec(numeric=(), categorical=("c",), label=None, top_k=top_k)
+        small = features.fit(train, spec)
+        want = sorted(map(str, features.apply_vocabulary(df, "c", small, "i").collect()))
+        monkeypatch.setattr(features, "LOCAL_TOKENS", 10)
+        monkeypatch.setattr(features, "bounded_local", None)
+        large = features.fit(train, spec)
+        assert sorted(map(str, large.vocab.collect())) == sorted(map(str, small.vocab.select(*large.vocab.columns).collect()))
+        assert large.vocab_sizes == small.vocab_sizes
+        out = features.apply_vocabulary(df, "c", large, "i")
+        assert "monotonically_increasing_id" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, out.collect())) == want
+        monkeypatch.undo()
+
+
+# ------------------------------------------------ metrics by slices
+def test_sliced_metrics_equal_one_query_per_slice(spark):
+    df = spark.createDataFrame([(1.0, 2.0, "a", 1), (3.0, 2.5, "a", None), (None, 1.0, "b", 1), (5.0, 1.0, None, 2)],
+                               "label double, prediction double, g string, h int")
+    slices = [(), ("g",), ("h",), ("g", "h")]
+    out = evaluate.eval_metrics_sliced(df, "label", slices)
+    got = {(r["slice"], r["value"]): tuple(r)[2:] for r in out.collect()}
+    want = {}
+    for s in slices:
+        for r in evaluate.eval_metrics(df, "label", slices=s).collect():
+            want[",".join(s), ",".join("NULL" if r[c] is None else str(r[c]) for c in s)] = tuple(r)[len(s):]
+    assert got == want and len(got) == 1 + 3 + 3 + 4
+    assert out._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+    assert [tuple(r) for r in evaluate.eval_metrics_sliced(df, "label", [()]).collect()] == [("", "", *want["", ""])]
+
+
+# ------------------------------------------------ publishing
+def passing_gate(spark):
+    return evaluate.quality_gate(spark.createDataFrame([(2.0, 5.0)], f"{evaluate.MAE} double, {evaluate.MSE} double"))
+
+
+def test_failed_publish_leaves_nothing(spark, tmp_path):
+    reg, gate = str(tmp_path / "reg"), passing_gate(spark)
+    parts = spark.range(3)
+
+    def broken(path):
+        parts.write.parquet(f"{path}/transform")   # half of an artifact
+        raise RuntimeError("disk full")
+
+    with pytest.raises(RuntimeError):
+        evaluate.gated_publish(spark, gate, reg, "m", broken, version="v1")
+    assert not os.path.exists(f"{reg}/m/v1") and not os.path.exists(f"{reg}/_manifest")
+    # the same version again, twice: one artifact, one row
+    saves = []
+
+    def save(path):
+        saves.append(path)
+        parts.write.parquet(f"{path}/transform")
+
+    for _ in range(2):
+        row = evaluate.gated_publish(spark, gate, reg, "m", save, version="v1").collect()
+        assert [(r.version, r.published, r.path) for r in row] == [("v1", True, f"{reg}/m/v1")]
+    assert len(saves) == 1 and evaluate.is_committed(spark, f"{reg}/m/v1")
+    assert spark.read.parquet(f"{reg}/m/v1/transform").count() == 3
+    assert evaluate.read_manifest(spark, reg).count() == 1
+
+
+def test_publish_after_a_lost_commit(spark, tmp_path):
+    """An attempt that ended between the rename and the commit marker is replaced by the next one."""
+    reg, gate = str(tmp_path / "reg"), passing_gate(spark)
+    spark.range(1).write.parquet(f"{reg}/m/v2/transform")
+    row = evaluate.gated_publish(spark, gate, reg, "m", lambda p: spark.range(5).write.parquet(f"{p}/transform"), version="v2").first()
+    assert row.published and spark.read.parquet(f"{reg}/m/v2/transform").count() == 5
+
+
+def test_gate_plans_its_metrics_once(spark):
+    metrics = spark.range(10).agg(F.avg("id").alias(evaluate.MAE), F.max("id").cast("double").alias(evaluate.MSE))
+    plan = evaluate.quality_gate(metrics)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1

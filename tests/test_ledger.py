@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -508,3 +509,28 @@ def test_hashes_with_several_times_are_counted_once(spark):
     t = transfers.unnest_transfers(tx, "outputs").collect()
     for address, n in got.items():
         assert n == len({r.hash for r in t if r.address == address and r.hash is not None})
+
+
+# ------------------------------------------------ L1 without gathering n rows
+@pytest.mark.parametrize("n", [0, 1, 7, 1000, 4999, 5000, 9000])
+def test_class_cap_equals_ordered_limit(spark, n):
+    df = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("address"), F.col("id").alias("v"))
+    want = sorted(map(str, df.orderBy(F.md5("address"), "address").limit(n).collect()))
+    assert sorted(map(str, vectors.class_cap(df, n).collect())) == want
+
+
+def test_class_cap_sorts_only_its_last_bucket(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CAP_ROWS", 3)
+    df = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("address"))
+    out = vectors.class_cap(df, 15_000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    limits = [int(x) for x in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan)]
+    assert limits and max(limits) <= 3 and "SinglePartition" not in plan
+    assert out.count() == 15_000
+
+
+def test_class_cap_with_repeated_addresses(spark):
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 5, "address string")
+    for n in range(11):
+        got = sorted(r.address for r in vectors.class_cap(df, n).collect())
+        assert got == sorted(r.address for r in df.orderBy(F.md5("address"), "address").limit(n).collect())

@@ -1,6 +1,7 @@
 """CSV records as written, distinct dates at any range, hooks, and stream errors."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +86,70 @@ def test_unreadable_sink_is_an_error(spark, tmp_path, monkeypatch):
 def test_gate_thresholds(spark):
     m = spark.createDataFrame([(2.0, 9.0, 5, 0)], f"{evaluate.MAE} double, {evaluate.MSE} double, n long, n_missing_label long")
     assert evaluate.is_blessed(evaluate.quality_gate(m)) and not evaluate.is_blessed(evaluate.quality_gate(m, [(evaluate.MAE, 3.0, 4.0)]))
+
+
+# ------------------------------------------------ splittable CSV
+def lines_of(spark, path):
+    return sorted(map(str, csv_src.read_csv_typed(spark, path).collect()))
+
+
+def test_large_files_are_split_when_no_record_spans_lines(spark, tmp_path):
+    path = write(tmp_path, "a,b,c\n" + "".join(f'{k},"x, {k}",{k / 4}\n' for k in range(30_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = csv_src.read_csv_typed(spark, path)
+        assert df.rdd.getNumPartitions() > 1 and not csv_src.may_span_lines(spark, path)
+        assert lines_of(spark, path) == sorted(map(str, csv_src.read_csv_typed(spark, path, multi_line=True).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_that_may_not_stand_alone(spark, tmp_path):
+    """Whatever could leave a quote open is read file by file; the rows are those of the reader that never splits."""
+    for k, (text, spans) in enumerate([
+            ('a,b\n1,"x"\n2,y\n', False), ('a,b\n1,"x\ny"\n2,z\n', True), ('a,b\n1,"x ""q"" y"\n', True),
+            ('a,b\n1,"x\\"y"\n', True), ('a,b\n1,st"ray\n', True), ('a,b\n1,"p" tail\n', True),
+            ('a,b\n1,"p, q"\n"2","r"\n', False), ('a,b\r\n1,"p"\r\n2,"q"\r\n', False), ('a,b\n1,s"t,"open\nclose"\n', True)]):
+        (tmp_path / f"f{k}").mkdir()
+        path = write(tmp_path / f"f{k}", text)
+        assert csv_src.may_span_lines(spark, path) == spans, text
+        if k != 8:
+            assert lines_of(spark, path) == sorted(map(str, csv_src.read_csv_typed(spark, path, multi_line=True).collect())), text
+
+
+# ------------------------------------------------ stream recovery
+def test_stream_restarts_after_a_broken_batch(spark, tmp_path):
+    """The second file is broken: the query fails, and started again from its checkpoint it scores every row once."""
+    import shutil
+    import time as clock
+
+    rows = [(float(k), float(k % 7), 3.0 * k + (k % 7)) for k in range(40)]
+    df = spark.createDataFrame(rows, "x double, y double, label double")
+    spec = features.FeatureSpec(numeric=("x", "y"), categorical=(), label="label")
+    params = features.fit(df.withColumn("split", F.lit("train")), spec)
+    fitted = model.regress_fit(features.apply(df, params, keep=()), spec)
+    src, sink, ckpt = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
+    os.makedirs(src)
+    raw = df.drop("label")
+    for k in range(3):
+        part = str(tmp_path / f"part{k}")
+        raw.where((F.col("x") >= 14 * k) & (F.col("x") < 14 * (k + 1))).coalesce(1).write.parquet(part)
+        [name] = [n for n in os.listdir(part) if n.endswith(".parquet")]
+        shutil.copy(f"{part}/{name}", f"{src}/{k}.parquet")
+        os.utime(f"{src}/{k}.parquet", (clock.time() - 100 + 10 * k,) * 2)
+    good = open(f"{src}/1.parquet", "rb").read()
+    stamp = os.path.getmtime(f"{src}/1.parquet")
+    with open(f"{src}/1.parquet", "wb") as f:
+        f.write(good[:len(good) // 2])
+    os.utime(f"{src}/1.parquet", (stamp, stamp))
+    run = lambda: score_stream(spark, src, raw.schema, params, fitted, sink, ckpt, keep=("x",), max_files=1)
+    with pytest.raises(Exception):
+        run()
+    assert spark.read.parquet(sink).count() == 14
+    with open(f"{src}/1.parquet", "wb") as f:
+        f.write(good)
+    os.utime(f"{src}/1.parquet", (stamp, stamp))
+    got = {r.x: r.prediction for r in run().collect()}
+    want = {r.x: r.prediction for r in model.score(fitted, raw, params, keep=("x",)).collect()}
+    assert got == want and run().count() == 40
