@@ -19,6 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: ``[^\p{L}\p{N}]+``, with a plain range for ASCII, which is looked up several times faster.
 BETWEEN_WORDS = r"[\x00-/:-@\[-`{-\x7F[^\x00-\x7F\p{L}\p{N}]]+"
 
+#: Characters of scripts that do not part words by spaces: each is a token of its own.
+UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+
 #: Odd multipliers for polynomial hashes modulo 2**64.
 BASE_A = np.uint64(0x9E3779B97F4A7C15)
 BASE_B = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -57,6 +60,14 @@ def checked_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 1
     return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def n_words(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

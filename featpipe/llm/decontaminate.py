@@ -12,25 +12,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featpipe.llm.common import BETWEEN_WORDS, checked_broadcast, written
+from featpipe.llm.common import BETWEEN_WORDS, UNSPACED, checked_broadcast, free_name, written
 
-#: Token offsets each mask selects. Any 14 tokens with two replaced ones, and 97 of 100 with
-#: three, still hold a whole mask; so do any 8 tokens with one.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7), (0, 1, 2, 5, 6, 7), (0, 1, 3, 4, 6, 7))
+#: Token offsets each mask selects. Any 14 tokens with three replaced ones, any 10 with two and any 8 with one still
+#: hold a whole mask: all that the comparison accepts is hit.
+MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7), (0, 1, 2, 5, 6, 7), (0, 1, 3, 4, 6, 7), (0, 1, 2, 5, 9, 10),
+         (0, 1, 3, 4, 5, 8), (0, 2, 3, 4, 5, 6))
 REACH = 1 + max(m[-1] for m in MASKS)
 #: Aligned tokens that are compared, and how many of them may differ.
 SPAN = 14
 REPLACED = 3
-#: Benchmark items with fewer tokens are no evidence and are left out.
-LEAST = 8
+#: Benchmark items with fewer tokens only match whole and unchanged.
+WHOLE = 8
 #: Benchmark seeds that are broadcast at a time (about 350 bytes each).
 SEED_BLOCK = 100_000
 
 
 def token_hashes(text: Column) -> Column:
-    """Hashes of the lower-cased runs of letters and digits; empty for null."""
-    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN_WORDS), "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    """Hashes of the lower-cased runs of letters and digits, and of each
+    character where a script has no spaces; empty for null."""
+    parted = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), UNSPACED, " $1 ")
+    return F.transform(F.array_remove(F.split(parted, BETWEEN_WORDS), ""), lambda w: F.xxhash64(w))
 
 
 def once(value: Column) -> Column:
@@ -39,17 +41,19 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def _seeds(tokens: Column, at: Column) -> list[Column]:
-    """Hash of the tokens each mask selects at a position (0-based); null where the mask leaves the text."""
+def _seeds(tokens: Column, at: Column, lengths: list[int]) -> list[Column]:
+    """Hash of the tokens each mask selects at a position (0-based), and of the next n tokens for each of ``lengths``;
+    null where they leave the text."""
+    shapes = [*enumerate(MASKS), *[(-n, tuple(range(n))) for n in lengths]]
     return [F.when(at + (m[-1] + 1) <= F.size(tokens), F.xxhash64(F.lit(k), *[F.get(tokens, at + i) for i in m]))
-            for k, m in enumerate(MASKS)]
+            for k, m in shapes]
 
 
-def _positions(rows: DataFrame) -> DataFrame:
-    """One row per token position ``_at`` and mask, with its ``_seed``."""
-    last = F.size("_tokens") - F.lit(min(m[-1] for m in MASKS) + 1)
+def _positions(rows: DataFrame, lengths: list[int] = ()) -> DataFrame:
+    """One row per token position ``_at`` and mask or length, with its ``_seed``."""
+    last = F.size("_tokens") - F.lit(min([m[-1] + 1 for m in MASKS] + list(lengths)))
     rows = rows.where(last >= 0).withColumn("_at", F.explode(F.sequence(F.lit(0), last)))
-    return rows.withColumn("_seed", F.explode(F.array(*_seeds(F.col("_tokens"), F.col("_at"))))).where("_seed is not null")
+    return rows.withColumn("_seed", F.explode(F.array(*_seeds(F.col("_tokens"), F.col("_at"), list(lengths))))).where("_seed is not null")
 
 
 def _around(tokens: Column, at: Column) -> Column:
@@ -58,13 +62,20 @@ def _around(tokens: Column, at: Column) -> Column:
     return F.transform(places, lambda i: F.when((i >= 0) & (i < F.size(tokens)), F.get(tokens, i)))
 
 
-def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """(seed, item_id, item_at, item_tokens, around) of every item of ``LEAST`` tokens or more."""
-    items = (benchmark.select("item_id", once(token_hashes(F.col("text"))).alias("_tokens"))
-             .where(F.size("_tokens") >= LEAST))
-    return _positions(items).select(
+def benchmark_seeds(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(seed, item_id, item_at, item_tokens, around) of every item with a token, and the lengths of those under
+    ``WHOLE`` tokens."""
+    items = written(benchmark.select("item_id", once(token_hashes(F.col("text"))).alias("_tokens")).where(F.size("_tokens") > 0),
+                    "benchmark-tokens")
+    n = F.size("_tokens")
+    lengths = sorted(r[0] for r in items.where(n < WHOLE).select(n).distinct().collect())  # WHOLE - 1 at most
+    seeds = _positions(items.where(n >= WHOLE))
+    for length in lengths:
+        whole = F.xxhash64(F.lit(-length), *[F.get("_tokens", F.lit(i)) for i in range(length)])
+        seeds = seeds.unionByName(items.where(n == length).withColumns({"_at": F.lit(0), "_seed": whole}))
+    return seeds.select(
         F.col("_seed").alias("seed"), "item_id", F.col("_at").alias("item_at"),
-        F.size("_tokens").alias("item_tokens"), _around(F.col("_tokens"), F.col("_at")).alias("around"))
+        F.size("_tokens").alias("item_tokens"), _around(F.col("_tokens"), F.col("_at")).alias("around")), lengths
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -73,16 +84,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     They overlap when ``SPAN`` aligned tokens around a seed hit (or the whole
     item, if it is shorter) differ in ``REPLACED`` places at most (in
-    proportion for shorter items). ``matched`` of ``compared`` tokens agree in the
+    proportion for shorter items; items under ``WHOLE`` tokens, one-token items
+    included, overlap with texts that hold them unchanged). ``matched`` of ``compared`` tokens agree in the
     best such place, which starts at token ``first`` of the document; ``hits``
     counts the verified seeds. ``key`` is a hash of the text, which names rows
-    without id. Null texts overlap with nothing; rows repeated in id and text
-    add up to one result. The benchmark is broadcast in blocks of
+    without id. Null and empty texts overlap with nothing, nor do items without
+    a token; rows repeated in id and text add up to one result. Long texts are
+    seeded at every position. The benchmark is broadcast in blocks of
     ``SEED_BLOCK`` seeds, every block against all documents."""
     rows = docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("key"),
                        once(token_hashes(F.col("text"))).alias("_tokens"))
-    places = _positions(rows)
-    seeds = benchmark_seeds(benchmark)
+    seeds, lengths = benchmark_seeds(benchmark)
+    places = _positions(rows, lengths)
     blocks = -(-seeds.count() // SEED_BLOCK)
     if blocks > 1:
         seeds = written(seeds.withColumn("_block", F.pmod(F.xxhash64("seed", "item_id", "item_at"), F.lit(blocks))), "benchmark-seeds")
@@ -101,11 +114,12 @@ def verify(hits: DataFrame) -> DataFrame:
     width = 2 * SPAN + REACH - 1
     same = F.zip_with("around", "_here", lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
     compared = F.least(F.lit(SPAN), F.col("item_tokens"))
+    allowed = F.when(F.col("item_tokens") < WHOLE, F.lit(0)).otherwise(F.floor(F.col("compared") * REPLACED / F.lit(float(SPAN))))
     sums = F.transform(F.sequence(F.lit(1), F.lit(width) - F.col("compared") + 1),
                        lambda i: F.aggregate(F.slice("_same", i, F.col("compared")), F.lit(0), lambda s, x: s + x))
     checked = (hits.withColumn("compared", compared).withColumn("_same", once(same)).withColumn("_sums", once(sums))
                .withColumn("matched", F.array_max("_sums"))
-               .where(F.col("matched") >= F.col("compared") - F.floor(F.col("compared") * REPLACED / F.lit(float(SPAN))))
+               .where(F.col("matched") >= F.col("compared") - allowed)
                .withColumn("first", (F.col("_from") + F.array_position("_sums", F.col("matched")) - 1).cast("long")))
     best = F.max(F.struct("matched", -F.col("first"), "compared"))
     return (checked.groupBy("doc_id", "key", "item_id").agg(best.alias("_best"), F.count(F.lit(1)).alias("hits"))
@@ -116,7 +130,9 @@ def verify(hits: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` without those that overlap with the benchmark (same id and text as a result)."""
     key = F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
-    gone = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_gone")).distinct()
+    names = [free_name(docs, n) for n in ("_id", "_gone")]
+    gone = found.select("doc_id", "key").distinct().toDF(*names)
     gone = checked_broadcast(written(gone, "benchmark-overlaps"), 1_000_000)
-    same = (F.col("_key") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return docs.withColumn("_key", key).join(gone, same, "left_anti").drop("_key")
+    own = free_name(docs, "_key")
+    same = (F.col(own) == F.col(names[1])) & F.col("doc_id").eqNullSafe(F.col(names[0]))
+    return docs.withColumn(own, key).join(gone, same, "left_anti").drop(own)

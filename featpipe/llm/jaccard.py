@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featpipe.llm.common import (WordCodes, batches_by_size, checked_broadcast, ngram_hashes, partitions, written)
+from featpipe.llm.common import (WordCodes, batches_by_size, checked_broadcast, free_name, ngram_hashes, partitions, written)
 from featpipe.llm.components import components
 
 WORDS = 5
@@ -394,14 +394,15 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     rows = written(found.where("group is not null").select("group", order.alias("order"), "key"), "jaccard-grouped")
     first = written(rows.groupBy("group").agg(F.min(F.struct("order", "key")).alias("_first")), "jaccard-first")
+    names = [free_name(docs, n) for n in ("_order", "_key")]
     gone = (rows.join(first, "group").where(F.struct("order", "key") != F.col("_first"))
-            .select(F.col("order").alias("_order"), F.col("key").alias("_key")).distinct())
+            .select("order", "key").distinct().toDF(*names))
     gone = checked_broadcast(written(gone, "jaccard-gone"), 1_000_000)
-    named = docs.withColumn("_order", order).withColumn("_key", text_key(F.col("text")))
-    kept = named.join(gone, ["_order", "_key"], "left_anti")
-    repeated = rows.groupBy(F.col("order").alias("_order"), F.col("key").alias("_key")).count().where("count > 1").drop("count")
+    named = docs.withColumn(names[0], order).withColumn(names[1], text_key(F.col("text")))
+    kept = named.join(gone, names, "left_anti")
+    repeated = rows.groupBy("order", "key").count().where("count > 1").select("order", "key").toDF(*names)
     repeated = written(repeated, "jaccard-repeated")
     if repeated.limit(1).count():
-        once = kept.join(repeated, ["_order", "_key"], "left_semi").dropDuplicates(["_order", "_key"])
-        kept = kept.join(repeated, ["_order", "_key"], "left_anti").unionByName(once)
+        once = kept.join(repeated, names, "left_semi").dropDuplicates(names)
+        kept = kept.join(repeated, names, "left_anti").unionByName(once)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featpipe.llm.common import checked_broadcast, n_words, written
+from featpipe.llm.common import checked_broadcast, free_name, n_words, written
 from featpipe.llm.prefix import prefix_sums
 
 #: Weights of the sources in code-point order, repeating.
@@ -92,12 +92,13 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
     extra = F.col("taken") - F.col("epochs") * F.col("size")
     cuts = mixed.where("size > 0").groupBy("source").agg(
         F.first("epochs").alias("_epochs"), F.min(F.when(2 * extra < F.col("size"), F.col("key"))).alias("_cut"))
-    cuts = checked_broadcast(written(cuts.withColumnRenamed("source", "_source"), "mix-cuts"))
-    last = F.when(F.col("_cut").isNull() | (F.col("_key") < F.col("_cut")), 1).otherwise(0)
-    copies = F.when(n_words(F.col("text")) > 0, F.col("_epochs") + last).otherwise(0).cast("int")
-    named = docs.withColumn("_key", order_key(seed)).join(cuts, F.col("source").eqNullSafe(F.col("_source")))
-    return (named.withColumn("_copies", copies).where("_copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    source, epochs, cut, own, copy = (free_name(docs, n) for n in ("_source", "_epochs", "_cut", "_key", "_copy"))
+    cuts = checked_broadcast(written(cuts.toDF(source, epochs, cut), "mix-cuts"))
+    last = F.when(F.col(cut).isNull() | (F.col(own) < F.col(cut)), 1).otherwise(0)
+    copies = F.when(n_words(F.col("text")) > 0, F.col(epochs) + last).otherwise(0).cast("int")
+    named = docs.withColumn(own, order_key(seed)).join(cuts, F.col("source").eqNullSafe(F.col(source)))
+    return (named.withColumn(copy, copies).where(F.col(copy) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

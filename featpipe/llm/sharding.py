@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featpipe.llm.common import written
+from featpipe.llm.common import checked_broadcast, written
 from featpipe.llm.prefix import prefix_sums
 
 #: Largest weight of a unit as a share of a leaf's target bytes.
@@ -42,12 +42,12 @@ def heavy_groups(keyed: DataFrame, n_shards: int, share: float = UNIT_SHARE) ->
 
     A unit may weigh ``share`` of a leaf, or as much as the largest document,
     which cannot be split anyway. At most ``n_shards / share`` groups are
-    heavier (more would exceed the total): that bounds the broadcast."""
+    heavier (more would exceed the total); they are broadcast if they are small."""
     sums = keyed.agg(F.sum("_size").alias("total"), F.max("_size").alias("largest")).first()
     limit = max(1, int((sums.total or 0) / n_shards * share), sums.largest or 0)
     groups = keyed.groupBy(*UNIT[:3]).agg(F.sum("_size").alias("_bytes"))
     pieces = F.ceil(F.col("_bytes") / F.lit(limit)).cast("long").alias("_pieces")
-    return F.broadcast(written(groups.where(F.col("_bytes") > limit).select(*UNIT[:3], pieces), "shard-heavy"))
+    return checked_broadcast(written(groups.where(F.col("_bytes") > limit).select(*UNIT[:3], pieces), "shard-heavy"))
 
 
 def into_units(keyed: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -73,8 +73,8 @@ def kd_tree(made: DataFrame, n_shards: int, dimensions: list[str]) -> DataFrame:
 
     A node of k leaves is split into halves of k // 2 and k - k // 2 leaves at
     that share of its weight. Each level range-sorts the units by (node,
-    coordinate) and reads the cut from distributed prefix sums; what is
-    broadcast is one row per node. Widths are compared after scaling each
+    coordinate) and reads the cut from distributed prefix sums; one row per
+    node is broadcast while that is small. Widths are compared after scaling each
     dimension by its range over all units."""
     scale = made.agg(*[F.min(d).alias(f"min{d}") for d in dimensions], *[F.max(d).alias(f"max{d}") for d in dimensions]).first()
     rows = made
@@ -90,7 +90,8 @@ def kd_tree(made: DataFrame, n_shards: int, dimensions: list[str]) -> DataFrame:
         nodes = rows.where("_leaves > 1").groupBy("_node").agg(F.sum("_weight").alias("_total"), *spans)
         widest = F.greatest(*[F.col(f"span{d}") for d in dimensions])
         number = F.coalesce(*[F.when(F.col(f"span{d}") == widest, F.lit(k)) for k, d in enumerate(dimensions)])
-        nodes = F.broadcast(nodes.select("_node", "_total", number.alias("_dimension")))  # n_shards rows at most
+        nodes = written(nodes.select("_node", "_total", number.alias("_dimension")), f"kd-nodes{level}")
+        nodes = checked_broadcast(nodes)  # n_shards rows at most
         along = F.coalesce(*[F.when(F.col("_dimension") == k, F.col(d)) for k, d in enumerate(dimensions)], F.lit(0.0))
         placed = rows.join(nodes, "_node", "left").withColumn("_along", along)
         placed = prefix_sums(placed, "_node", ["_along", *UNIT], "_weight", f"kd-level{level}")

@@ -17,27 +17,30 @@ def covered(length, replaced):
 
 
 def test_masks_tolerate_replaced_tokens():
-    assert all(covered(dc.SPAN, 1)) and all(covered(dc.SPAN, 2))
-    three = covered(dc.SPAN, 3)
-    assert sum(three) >= 0.97 * len(three)
-    assert all(covered(8, 1)) and all(covered(9, 1)) and all(covered(12, 2))
+    """Every choice of replaced tokens that the comparison accepts leaves a whole mask."""
+    assert all(all(covered(dc.SPAN, n)) for n in (1, 2, 3))
+    for length in range(dc.WHOLE, dc.SPAN):
+        assert all(covered(length, length * dc.REPLACED // dc.SPAN)), length
 
 
 def brute(docs, items):
     import regex
-    tokens = lambda t: regex.findall(r"[\p{L}\p{N}]+", (t or "").lower())
+    one = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]"
+    tokens = lambda t: [x for w in regex.findall(r"[\p{L}\p{N}]+", (t or "").lower())
+                        for x in regex.findall(one + "|(?:(?!" + one + ").)+", w)]
     out = {}
     for d, text in docs:
         x = tokens(text)
         for item, passage in items:
             y = tokens(passage)
-            if len(y) < dc.LEAST:
+            if not y:
                 continue
             n = min(dc.SPAN, len(y))
+            allowed = n * dc.REPLACED // dc.SPAN if n >= dc.WHOLE else 0
             for shift in range(-len(y), len(x) + 1):
                 same = [0 <= shift + j < len(x) and x[shift + j] == y[j] for j in range(len(y))]
                 best = max(sum(same[a:a + n]) for a in range(len(y) - n + 1))
-                if best >= n - n * dc.REPLACED // dc.SPAN:
+                if best >= n - allowed:
                     out[d, item] = max(best, out.get((d, item), 0))
     return out
 
@@ -46,11 +49,14 @@ def brute(docs, items):
 def cases():
     rng = random.Random(4)
     items = [(k, " ".join(prose(50 + k, rng.choice([8, 10, 14, 20, 40])))) for k in range(12)]
-    items += [(90, "too short an item"), (91, None), (None, " ".join(prose(80, 20)))]
+    items += [(60 + k, " ".join(prose(70 + k, 1 + k))) for k in range(7)]
+    items += [(80, "深度学习模型需要大量的训练数据"), (81, "量子计算"), (90, "too short an item"), (91, None), (92, "..."), (None, " ".join(prose(80, 20)))]
     docs = []
     for k in range(120):
         words = prose(1000 + k, rng.randrange(0, 120))
         item = rng.choice(items)[1]
+        if k % 7 == 0:
+            words.insert(len(words) // 2, rng.choice(["前言深度学习模型需要大量的训练数据。后记", "关于量子计算的书", "量子的计算"]))
         if k % 3 and item:
             passage = item.split()
             for at in rng.sample(range(len(passage)), min(len(passage) // 8, rng.randrange(0, 4))):
@@ -67,10 +73,28 @@ def test_finds_what_brute_force_finds(spark, cases):
     docs, items = cases
     found = {(r.doc_id, r.item_id): r.matched for r in dc.contaminated(make_docs(spark, docs), spark.createDataFrame(items, BENCH)).collect()}
     want = brute(docs, items)
-    assert set(found) <= set(want)  # nothing that is not there
-    missed = set(want) - set(found)
-    assert len(missed) <= 0.03 * len(want) and len(want) > 50
+    assert set(found) == set(want) and len(want) > 60
     assert all(found[k] <= want[k] for k in found)
+    short = {i for _, i in found if i is not None and (60 <= i < 70 or i in (80, 81))}
+    assert len(short) >= 6
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    """A six-word question and a passage of one clause, copied exactly, are found; parts of them are not."""
+    items = [(1, "what is the capital of France?"), (2, "机器学习是人工智能的一个分支它使用统计方法让计算机系统学习"), (3, "yes")]
+    docs = [(1, "Quiz: What is the capital of France? Paris."), (2, "序言。机器学习是人工智能的一个分支它使用统计方法让计算机系统学习，等等"),
+            (3, "what is the capital of Spain"), (4, "机器学习很有用"), (5, "Yes, indeed"), (6, "yesterday")]
+    found = dc.contaminated(make_docs(spark, docs), spark.createDataFrame(items, BENCH)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 2), (5, 3)]
+
+
+def test_clean_documents_keeps_columns_of_any_name(spark):
+    bench = spark.createDataFrame([(1, " ".join(prose(2, 20)))], BENCH)
+    docs = make_docs(spark, [(1, "x y"), (2, " ".join(prose(2, 20)))])
+    for name in ("_key", "_id", "_gone", "key"):
+        docs = docs.withColumn(name, F.lit(f"mine {name}"))
+    kept = dc.clean_documents(docs, dc.contaminated(docs, bench))
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [tuple(r) for r in docs.where("doc_id = 1").collect()]
 
 
 def test_benchmark_in_blocks(spark, cases, monkeypatch):
@@ -88,7 +112,7 @@ def test_clean_documents(spark, cases):
     kept = dc.clean_documents(frame, dc.contaminated(frame, bench))
     want = {d for d, _ in docs} - {d for d, _ in brute(docs, items)}
     ids = [r.doc_id for r in kept.collect()]
-    assert want <= set(ids) and len(set(ids) - want - {None, 5000}) <= 2
+    assert set(ids) == want | {None, 5000}
     assert kept.columns == frame.columns and [r.text for r in kept.where("doc_id is null").collect()] == ["clean"]
 
 

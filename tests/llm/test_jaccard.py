@@ -99,3 +99,13 @@ def test_edges(spark, awkward, no_docs):
     assert texts.count(rows[0][1]) == 1 and sum(not (t or "").split() for t in texts) == 5
     empty = make_docs(spark, [(1, None), (2, ""), (3, " ")])
     assert found(empty) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    same = " ".join(prose(1, 40))
+    docs = make_docs(spark, [(1, same), (2, same), (3, " ".join(prose(2, 40)))])
+    for name in ("_key", "_order", "order", "key"):
+        docs = docs.withColumn(name, F.lit(f"mine {name}"))
+    kept = jaccard.one_of_each(docs, jaccard.jaccard_components(docs))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    assert {r._key for r in kept.collect()} == {"mine _key"}

@@ -80,3 +80,15 @@ def test_edges(spark, awkward, no_docs):
     assert mixing.mixture(clash).columns == clash.columns
     nothing = make_docs(spark, [(1, None), (2, "")])
     assert [r.taken for r in mixing.mix(nothing).collect()] == [0, 0]
+
+
+def test_mixture_keeps_columns_of_any_name(spark):
+    rows = [(k, f"word{k} two three", "en", "ab"[k % 2]) for k in range(12)]
+    docs = make_docs(spark, rows)
+    named = docs
+    for name in ("_key", "_cut", "_source", "_copies", "_copy", "_epochs", "key"):
+        named = named.withColumn(name, F.lit(f"mine {name}"))
+    got = mixing.mixture(named)
+    assert got.columns == named.columns
+    assert sorted(map(tuple, got.select(*docs.columns).collect())) == sorted(map(tuple, mixing.mixture(docs).collect()))
+    assert {r._key for r in got.collect()} == {"mine _key"}

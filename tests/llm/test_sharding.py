@@ -60,6 +60,48 @@ def test_splits_along_the_widest_dimension(spark):
     assert [tree[k] for k in range(64)][::16] == [0, 1, 2, 3] and Counter(tree.values()) == {0: 16, 1: 16, 2: 16, 3: 16}
 
 
+def plain_tree(units, n_shards, names):
+    """The tree by sorting each node's units in plain Python: {unit: shard}."""
+    rows = [dict(u) for u in units]
+    for d in names:
+        known = [r[d] for r in rows if r[d] is not None]
+        low, high = min(known, default=None), max(known, default=None)
+        for r in rows:
+            r[d] = 0.0 if r[d] is None or low is None or high <= low else (r[d] - low) / (high - low)
+    out = {}
+
+    def split(own, node, leaves):
+        if leaves == 1 or not own:
+            out.update({r["_hash"]: node for r in own})
+            return
+        spans = {d: max(r[d] for r in own) - min(r[d] for r in own) for d in names}
+        widest = next(d for d in names if spans[d] == max(spans.values()))
+        total, before, left = sum(r["_weight"] for r in own), 0, []
+        half = leaves // 2
+        for r in sorted(own, key=lambda r: (r[widest], r["_hash"], r["_crc"], r["_size"], r["_piece"])):
+            if (before + r["_weight"] / 2) * leaves <= total * half:
+                left.append(r)
+            before += r["_weight"]
+        names_left = {r["_hash"] for r in left}
+        split(left, node, half)
+        split([r for r in own if r["_hash"] not in names_left], node + half, leaves - half)
+
+    split(rows, 0, n_shards)
+    return out
+
+
+def test_tree_equals_a_plain_one(spark):
+    """Random weights and coordinates with ties, nulls and one heavy unit, for numbers of shards that don't halve evenly."""
+    rng = random.Random(8)
+    units = [{"_hash": k, "_crc": k % 7, "_size": 3, "_piece": 0, "_weight": rng.choice([1, 5, 40, 900 if k == 3 else 2]),
+              "x": rng.choice([None, float(rng.randrange(9)), rng.random() * 9]), "y": float(rng.randrange(4)), "z": 2.0} for k in range(300)]
+    made = spark.createDataFrame([tuple(u.values()) for u in units],
+                                 "_hash long, _crc long, _size long, _piece long, _weight long, x double, y double, z double")
+    for n in (5, 24):
+        tree = {r._hash: r.shard for r in sharding.kd_tree(made.repartition(3), n, ["z", "x", "y"]).collect()}
+        assert tree == plain_tree(units, n, ["z", "x", "y"])
+
+
 def test_edges(spark, awkward, no_docs):
     assert sharding.with_slots(sharding.shard(no_docs, n_shards=24)).count() == 0
     out = sharding.with_slots(sharding.shard(awkward, n_shards=4)).collect()
