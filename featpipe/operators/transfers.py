@@ -90,7 +90,7 @@ def transfer_stats(transfers: DataFrame, prefix: str = "output", months=None) ->
         *month_aggs,
         F.count(F.when(F.col("is_transfer"), 1)).alias(f"total_tx_{p}_count"),
         value_sum.cast("double").alias(f"total_tx_{p}_value"),
-        (value_sum.cast("double") / F.count("value")).alias(f"mean_tx_{p}_value"),
+        (value_sum.cast("double") / F.nullif(F.count("value"), F.lit(0))).alias(f"mean_tx_{p}_value"),
         F.stddev_samp("value").alias(f"stddev_tx_{p}_value"),
         F.count_distinct("hash").alias(f"total_{p}_tx"),
         (value_sum.cast("double") / n_month).alias(f"mean_monthly_{p}_value"),

@@ -15,6 +15,7 @@ from featpipe.functions.keys import epoch_seconds
 from featpipe.functions.numeric import fixed, fixed_sql
 from featpipe.operators import idle, signatures, transfers, vectors
 from featpipe.plans.inputs import ledger_tables
+from featpipe.sources import ledger
 from featpipe.sources.ledger import FIXTURE_MIN_HITS, FIXTURE_SIGNATURES
 from featpipe.sources.tables import read_table
 
@@ -265,27 +266,56 @@ _OUT_KEY = ("CASE WHEN l.l_linenumber = 7 THEN 'a' || l.l_partkey || ',a' || l.l
             "ELSE 'a' || l.l_partkey END")
 _MONTH = "CAST(date_trunc('month', o.o_orderdate) AS DATE)"
 
+_HEAD = f"""'t' || o.o_orderkey AS hash, o.o_orderdate AS block_time, {_MONTH} AS month"""
+_LO = "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"
+_QTY = "CAST(l.l_quantity AS DECIMAL(18,2))"
+
+
+def _on(rule) -> str:
+    return f"l.l_orderkey % {rule[0]} = 0 AND l.l_linenumber = {rule[1]}"
+
+
+# every element of every array as a flat row: (address, value, is_transfer, has_addresses, condition)
+_OUT_ROWS = [
+    (_OUT_KEY, "CAST(l.l_extendedprice AS DECIMAL(18,2))", True, True, "TRUE"),
+    ("'a' || l.l_suppkey", _QTY, True, True, f"l.l_orderkey % {ledger.SECOND_OUTPUT} = 0"),
+    ("''", "CAST(NULL AS DECIMAL(18,2))", False, False, _on(ledger.NULL_OUTPUT)),
+    ("''", _QTY, True, False, _on(ledger.NULL_ADDRESSES)),
+    ("''", _QTY, True, True, _on(ledger.NO_ADDRESSES)),
+]
+_IN_ROWS = [
+    ("'a' || o.o_custkey", "CAST(o.o_totalprice AS DECIMAL(18,2))", True, True, "TRUE"),
+    ("''", "CAST(o.o_totalprice AS DECIMAL(18,2))", True, False, f"o.o_orderkey % {ledger.NULL_INPUT_ADDRESSES} = 0"),
+    ("'a' || o.o_custkey", "CAST(1 AS DECIMAL(18,2))", True, True, f"o.o_orderkey % {ledger.NULL_ADDRESS_ELEMENT} = 0"),
+]
+
+
+def _flat(rows, source: str, more: str = "") -> str:
+    return "\n  UNION ALL ".join(
+        f"SELECT {key} AS address, {value} AS value, {_HEAD}, {real} AS is_transfer, {named} AS has_addresses{more} {source} WHERE {when}"
+        for key, value, real, named, when in rows)
+
+
+_COINBASE = (f"lower(hex(o.o_orderpriority)) || CASE WHEN o.o_orderkey % {ledger.POOL_SIGNED} = 0 THEN "
+             f"[{', '.join(repr(s) for s in signatures.MINER_SIGNATURES)}][1 + o.o_custkey % {len(signatures.MINER_SIGNATURES)}] ELSE '' END")
+
 _BASE = f"""
-out_t AS (
-  SELECT {_OUT_KEY} AS address, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS value,
-         't' || o.o_orderkey AS hash, o.o_orderdate AS block_time, {_MONTH} AS month
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-in_t AS (
-  SELECT 'a' || o.o_custkey AS address, CAST(o.o_totalprice AS DECIMAL(18,2)) AS value,
-         't' || o.o_orderkey AS hash, o.o_orderdate AS block_time, {_MONTH} AS month
-  FROM orders o)"""
+out_t AS ({_flat(_OUT_ROWS, _LO, f", o.o_orderstatus = 'F' AS is_coinbase, {_COINBASE} AS coinbase_param")}),
+in_t AS ({_flat(_IN_ROWS, "FROM orders o")})"""
 
 
-def _sig_sql(sigs) -> str:
-    return "(" + " OR ".join(f"lower(hex(o.o_orderpriority)) LIKE '%{s}%'" for s in sigs) + ")"
+def _sig_sql(sigs, text="coinbase_param") -> str:
+    return "(" + " OR ".join(f"{text} LIKE '%{s}%'" for s in sigs) + ")"
 
 
-_MINERS = f"""
+def _miners_sql(sigs, min_hits) -> str:
+    return f"""
 miners AS (
-  SELECT {_OUT_KEY} AS miner, count(*) AS hits
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE o.o_orderstatus = 'F' AND {_sig_sql(FIXTURE_SIGNATURES)}
-  GROUP BY 1 HAVING count(*) >= {FIXTURE_MIN_HITS})"""
+  SELECT address AS miner, count(*) AS hits FROM out_t WHERE is_coinbase AND {_sig_sql(sigs)}
+  GROUP BY 1 HAVING count(*) >= {min_hits})"""
+
+
+_MINERS = _miners_sql(FIXTURE_SIGNATURES, FIXTURE_MIN_HITS)
 
 
 def _stats_sql(src: str, p: str) -> str:
@@ -293,13 +323,13 @@ def _stats_sql(src: str, p: str) -> str:
 {p}_stats AS (
   SELECT address, min(month) AS {p}_month_min, max(month) AS {p}_month_max,
     count(DISTINCT month) AS {p}_active_months,
-    count(*) AS total_tx_{p}_count,
+    count(*) FILTER (WHERE is_transfer) AS total_tx_{p}_count,
     CAST(sum(value) AS DOUBLE) AS total_tx_{p}_value,
     CAST(sum(value) AS DOUBLE) / count(value) AS mean_tx_{p}_value,
     stddev_samp(value) AS stddev_tx_{p}_value,
     count(DISTINCT hash) AS total_{p}_tx,
     CAST(sum(value) AS DOUBLE) / count(month) AS mean_monthly_{p}_value,
-    CAST(count(*) AS DOUBLE) / count(month) AS mean_monthly_{p}_count
+    CAST(count(*) FILTER (WHERE has_addresses) AS DOUBLE) / count(month) AS mean_monthly_{p}_count
   FROM {src} GROUP BY address)"""
 
 
@@ -314,15 +344,6 @@ def _gaps_sql(src: str, p: str, key: str = "address", t: str = "block_time") ->
   FROM {p}_gaps GROUP BY {key})"""
 
 
-def _miners_sql(sigs, min_hits) -> str:
-    return f"""
-miners AS (
-  SELECT {_OUT_KEY} AS miner, count(*) AS hits
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE o.o_orderstatus = 'F' AND {_sig_sql(sigs)}
-  GROUP BY 1 HAVING count(*) >= {min_hits})"""
-
-
 _VEC_BASE = f"WITH {_BASE},{_stats_sql('out_t', 'output')},{_stats_sql('in_t', 'input')}," \
             f"{_gaps_sql('out_t', 'output')},{_gaps_sql('in_t', 'input')},{_MINERS}," + """
 vec AS (
@@ -378,17 +399,17 @@ ORACLE = {
     "ledger_scan": f"""
 SELECT 't' || o.o_orderkey AS hash, 'b' || o.o_orderkey AS block_hash, {_ep('o.o_orderdate')} AS block_time,
        {_ep(_MONTH)} AS month, o.o_orderstatus = 'F' AS is_coinbase,
-       CAST(0 AS DOUBLE) AS n_inputs, CAST(1 AS DOUBLE) AS n_outputs
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+       CAST(0 AS DOUBLE) AS n_inputs, CAST({' + '.join(f'({w})::INT' for *_, w in _OUT_ROWS)} AS DOUBLE) AS n_outputs
+{_LO}
 UNION ALL
 SELECT 't' || o.o_orderkey, 'b' || o.o_orderkey, {_ep('o.o_orderdate')}, {_ep(_MONTH)},
-       o.o_orderstatus = 'F', CAST(1 AS DOUBLE), CAST(NULL AS DOUBLE)
+       o.o_orderstatus = 'F', CAST({' + '.join(f'({w})::INT' for *_, w in _IN_ROWS)} AS DOUBLE), CAST(NULL AS DOUBLE)
 FROM orders o""",
     "unnest_transfers": f"""WITH {_BASE}
 SELECT 'outputs' AS side, address, CAST(value AS DOUBLE) AS value, hash, {_ep('block_time')} AS block_time,
-       {_ep('month')} AS month, TRUE AS is_transfer, TRUE AS has_addresses FROM out_t
+       {_ep('month')} AS month, is_transfer, has_addresses FROM out_t
 UNION ALL
-SELECT 'inputs', address, CAST(value AS DOUBLE), hash, {_ep('block_time')}, {_ep('month')}, TRUE, TRUE FROM in_t""",
+SELECT 'inputs', address, CAST(value AS DOUBLE), hash, {_ep('block_time')}, {_ep('month')}, is_transfer, has_addresses FROM in_t""",
     "address_key": f"WITH {_BASE} SELECT address, count(*) AS n_transfers FROM out_t GROUP BY address",
     "activity_ages": f"""WITH {_BASE}
 SELECT address, {_ep('min(month)')} AS output_month_min, {_ep('max(month)')} AS output_month_max
@@ -418,12 +439,10 @@ SELECT user_id, {fixed_sql('mean_event_idle_time', 2)} AS mean_event_idle_time,
     "event_idle_gaps": f"""WITH ev AS (SELECT user_id, ts FROM events),{_gaps_sql('ev', 'event', 'user_id', 'ts')}
 SELECT user_id, idle_time FROM event_gaps""",
     "signature_match": "SELECT 'b' || o.o_orderkey AS hash, "
-                       f"{_sig_sql(FIXTURE_SIGNATURES)} AS signed, "
-                       f"{_sig_sql(signatures.MINER_SIGNATURES)} AS pool_signed FROM orders o",
-    "block_join": f"""SELECT {_OUT_KEY} AS miner
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-WHERE o.o_orderstatus = 'F' AND {_sig_sql(FIXTURE_SIGNATURES)}""",
-    "signature_keys": f"WITH {_MINERS} SELECT miner, hits FROM miners",
+                       f"{_sig_sql(FIXTURE_SIGNATURES, f'({_COINBASE})')} AS signed, "
+                       f"{_sig_sql(signatures.MINER_SIGNATURES, f'({_COINBASE})')} AS pool_signed FROM orders o",
+    "block_join": f"WITH {_BASE} SELECT address AS miner FROM out_t WHERE is_coinbase AND {_sig_sql(FIXTURE_SIGNATURES)}",
+    "signature_keys": f"WITH {_BASE},{_MINERS} SELECT miner, hits FROM miners",
     "address_join": _VEC_BASE + _vec_select(_UNLABELLED_COLS),
     "semi_signature": _VEC_BASE + "SELECT address, total_tx_output_count, total_tx_input_count FROM vec "
                                   "WHERE address IN (SELECT miner FROM miners)",
