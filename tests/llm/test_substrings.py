@@ -42,10 +42,61 @@ def test_matches_brute_force(spark, seed, monkeypatch):
 def test_spans_and_text(spark):
     shared = prose(1, 60)
     rows = [(1, " ".join(prose(2, 10) + shared)), (2, " ".join(prose(3, 5) + shared + prose(4, 7)))]
-    out = {r.doc_id: r for r in substrings.remove_repeats(make_docs(spark, rows)).collect()}
-    assert out[1].spans == [] and out[1].n_removed == 0
+    docs = make_docs(spark, rows)
+    out = docs.join(substrings.remove_repeats(docs), "doc_id").withColumn("kept", substrings.kept_text(F.col("text"), F.col("spans")))
+    out = {r.doc_id: r for r in out.collect()}
+    assert out[1].spans == [] and out[1].factors == [] and out[1].n_removed == 0 and out[1].kept == rows[0][1]
     assert [(s["first"], s["words"]) for s in out[2].spans] == [(5, 60)]
-    assert out[2].text == " ".join(prose(3, 5) + prose(4, 7))
+    assert [tuple(f) for f in out[2].factors] == [(5, 60, 1, 10)]
+    assert out[2].kept == " ".join(prose(3, 5) + prose(4, 7))
+
+
+def test_a_span_of_several_references_has_a_factor_of_each(spark):
+    """No single earlier document holds the passage: it is parsed into the stretches that they hold."""
+    p = prose(9, 130)
+    rows = [(1, " ".join(p[:80])), (2, " ".join(prose(3, 4) + p[31:])), (3, " ".join(p))]
+    out = {r.doc_id: r for r in substrings.remove_repeats(make_docs(spark, rows)).collect()}
+    assert [(f["first"], f["words"]) for f in out[2].spans] == [] and out[2].n_removed == 0   # 49 words in common
+    assert [tuple(f) for f in out[3].factors] == [(0, 80, 1, 0), (31, 99, 2, 4)]
+    assert [(f["first"], f["words"]) for f in out[3].spans] == [(0, 130)]
+
+
+@pytest.mark.parametrize("seed,hot", [(3, 1), (4, 500)])
+def test_factors_stand_in_their_references(spark, seed, hot, monkeypatch):
+    """Every factor's words are the reference's at its place, the reference is an earlier document, factors of one
+    document neither lie inside each other nor could be one, and together they are the spans."""
+    monkeypatch.setattr(substrings, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(substrings, "PHRASES", 300)
+    rows = list({r[0]: r for r in repeated_passages(seed)}.values())
+    texts = {doc_id: text.split() for doc_id, text in rows}
+    docs = make_docs(spark, rows).repartition(4)
+    assert found(docs) == sorted(brute.remove_repeats(rows), key=repr)
+    n = 0
+    seen = docs.select("doc_id", F.col("text").alias("t")).join(
+        substrings.remove_repeats(docs).withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d"))).collect()
+    for r in seen:
+        words = r.t.split()
+        covered = set()
+        for a, b in zip(r.factors, r.factors[1:]):
+            assert a.first <= b.first and a.first + a.words < b.first + b.words
+            assert (a.ref_id, a.ref_first - a.first) != (b.ref_id, b.ref_first - b.first) or b.first > a.first + a.words - 49
+        for f in r.factors:
+            assert r.doc_id is None or f.ref_id < r.doc_id
+            own = words[f.first:f.first + f.words]
+            assert texts[f.ref_id][f.ref_first:f.ref_first + f.words] == own and len(own) >= 50
+            covered |= set(range(f.first, f.first + f.words))
+            n += 1
+        assert covered == {k for s in r.spans for k in range(s.first, s.first + s.words)}
+    assert n > 30
+
+
+def test_greedy_parse_goes_on_in_its_reference():
+    """A phrase that stands elsewhere earlier still belongs to the open factor while its reference holds it."""
+    rows = [(1, 2, 7), (2, 0, 5), (2, 1, 6), (2, 2, 7), (2, 3, 8), (3, 10, 5), (3, 11, 6), (3, 12, 7), (3, 13, 8)]
+    order, start, h = (np.array(x, dtype=np.int64) for x in zip(*rows))
+    block = substrings.Block(order, order * 100, start, h, h)
+    got = [tuple(int(v) for v in f) for f in zip(*block.factors())]
+    assert got == [(2, 200, 2, 2, 1, 100, 2), (3, 300, 10, 13, 2, 200, 0)]
 
 
 def test_anchors_depend_on_the_phrase_alone():
