@@ -124,8 +124,9 @@ def gated_publish(spark: SparkSession, gate: DataFrame, registry: str, name: str
         fs, to = _path(spark, path)
         if fs.exists(to):   # an earlier attempt came as far as the rename
             fs.delete(to, True)
-        fs.mkdirs(to.getParent())
-        if not fs.rename(_path(spark, staging)[1], to):
+        made = _path(spark, staging)[1]
+        fs.mkdirs(to.getParent() if fs.exists(made) else to)   # a save_fn may write nothing
+        if fs.exists(made) and not fs.rename(made, to):
             raise OSError(f"{staging} could not be renamed to {path}")
         fs.create(_path(spark, f"{path}/{COMMITTED}")[1], True).close()
     manifest = f"{registry}/_manifest"

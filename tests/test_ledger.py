@@ -522,11 +522,13 @@ def test_class_cap_equals_ordered_limit(spark, n):
 def test_class_cap_sorts_only_its_last_bucket(spark, monkeypatch):
     monkeypatch.setattr(vectors, "CAP_ROWS", 3)
     df = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("address"))
-    out = vectors.class_cap(df, 15_000)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    limits = [int(x) for x in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan)]
-    assert limits and max(limits) <= 3 and "SinglePartition" not in plan
-    assert out.count() == 15_000
+    limits = []
+    for n in range(15_000, 15_004):
+        out = vectors.class_cap(df, n)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        limits += [int(x) for x in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan)]
+        assert "SinglePartition" not in plan and out.count() == n
+    assert limits and max(limits) <= 3
 
 
 def test_class_cap_with_repeated_addresses(spark):
