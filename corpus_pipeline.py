@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 it as Parquet and rereads it as the next stage's documents. All but the last
 return the columns of ``documents``.
+
+Every stage takes nulls in any column, empty and very long texts, repeated rows, an
+empty table and further columns of any name (which it drops); its docstring says
+what becomes of them.
 """
 
 from __future__ import annotations
@@ -22,29 +26,46 @@ SHARDS = 24
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the log-likelihood ratio."""
+    """Documents that pass the base rules and the log-likelihood ratio.
+
+    Null and empty texts fail the base rules (fewer than 50 words). Rows repeated in
+    full share their verdict; long texts are judged whole."""
     return quality.accepted(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies: the one with the smallest id.
+
+    A null id is larger than any other; ties in id go by a hash of the text, and of
+    rows repeated in id and text one stays. Texts without words are linked with
+    nothing and stay."""
     docs = docs.select(*COLUMNS)
     return jaccard.one_of_each(docs, jaccard.jaccard_components(docs))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
+    """Documents without passages of the benchmark.
+
+    Null and empty texts hold none and stay; rows repeated in id and text go
+    together; null ids go by their texts. Long texts are seeded at every position."""
     docs = docs.select(*COLUMNS)
     return decontaminate.clean_documents(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources mixed to their target weights, documents repeated for further epochs."""
+    """The sources mixed to their target weights, documents repeated for further epochs.
+
+    Texts without words have no size and are left out. A null source is a source of
+    its own, the last one; ties in the order inside a source are rows repeated in
+    id and text, which are taken alike."""
     return mixing.mixture(docs.select(*COLUMNS))
 
 
 def kd_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and bytes."""
+    """Every row with its shard and bytes.
+
+    Null texts count 8 bytes; null ids, sources and languages are values of their
+    own; copies of a text go to one shard unless they outweigh a unit."""
     return sharding.shard(docs.select(*COLUMNS), n_shards=SHARDS, keep=tuple(COLUMNS))
 
 
