@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from featpipe.llm import mixing, queries
@@ -77,9 +78,31 @@ def test_run(spark, stages):
     assert sorted((r.doc_id, r.shard) for r in got) == sorted((r.doc_id, r.shard) for r in stages[-1])
 
 
+def test_awkward_rows_through_every_stage(spark, awkward, no_docs):
+    """Nulls, empty and very long texts, repeated rows, an empty table and columns of clashing names."""
+    clash = awkward
+    for name in ("_key", "_order", "shard", "size", "kept", "group", "hash"):
+        clash = clash.withColumn(name, F.lit(f"mine {name}"))
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    same = rows[0][1]
+    passed = {}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, SF_SMALL).count() == 0, name
+        out = stage(spark, clash, SF_SMALL)
+        assert name == "sharding" or out.columns == corpus_pipeline.COLUMNS
+        passed[name] = [(r.doc_id, r.text) for r in out.collect()]
+        assert set(passed[name]) <= set(rows), name
+    assert all(text and len(text.split()) >= 50 for _, text in passed["quality rules"])
+    kept = passed["n-gram Jaccard join"]
+    assert [r for r in kept if r[1] == same] == [(1, same)] and (3, None) in kept and (4, "") in kept
+    assert sorted(map(repr, passed["benchmark decontamination"])) == sorted(map(repr, rows))
+    assert all(text and text.split() for _, text in passed["mixing sources to target weights"])
+    assert sorted(map(repr, passed["sharding"])) == sorted(map(repr, rows))
+
+
 def test_registry():
     assert list(corpus_pipeline.QUERIES) == ["pipeline"]
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
 
