@@ -257,6 +257,16 @@ def schema_struct(constraints: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(r["column"], _SCHEMA_TYPES[r["type"]], not r["required"]) for r in rows])
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` decoded by an inferred schema: its columns in the schema's types
+    (a value that is none becomes NULL, as does a column that is gone), the
+    others after them as they are. What does not fit is the validation report's to tell."""
+    names = {f.name for f in schema.fields}
+    typed = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+             for f in schema.fields]
+    return df.select(*typed, *[F.col(f"`{c}`") for c in df.columns if c not in names])
+
+
 def validate_examples(df: DataFrame, stats: DataFrame, constraints: DataFrame,
                       domain: DataFrame | None, splits=SPLITS, counted: DataFrame | None = None) -> DataFrame:
     """M3: one report row per (split, column, check):

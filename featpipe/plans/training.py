@@ -66,6 +66,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, registry: str | None = Non
     constraints, domain = profile.infer_schema(stats, counted, max_domain=max_domain)
     report = _written(profile.validate_examples(examples, stats, constraints, domain, counted=counted), "report")
 
+    # the transform, and everything after it, decodes the examples by the inferred schema
+    examples = profile.conform(examples, profile.schema_struct(constraints))
     params = features.fit(examples.where("split = 'train'"), spec)
     # transformed examples are stored compactly: one-hot positions, not
     # dense vectors; the model expands them sparsely

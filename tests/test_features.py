@@ -487,3 +487,12 @@ def test_gate_plans_its_metrics_once(spark):
     metrics = spark.range(10).agg(F.avg("id").alias(evaluate.MAE), F.max("id").cast("double").alias(evaluate.MSE))
     plan = evaluate.quality_gate(metrics)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") == 1
+
+
+def test_examples_are_decoded_by_the_inferred_schema(spark):
+    train = spark.createDataFrame([("train", 1, 2.5, "x"), ("train", 2, None, "y")], "split string, i int, f double, t string")
+    schema = profile.schema_struct(profile.infer_schema(profile.column_stats(train))[0])
+    drifted = spark.createDataFrame([("eval", "3", "a"), ("eval", "oops", None)], "split string, i string, extra string")
+    out = profile.conform(drifted, schema)
+    assert dict(out.dtypes) == {"f": "double", "i": "bigint", "t": "string", "split": "string", "extra": "string"}
+    assert [(r.i, r.f, r.t, r.extra) for r in out.collect()] == [(3, None, None, "a"), (None, None, None, None)]
