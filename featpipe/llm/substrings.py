@@ -35,7 +35,8 @@ WINDOW = 50
 ANCHOR = 25
 #: Phrases a task sorts at a time.
 PHRASES = 1_000_000
-#: Documents with one anchor from which on its phrases are dealt out one by one.
+#: An anchor's phrases are dealt out one by one when this share of all documents has it, and this many at least.
+HOT_SHARE = 0.01
 HOT_ANCHOR = 500
 #: A factor: phrases ``first`` to ``last`` of a document stand in another from its phrase ``place`` on.
 FACTOR = "order long, key long, first long, last long, ref_order long, ref_key long, place long"
@@ -226,8 +227,9 @@ def factors(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                      .select(F.col("_order").alias("order"), F.col("_key").alias("key"), F.col("_least").alias("ref_order")).distinct(),
                      "phrases-copies")
     anchors = written(docs.select("_order", "_key", "_text").mapInArrow(_anchors, "anchor long, order long, key long"), "phrases-anchors")
+    hot = max(HOT_ANCHOR, int(names.count() * HOT_SHARE))
     shared = (anchors.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.count(F.lit(1)).alias("n"))
-              .where("a != b").select("anchor", (F.col("n") >= HOT_ANCHOR).alias("hot")))
+              .where("a != b").select("anchor", (F.col("n") >= hot).alias("hot")))
     wanted = (anchors.join(written(shared, "phrases-shared"), "anchor").join(copies, ["order", "key"], "left_anti")
               .groupBy(F.col("order").alias("_order"), F.col("key").alias("_key"))
               .agg(F.collect_set(F.when(~F.col("hot"), F.col("anchor"))).alias("_shared"),
