@@ -26,6 +26,8 @@ from featpipe.functions.keys import hash_bucket
 from featpipe.operators.features import FeatureSpec, assemble_features, feature_order, to_vector, transformed_name
 
 RESCALE = 255.0
+#: Training rows of a partition that an iterative fit keeps in memory.
+FIT_ROWS = 100_000
 
 
 def with_feature_vector(df: DataFrame, spec: FeatureSpec, out: str = "features") -> DataFrame:
@@ -47,6 +49,12 @@ def _estimator(spec: FeatureSpec, algorithm: str, seed: int):
     return LinearRegression(featuresCol="features", labelCol=spec.label, loss="squaredError")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Training rows in partitions of about ``FIT_ROWS``: trees keep every partition, binned, and read it whole."""
+    wanted = -(-rows.count() // FIT_ROWS)
+    return rows.repartition(wanted) if wanted > rows.rdd.getNumPartitions() else rows
+
+
 def regress_fit(transformed: DataFrame, spec: FeatureSpec, algorithm: str = "linear",
                 seed: int = 42, estimator=None) -> PipelineModel:
     """Fit on transformed training rows; returns a PipelineModel whose
@@ -61,6 +69,8 @@ def regress_fit(transformed: DataFrame, spec: FeatureSpec, algorithm: str = "lin
     ``VectorAssembler`` concatenates everything in sorted-name order, the same
     layout as the dense form."""
     last = estimator if estimator is not None else _estimator(spec, algorithm, seed)
+    if not isinstance(last, LinearRegression):
+        transformed = _dealt(transformed)
     if _is_indexed(transformed, spec):
         idx = [f"{transformed_name(c)}_idx" for c in spec.categorical]
         enc = OneHotEncoder(inputCols=idx, outputCols=[transformed_name(c) for c in spec.categorical],

@@ -496,3 +496,20 @@ def test_examples_are_decoded_by_the_inferred_schema(spark):
     out = profile.conform(drifted, schema)
     assert dict(out.dtypes) == {"f": "double", "i": "bigint", "t": "string", "split": "string", "extra": "string"}
     assert [(r.i, r.f, r.t, r.extra) for r in out.collect()] == [(3, None, None, "a"), (None, None, None, None)]
+
+
+def test_trees_fit_on_rows_dealt_by_number(spark, monkeypatch):
+    """Partitions that a fit keeps hold ``FIT_ROWS`` rows or so, however few files the rows come from."""
+    from pyspark.ml.regression import GBTRegressor
+    monkeypatch.setattr(model, "FIT_ROWS", 100)
+    spec = features.FeatureSpec(numeric=("x",), categorical=(), label="y")
+    rows = spark.range(1000).coalesce(1).selectExpr("double(id) AS x_xf", "2.0 * id AS y")
+    seen = []
+
+    class Trees(GBTRegressor):
+        def fit(self, dataset, params=None):
+            seen.append(dataset.rdd.getNumPartitions())
+            return super().fit(dataset, params)
+
+    fitted = model.regress_fit(rows, spec, estimator=Trees(featuresCol="features", labelCol="y", maxIter=2, maxDepth=2, seed=1))
+    assert seen == [10] and model.predict(fitted, rows, spec).count() == 1000
