@@ -48,17 +48,28 @@ def _sq(c):
     return c.cast(WIDE) * c.cast(WIDE)
 
 
+def _dealt(summ: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt by ``columns`` to all shuffle partitions. They are not merged into fewer: the rows of a task
+    are sorted and then counted in its memory, many times their size in the shuffle."""
+    return summ.repartition(int(summ.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def _seconds(events: DataFrame, key: str, t: str) -> DataFrame:
-    """(key, _seg, _first, _last, _n, _s2) per whole second with an event."""
+    """(key, _seg, _n) per whole second with an event; its first and last second are itself."""
     times = events.where(F.col(t).isNotNull()).select(key, F.col(t).alias("_t")).distinct()
-    counts = times.groupBy(key, F.date_trunc("second", "_t").alias("_seg")).agg((F.count(F.lit(1)) - 1).alias("_n"))
-    return counts.select(key, "_seg", F.col("_seg").alias("_first"), F.col("_seg").alias("_last"), "_n", _zero().alias("_s2"))
+    return times.groupBy(key, F.date_trunc("second", "_t").alias("_seg")).agg((F.count(F.lit(1)) - 1).alias("_n"))
+
+
+def _spans(seconds: DataFrame) -> DataFrame:
+    """Seconds as segments: with their first and last second, and no gap inside but those of 0."""
+    return seconds.select("*", F.col("_seg").alias("_first"), F.col("_seg").alias("_last"), _zero().alias("_s2"))
 
 
 def _roll_up(summ: DataFrame, key: str, unit: str) -> DataFrame:
     """Merge finer segment summaries into ``unit`` segments, adding the gaps
     between consecutive finer segments inside each coarse one."""
-    up = summ.withColumn("_up", F.date_trunc(unit, F.col("_seg")))
+    up = _dealt(summ.withColumn("_up", F.date_trunc(unit, F.col("_seg"))), key, "_up")
+    up = up if "_first" in up.columns else _spans(up)   # seconds are moved without what follows from them
     w = Window.partitionBy(key, "_up").orderBy("_seg")
     x = up.withColumn("_prev_last", F.lag("_last").over(w))
     b = epoch_seconds("_first") - epoch_seconds("_prev_last")     # NULL on the first finer segment
@@ -78,8 +89,9 @@ def idle_moments(events: DataFrame, key: str = "address", t: str = "block_time",
     summ = _seconds(events, key, t)
     for u in units:
         summ = _roll_up(summ, key, u)
+    summ = summ if "_first" in summ.columns else _spans(summ)
     w = Window.partitionBy(key).orderBy("_seg")
-    x = summ.withColumn("_prev_last", F.lag("_last").over(w))
+    x = _dealt(summ, key).withColumn("_prev_last", F.lag("_last").over(w))
     b = epoch_seconds("_first") - epoch_seconds("_prev_last")
     agg = x.groupBy(key).agg(
         (F.sum("_n") + F.count(b)).alias("n_gaps"),
@@ -120,7 +132,7 @@ def idle_gaps(events: DataFrame, key: str = "address", t: str = "block_time",
     # at most one zero per microsecond of a second
     parts = [summ.where("_n > 0").select(key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_k"))
              .select(key, F.lit(0).cast("bigint").alias("idle_time"))]
-    summ = summ.select(key, "_seg", "_first", "_last")
+    summ = _spans(summ).select(key, "_seg", "_first", "_last")
     for u in [*_units(units), None]:
         part = [key] if u is None else [key, F.date_trunc(u, F.col("_seg"))]
         w = Window.partitionBy(*part).orderBy("_seg")

@@ -536,3 +536,14 @@ def test_class_cap_with_repeated_addresses(spark):
     for n in range(11):
         got = sorted(r.address for r in vectors.class_cap(df, n).collect())
         assert got == sorted(r.address for r in df.orderBy(F.md5("address"), "address").limit(n).collect())
+
+
+def test_idle_rows_are_dealt_to_all_partitions(spark):
+    """The sorted steps keep the session's number of partitions, and seconds are moved without what follows from them."""
+    events = spark.range(5000).selectExpr("concat('k', id % 50) AS address", "timestamp_seconds(id * 7919 % 8000000) AS block_time")
+    out = idle.idle_moments(events)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2
+    want = {r.address: tuple(r)[1:] for r in idle.idle_gaps_window(events).groupBy("address").agg(
+        F.count("idle_time"), F.sum("idle_time"), F.sum(F.col("idle_time") * F.col("idle_time")).cast("decimal(38,0)")).collect()}
+    assert {r.address: tuple(r)[1:] for r in out.collect()} == want
