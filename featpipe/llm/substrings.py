@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featpipe.llm.common import (
-    BASE_A, BASE_B, WORD, WordCodes, batches_by_size, checked_broadcast, ngram_hashes, partitions, written,
+    BASE_A, BASE_B, WORD, WordCodes, batches_by_size, ngram_hashes, partitions, written,
 )
 from featpipe.llm.jaccard import _signed
 
@@ -209,7 +209,8 @@ def _factors(batches):
             yield batch.select(names).filter(pa.array(done))
         order, key, first = (np.repeat(np.asarray(batch.column(k)), n) for k in (1, 2, 3))
         within = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)
-        rows.append((order, key, first + within, np.asarray(batch.column(4).flatten()), np.asarray(batch.column(5).flatten())))
+        if len(order):   # a task may hold nothing but known factors
+            rows.append((order, key, first + within, np.asarray(batch.column(4).flatten()), np.asarray(batch.column(5).flatten())))
     if rows:
         found = Block(*(np.concatenate(x) for x in zip(*rows))).factors()
         if found:
@@ -234,7 +235,8 @@ def factors(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
               .groupBy(F.col("order").alias("_order"), F.col("key").alias("_key"))
               .agg(F.collect_set(F.when(~F.col("hot"), F.col("anchor"))).alias("_shared"),
                    F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("_hot")))
-    wanted = checked_broadcast(written(wanted, "phrases-wanted"), 1_000_000)
+    # texts meet what is wanted of them by a shuffle at any size: what is wanted grows with the input
+    wanted = written(wanted, "phrases-wanted").hint("merge")
     moved = (docs.select("_order", "_key", "_text").join(wanted, ["_order", "_key"])
              .select("_order", "_key", "_text", "_shared", "_hot").mapInArrow(_phrases, PHRASE_ROWS)
              .repartition(partitions(spark), "block"))
@@ -275,7 +277,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                           F.col("key").alias("ref_key"), F.lit(0).cast("long").alias("place"))
     part = F.struct("first", "last", "ref_order", "ref_key", "place")
     runs = found.union(every).groupBy(F.col("order").alias("_order"), F.col("key").alias("_key")).agg(F.collect_set(part).alias("_factors"))
-    runs = checked_broadcast(written(runs, "phrases-factors"), 1_000_000)
+    runs = written(runs, "phrases-factors").hint("merge")
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):

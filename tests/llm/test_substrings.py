@@ -114,3 +114,13 @@ def test_edges(spark, awkward, no_docs):
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
     clash = awkward.withColumn("key", F.lit("x")).withColumn("order", F.lit(1)).withColumn("_text", F.lit(2)).withColumn("first", F.lit(3))
     assert found(awkward) == found(clash) == sorted(brute.remove_repeats(rows), key=repr)
+
+
+def test_texts_meet_by_a_shuffle(spark):
+    """What is wanted of the texts grows with them: it is not broadcast, at no size."""
+    passage = prose(77, 60)
+    docs = make_docs(spark, [(k, " ".join(prose(700 + k, 20) + passage)) for k in range(4)])
+    out = substrings.remove_repeats(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {0: 0, 1: 60, 2: 60, 3: 60}
