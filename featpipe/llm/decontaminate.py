@@ -24,8 +24,12 @@ SPAN = 14
 REPLACED = 3
 #: Benchmark items with fewer tokens only match whole and unchanged.
 WHOLE = 8
-#: Benchmark seeds that are broadcast at a time (about 350 bytes each).
+#: Benchmark seeds that are broadcast (about 70 bytes each). More are joined by shuffle.
 SEED_BLOCK = 100_000
+#: A block of the filter before that shuffle: how many words of 64 bits, bits set by a seed, and seeds it is made for.
+FILTER_WORDS, FILTER_BITS, FILTER_SEEDS = 16, 4, 40
+#: Most blocks, of about 200 bytes each, that are broadcast. They then hold more seeds and let more pass.
+FILTER_BLOCKS = 1 << 18
 
 
 def token_hashes(text: Column) -> Column:
@@ -62,20 +66,44 @@ def _around(tokens: Column, at: Column) -> Column:
     return F.transform(places, lambda i: F.when((i >= 0) & (i < F.size(tokens)), F.get(tokens, i)))
 
 
-def benchmark_seeds(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
-    """(seed, item_id, item_at, item_tokens, around) of every item with a token, and the lengths of those under
-    ``WHOLE`` tokens."""
-    items = written(benchmark.select("item_id", once(token_hashes(F.col("text"))).alias("_tokens")).where(F.size("_tokens") > 0),
-                    "benchmark-tokens")
+def benchmark_items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(item, item_id) of every row with a token, and (item, _tokens) of every token sequence among them; ``item`` is
+    its hash."""
+    rows = benchmark.select("item_id", once(token_hashes(F.col("text"))).alias("_tokens")).where(F.size("_tokens") > 0)
+    rows = written(rows.withColumn("item", F.xxhash64("_tokens")), "benchmark-tokens")
+    return rows.select("item", "item_id"), written(rows.select("item", "_tokens").dropDuplicates(["item"]), "benchmark-items")
+
+
+def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(seed, item, item_at) of the items, and the lengths of those under ``WHOLE`` tokens."""
     n = F.size("_tokens")
     lengths = sorted(r[0] for r in items.where(n < WHOLE).select(n).distinct().collect())  # WHOLE - 1 at most
     seeds = _positions(items.where(n >= WHOLE))
     for length in lengths:
         whole = F.xxhash64(F.lit(-length), *[F.get("_tokens", F.lit(i)) for i in range(length)])
         seeds = seeds.unionByName(items.where(n == length).withColumns({"_at": F.lit(0), "_seed": whole}))
-    return seeds.select(
-        F.col("_seed").alias("seed"), "item_id", F.col("_at").alias("item_at"),
-        F.size("_tokens").alias("item_tokens"), _around(F.col("_tokens"), F.col("_at")).alias("around")), lengths
+    return written(seeds.select(F.col("_seed").alias("seed"), "item", F.col("_at").alias("item_at")), "benchmark-seeds"), lengths
+
+
+def _filter_bits(seed: Column) -> list[Column]:
+    """Places of a seed's bits in its block."""
+    return [F.shiftrightunsigned(F.xxhash64(seed), 10 * k).bitwiseAND(64 * FILTER_WORDS - 1).cast("int") for k in range(FILTER_BITS)]
+
+
+def perhaps_seeded(places: DataFrame, seeds: DataFrame, n_seeds: int) -> DataFrame:
+    """The rows of ``places`` whose ``_seed`` is one of ``seeds``, and about one in a thousand others.
+
+    A Bloom filter in blocks: a seed has its bits in one block, which is one row of a bounded broadcast."""
+    blocks = max(1, min(FILTER_BLOCKS, -(-n_seeds // FILTER_SEEDS)))
+    bits = seeds.select(F.pmod("seed", F.lit(blocks)).alias("_block"), F.explode(F.array(*_filter_bits(F.col("seed")))).alias("_bit"))
+    one = F.expr("shiftleft(1L, _bit & 63)")
+    word = [F.coalesce(F.bit_or(F.when(F.shiftright("_bit", 6) == w, one)), F.lit(0).cast("long")) for w in range(FILTER_WORDS)]
+    table = written(bits.groupBy("_block").agg(F.array(*word).alias("_words")), "benchmark-filter")
+    here = F.pmod("_seed", F.lit(blocks)) == F.col("_block")
+    for bit in _filter_bits(F.col("_seed")):
+        at = F.get("_words", F.shiftright(bit, 6))
+        here = here & (at.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63))) != 0)
+    return places.join(F.broadcast(table), here).drop("_block", "_words")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -90,27 +118,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     counts the verified seeds. ``key`` is a hash of the text, which names rows
     without id. Null and empty texts overlap with nothing, nor do items without
     a token; rows repeated in id and text add up to one result. Long texts are
-    seeded at every position. The benchmark is broadcast in blocks of
-    ``SEED_BLOCK`` seeds, every block against all documents."""
+    seeded at every position. Documents are read once: up to ``SEED_BLOCK``
+    seeds of the benchmark are broadcast, more are joined by shuffle with the
+    positions that a bounded filter lets pass. Items of equal tokens are
+    compared once."""
     rows = docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("key"),
                        once(token_hashes(F.col("text"))).alias("_tokens"))
-    seeds, lengths = benchmark_seeds(benchmark)
+    names, items = benchmark_items(benchmark)
+    seeds, lengths = benchmark_seeds(items)
     places = _positions(rows, lengths)
-    blocks = -(-seeds.count() // SEED_BLOCK)
-    if blocks > 1:
-        seeds = written(seeds.withColumn("_block", F.pmod(F.xxhash64("seed", "item_id", "item_at"), F.lit(blocks))), "benchmark-seeds")
-    found = None
-    for block in range(max(1, blocks)):
-        part = seeds.where(F.col("_block") == block).drop("_block") if blocks > 1 else seeds
-        hits = (places.join(F.broadcast(part), F.col("_seed") == F.col("seed"))
-                .select("doc_id", "key", "item_id", "item_tokens", (F.col("_at") - (SPAN - 1)).alias("_from"),
-                        "around", _around(F.col("_tokens"), F.col("_at")).alias("_here")))
-        found = hits if found is None else found.union(hits)
-    return verify(found)
+    here = ["doc_id", "key", (F.col("_at") - (SPAN - 1)).alias("_from"), _around(F.col("_tokens"), F.col("_at")).alias("_here")]
+    n_seeds = seeds.count()
+    if n_seeds <= SEED_BLOCK:
+        hits = places.join(F.broadcast(seeds), F.col("_seed") == F.col("seed")).select(*here, "item", "item_at")
+    else:
+        places = perhaps_seeded(places, seeds, n_seeds).select(*here, F.col("_seed").alias("seed"))
+        hits = places.join(seeds.hint("merge"), "seed").drop("seed")
+    hits = hits.join(checked_broadcast(items), "item").select(
+        "doc_id", "key", "item", "_from", "_here", F.size("_tokens").alias("item_tokens"),
+        _around(F.col("_tokens"), F.col("item_at")).alias("around"))
+    return by_item_id(verify(hits), names)
+
+
+def by_item_id(found: DataFrame, names: DataFrame) -> DataFrame:
+    """Overlaps of token sequences as those of the rows that have them; rows of one id add up."""
+    best = F.max(F.struct("matched", -F.col("first"), "compared"))
+    return (found.join(checked_broadcast(names), "item").groupBy("doc_id", "key", "item_id").agg(best.alias("_best"), F.sum("hits").alias("hits"))
+            .select("doc_id", "key", "item_id", F.col("_best.matched").alias("matched"),
+                    F.col("_best.compared").alias("compared"), (-F.col("_best.col2")).alias("first"), "hits"))
 
 
 def verify(hits: DataFrame) -> DataFrame:
-    """Hits whose aligned tokens agree well enough, best place per document and item."""
+    """(doc_id, key, item, matched, compared, first, hits): hits whose aligned tokens agree well enough, best place per
+    document and item."""
     width = 2 * SPAN + REACH - 1
     same = F.zip_with("around", "_here", lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
     compared = F.least(F.lit(SPAN), F.col("item_tokens"))
@@ -122,8 +162,8 @@ def verify(hits: DataFrame) -> DataFrame:
                .where(F.col("matched") >= F.col("compared") - allowed)
                .withColumn("first", (F.col("_from") + F.array_position("_sums", F.col("matched")) - 1).cast("long")))
     best = F.max(F.struct("matched", -F.col("first"), "compared"))
-    return (checked.groupBy("doc_id", "key", "item_id").agg(best.alias("_best"), F.count(F.lit(1)).alias("hits"))
-            .select("doc_id", "key", "item_id", F.col("_best.matched").alias("matched"),
+    return (checked.groupBy("doc_id", "key", "item").agg(best.alias("_best"), F.count(F.lit(1)).alias("hits"))
+            .select("doc_id", "key", "item", F.col("_best.matched").alias("matched"),
                     F.col("_best.compared").alias("compared"), (-F.col("_best.col2")).alias("first"), "hits"))
 
 

@@ -125,3 +125,30 @@ def test_edges(spark, awkward, no_docs):
     clash = awkward.withColumn("key", F.lit("x")).withColumn("item_id", F.lit(1)).withColumn("_tokens", F.lit(2))
     got = sorted((r.doc_id or -1, r.item_id) for r in dc.contaminated(clash, bench.withColumn("seed", F.lit(1))).collect())
     assert got == [(-1, 1), (1, 1), (2, 1), (13, 1)]
+
+
+def test_large_benchmarks_are_joined_by_shuffle(spark, cases, monkeypatch):
+    """A benchmark of many seeds is neither broadcast nor read block by block: one pass over the documents, and no
+    broadcast that grows with the seeds. Items of equal tokens, repeated rows and ids keep their own results."""
+    docs, items = cases
+    items = [*items, *[(i + 1000 if i is not None else None, t) for i, t in items], items[3], (items[4][0], items[5][1])]
+    docs, items = make_docs(spark, [*docs, docs[7]]), spark.createDataFrame(items, BENCH)
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    whole = key(dc.contaminated(docs, items))
+    monkeypatch.setattr(dc, "SEED_BLOCK", 100)
+    monkeypatch.setattr(dc, "FILTER_BLOCKS", 4)
+    parted = dc.contaminated(docs, items)
+    plan = parted._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and "SortMergeJoin" in plan
+    assert key(parted) == whole and len(whole) > 100
+
+
+def test_filter_lets_every_seed_pass(spark):
+    """All of the seeds pass, few others, and none is lost when its blocks are full."""
+    seeds = spark.range(20_000).select(F.xxhash64("id").alias("seed"))
+    places = seeds.select(F.col("seed").alias("_seed")).union(spark.range(20_000, 220_000).select(F.xxhash64("id")))
+    passed = dc.perhaps_seeded(places, seeds, 20_000)
+    assert passed.columns == ["_seed"] and passed.join(seeds, F.col("_seed") == F.col("seed")).count() == 20_000
+    assert passed.count() < 20_000 + 600
+    full = dc.perhaps_seeded(places, seeds, 40)
+    assert full.join(seeds, F.col("_seed") == F.col("seed")).count() == 20_000
